@@ -89,7 +89,8 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = KEYS) -> None
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """The stored columns of ``schema``; partition folders not in it prune but do not show."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -92,6 +92,36 @@ class ExactLateWindows:
     def dead_letters(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, f"{self.path}/dead_letters")
 
+    def counters(self, spark: SparkSession) -> DataFrame:
+        """Run counters in one row, from the stored tables."""
+        emitted = self.changelog(spark)
+        windows = latest_view(emitted, (*self.keys, START)).agg(
+            F.coalesce(F.sum(F.col("sample_count") - F.col("late_count")), F.lit(0)).alias(
+                "on_time"
+            ),
+            F.coalesce(F.sum("late_count"), F.lit(0)).alias("late_accepted"),
+            F.count(F.lit(1)).alias("windows_fired"),
+        )
+        total = emitted.agg(F.count(F.lit(1)).alias("_emitted"))
+        dead = self.dead_letters(spark).agg(F.count(F.lit(1)).alias("dead_lettered"))
+        # Three one-row tables side by side.
+        side = F.lit(1).alias("_one")
+        return (
+            windows.select("*", side)
+            .join(total.select("*", side), "_one")
+            .join(dead.select("*", side), "_one")
+            .select(
+                (F.col("on_time") + F.col("late_accepted") + F.col("dead_lettered")).alias(
+                    "records_in"
+                ),
+                "on_time",
+                "late_accepted",
+                "dead_lettered",
+                "windows_fired",
+                (F.col("_emitted") - F.col("windows_fired")).alias("window_updates"),
+            )
+        )
+
     def state(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return spark.read.parquet(batch_path(f"{self.path}/state", self.query_id, batch_id))
 

@@ -119,7 +119,7 @@ def _stateful_run(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
         )
         writer = tagged.writeStream.outputMode("append").foreachBatch(_per_batch(f"{base}/out"))
         _run(writer, f"{base}/checkpoint")
-    still_open = open_windows(inputs.spark, f"{base}/checkpoint", KEYS)
+    still_open = open_windows(inputs.spark, f"{base}/checkpoint", KEYS, CHANNELS)
     return inputs.spark.read.parquet(f"{base}/out"), still_open
 
 

@@ -14,6 +14,7 @@ so the horizon does not keep it longer.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,19 +33,37 @@ STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 KIND, SALT = "kind", "salt"
 RESULT, DEAD = "result", "dead"
-_STATE = "window"
+_STATE = "open"
+_STATE_DDL = (
+    "due_ms bigint, windows array<struct<start: bigint, on_count: bigint, late_count: bigint, "
+    "fired: boolean, sums: array<double>, counts: array<bigint>, mins: array<double>, "
+    "maxs: array<double>>>"
+)
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def _state_ddl(channels: Sequence[str]) -> str:
-    per_channel = [
-        f"`{c}_sum` double, `{c}_cnt` bigint, `{c}_min` double, `{c}_max` double" for c in channels
-    ]
-    return ", ".join(["on_count bigint", "late_count bigint", "fired boolean", *per_channel])
+@dataclass
+class _Open:
+    """One window that can still change, with one entry per channel in each list."""
+
+    start: int
+    on: int
+    late: int
+    fired: bool
+    sums: list
+    counts: list
+    mins: list
+    maxs: list
 
 
 class LateWindowProcessor(StatefulProcessor):
-    """State and timers of one (key, window, salt)."""
+    """The open windows of one key (or one salted share of it), and its next deadline.
+
+    State is read and written once per key and batch. It holds the windows from the
+    watermark's lateness bound onwards, a handful per key however long the stream runs.
+    Within a batch the watermark stands still, so a record's class depends on its window
+    only, and all records of a window merge into one update.
+    """
 
     def __init__(
         self,
@@ -63,77 +82,125 @@ class LateWindowProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState(_STATE, _state_ddl(self.channels))
+        self.state = handle.getValueState(_STATE, _STATE_DDL)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        spark_ms = timerValues.getCurrentWatermarkInMs()
-        reached = spark_ms + self.shift_ms if spark_ms > 0 else None
-        end = self._end(key)
-        if reached is not None and end <= reached - self.spec.lateness_ms:
-            for batch in rows:
-                dead = batch.assign(**{KIND: DEAD})
-                yield dead.reindex(columns=self.output)
-            return
-        late = reached is not None and end <= reached
-        held = self.state.get()
-        on, late_n, fired = held[:3] if held else (0, 0, False)
-        sums = list(held[3:]) if held else [None, 0, None, None] * len(self.channels)
-        if late and held and not fired:
-            # Input comes before timers: the window is due, its own timer just not run yet.
-            yield self._result(key, on, late_n, sums)
+        reached = self._reached(timerValues)
+        due, held = self._load()
+        emitted = self._settle(held, reached)
+        updated: set[int] = set()
         for batch in rows:
-            if late:
-                late_n += len(batch)
-            else:
-                on += len(batch)
-            self._add(sums, batch)
-        self.state.update((on, late_n, late or fired, *sums))
-        if late:
-            yield self._result(key, on, late_n, sums)
-        if not held:
-            due = end + self.spec.lateness_ms if late else end
-            self.handle.registerTimer(due - self.shift_ms)
-        elif late and not fired:
-            self.handle.registerTimer(end + self.spec.lateness_ms - self.shift_ms)
+            ends = batch[START].to_numpy() + self.spec.size_ms
+            if reached is not None:
+                dead = ends <= reached - self.spec.lateness_ms
+                if dead.any():
+                    yield batch[dead].assign(**{KIND: DEAD}).reindex(columns=self.output)
+                    batch = batch[~dead]
+            updated |= self._fold(held, batch, reached)
+        emitted += [held[start] for start in sorted(updated)]
+        self._store(due, held)
+        if emitted:
+            yield self._results(key, emitted)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        end = self._end(key)
-        held = self.state.get()
-        if not held:
-            return
-        over = end + self.spec.lateness_ms - self.shift_ms
-        if not held[2]:
-            yield self._result(key, held[0], held[1], held[3:])
-        if timerValues.getCurrentWatermarkInMs() >= over:
-            self.state.clear()
-        elif not held[2]:
-            self.state.update((held[0], held[1], True, *held[3:]))
-            self.handle.registerTimer(over)
+        due, held = self._load()
+        emitted = self._settle(held, self._reached(timerValues))
+        self._store(None if due == expiredTimerInfo.getExpiryTimeInMs() else due, held)
+        if emitted:
+            yield self._results(key, emitted)
 
     def close(self) -> None:
         pass
 
-    def _end(self, key) -> int:
-        return int(key[self.group.index(START)]) + self.spec.size_ms
+    def _reached(self, timer_values) -> int | None:
+        spark_ms = timer_values.getCurrentWatermarkInMs()
+        return spark_ms + self.shift_ms if spark_ms > 0 else None
 
-    def _add(self, sums: list, batch: pd.DataFrame) -> None:
-        for i, c in enumerate(self.channels):
-            values = batch[c].dropna()
-            if values.empty:
-                continue
-            at = 4 * i
-            low, high = float(values.min()), float(values.max())
-            sums[at] = (sums[at] or 0.0) + float(values.sum())
-            sums[at + 1] += len(values)
-            sums[at + 2] = low if sums[at + 2] is None else min(sums[at + 2], low)
-            sums[at + 3] = high if sums[at + 3] is None else max(sums[at + 3], high)
-
-    def _result(self, key, on: int, late: int, sums: Sequence) -> pd.DataFrame:
-        row = dict(zip(self.group, key), **{KIND: RESULT, "_on": on, "_late": late})
+    def _load(self) -> tuple[int | None, dict[int, _Open]]:
+        value = self.state.get()
+        if value is None:
+            return None, {}
+        due, windows = value
+        return due, {w[0]: _Open(*w[:4], *[list(part) for part in w[4:]]) for w in windows}
+
+    def _store(self, due: int | None, held: dict[int, _Open]) -> None:
+        """Save the windows; set a timer unless an earlier one is already waiting."""
+        if not held:
+            self.state.clear()
+            return
+        first = min(self._deadline(w) for w in held.values()) - self.shift_ms
+        if due is None or first < due:
+            self.handle.registerTimer(first)
+            due = first
+        self.state.update((due, [tuple(vars(w).values()) for w in held.values()]))
+
+    def _deadline(self, w: _Open) -> int:
+        return w.start + self.spec.size_ms + (self.spec.lateness_ms if w.fired else 0)
+
+    def _settle(self, held: dict[int, _Open], reached: int | None) -> list[_Open]:
+        """Fire what is due, in window order, and let go of what is over.
+
+        Records of a batch come before its timers, so they call this first.
+        """
+        if reached is None:
+            return []
+        fired = []
+        for start in sorted(held):
+            w = held[start]
+            end = start + self.spec.size_ms
+            if not w.fired and end <= reached:
+                w.fired = True
+                fired.append(replace(w, sums=[*w.sums], counts=[*w.counts], mins=[*w.mins],
+                                     maxs=[*w.maxs]))
+            if end + self.spec.lateness_ms <= reached:
+                del held[start]
+        return fired
+
+    def _fold(self, held: dict[int, _Open], batch: pd.DataFrame, reached: int | None) -> set[int]:
+        """Add records to their windows; returns the windows that late records changed."""
+        changed = set()
+        grouped = batch.groupby(START, sort=False)
+        sizes = grouped.size()
+        parts = [
+            getattr(grouped[self.channels], how)(**options)
+            for how, options in (("sum", {"min_count": 1}), ("count", {}), ("min", {}), ("max", {}))
+        ]
+        for row, (start, n) in enumerate(sizes.items()):
+            start = int(start)
+            late = reached is not None and start + self.spec.size_ms <= reached
+            w = held.get(start)
+            if w is None:
+                width = len(self.channels)
+                w = _Open(start, 0, 0, late, *[[None] * width for _ in range(4)])
+                w.counts = [0] * width
+                held[start] = w
+            if late:
+                w.late += int(n)
+                changed.add(start)
+            else:
+                w.on += int(n)
+            sums, counts, mins, maxs = (part.iloc[row].tolist() for part in parts)
+            for i in range(len(self.channels)):
+                if counts[i]:
+                    known = w.counts[i] > 0
+                    w.sums[i] = w.sums[i] + sums[i] if known else sums[i]
+                    w.mins[i] = min(w.mins[i], mins[i]) if known else mins[i]
+                    w.maxs[i] = max(w.maxs[i], maxs[i]) if known else maxs[i]
+                    w.counts[i] += int(counts[i])
+        return changed
+
+    def _results(self, key, windows: list[_Open]) -> pd.DataFrame:
+        columns = {c: [k] * len(windows) for c, k in zip(self.group, key)}
+        columns[START] = [w.start for w in windows]
+        columns[KIND] = [RESULT] * len(windows)
+        columns["_on"] = [w.on for w in windows]
+        columns["_late"] = [w.late for w in windows]
         for i, c in enumerate(self.channels):
-            for j, part in enumerate(("sum", "cnt", "min", "max")):
-                row[f"{c}_{part}"] = sums[4 * i + j]
-        return pd.DataFrame([row]).reindex(columns=self.output)
+            columns[f"{c}_sum"] = [w.sums[i] for w in windows]
+            columns[f"{c}_cnt"] = [w.counts[i] for w in windows]
+            columns[f"{c}_min"] = [w.mins[i] for w in windows]
+            columns[f"{c}_max"] = [w.maxs[i] for w in windows]
+        return pd.DataFrame(columns).reindex(columns=self.output)
 
 
 def late_windows_stream(
@@ -149,10 +216,10 @@ def late_windows_stream(
 ) -> DataFrame:
     """Rows of kind ``result`` (a window's partial statistics so far) and ``dead`` (raw).
 
-    Records are grouped by key *and* window start. Where one window may take a large
-    share of a micro-batch, ``salts`` > 1 divides it by a hash of column ``spread``; the
-    parts fire by the same watermark and :func:`window_results` puts them together.
-    Use append mode, and the RocksDB state provider.
+    Where one key may take a large share of a micro-batch, ``salts`` > 1 divides it by a
+    hash of column ``spread``; the parts fire by the same watermark and
+    :func:`window_results` puts them together. Use append mode, and the RocksDB state
+    provider.
     """
     salt = F.lit(0) if salts == 1 else F.pmod(F.xxhash64(spread or time), F.lit(salts))
     placed = (
@@ -160,7 +227,7 @@ def late_windows_stream(
         .withColumns({c: F.col(c).cast("double") for c in channels})
         .withColumns({START: window_start(F.col(time), spec.size_ms), SALT: salt.cast("int")})
     )
-    group = [*keys, START, SALT]
+    group = [*keys, SALT]
     fields = [T.StructField(f.name, f.dataType) for f in placed.schema if f.name != EVENT_TIME]
     fields += [T.StructField(n, T.LongType()) for n in ("_on", "_late")]
     for c, kind in partial_kinds(channels).items():
@@ -212,22 +279,36 @@ def window_results(
 
 
 def open_windows(
-    spark: SparkSession, checkpoint: str, keys: Sequence[str] = KEYS
+    spark: SparkSession,
+    checkpoint: str,
+    keys: Sequence[str] = KEYS,
+    channels: Sequence[str] = CHANNELS,
 ) -> DataFrame:
     """Windows still unfired in a stopped query's state, as ``result`` rows.
 
     Appended to the emitted rows they end the input: every record is then accounted for.
     """
-    return (
+    stored = (
         spark.read.format("statestore")
         .option("stateVarName", _STATE)
         .load(checkpoint)
-        .where(~F.col("value.fired"))
         .select(
-            *[F.col(f"key.{k}").alias(k) for k in (*keys, START, SALT)],
-            F.lit(RESULT).alias(KIND),
-            F.col("value.*"),
+            *[F.col(f"key.{k}").alias(k) for k in (*keys, SALT)],
+            F.explode("value.windows").alias("w"),
         )
-        .withColumnsRenamed({"on_count": "_on", "late_count": "_late"})
-        .drop("fired")
+        .where(~F.col("w.fired"))
+    )
+    parts = {"sum": "sums", "cnt": "counts", "min": "mins", "max": "maxs"}
+    return stored.select(
+        *keys,
+        SALT,
+        F.col("w.start").alias(START),
+        F.lit(RESULT).alias(KIND),
+        F.col("w.on_count").alias("_on"),
+        F.col("w.late_count").alias("_late"),
+        *[
+            F.col(f"w.{held}")[i].alias(f"{c}_{part}")
+            for i, c in enumerate(channels)
+            for part, held in parts.items()
+        ],
     )

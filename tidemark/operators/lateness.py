@@ -255,6 +255,7 @@ def emissions(
     spec: WindowSpec,
     rules: Sequence[Rule],
     fired: Column | None = None,
+    sizes: DataFrame | None = None,
     target: int | None = None,
 ) -> DataFrame:
     """Every result a stream would have emitted: revision 0, then one per late record.
@@ -263,7 +264,7 @@ def emissions(
     """
     kinds = {"_on": "sum", "_late": "sum", **partial_kinds(channels)}
     total = {f"_total{c}": (kind, c) for c, kind in kinds.items()}
-    scanned = running(groups, [*keys, START], POSITION, total, target=target)
+    scanned = running(groups, [*keys, START], POSITION, total, target=target, sizes=sizes)
     emitting = F.col("_late_at").isNotNull()
     emitting = emitting | (fired if fired is not None else F.lit(True))
     merged = scanned.where(emitting).select(
@@ -291,8 +292,15 @@ def windows_changelog(
     rules: Sequence[Rule] = RULES,
     target: int | None = None,
 ) -> DataFrame:
+    # A window has as many emissions as late records, and one more.
+    sizes = (
+        annotated.where(F.col(CLASS) == LATE)
+        .groupBy(*keys, START)
+        .agg((F.count(F.lit(1)) + 1).alias("n"))
+    )
     return emissions(
         emission_groups(annotated, keys, channels),
+        sizes=sizes,
         keys=keys,
         channels=channels,
         spec=spec,

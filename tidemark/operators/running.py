@@ -94,17 +94,22 @@ def running(
     inclusive: bool = True,
     target: int | None = None,
     at_most: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add running ``sum``/``min``/``max`` columns: ``{out: (kind, column)}``.
 
     ``order`` is one numeric, non-null column, unique within a group. With
     ``inclusive=False`` the current row is left out and a group's first row gets null.
-    ``at_most`` is an upper bound on the rows of ``df`` where the caller knows one.
+    Where the caller knows more, it saves the pass that looks for large groups:
+    ``at_most`` bounds the rows of ``df``, and ``sizes`` has a column ``n`` with a bound
+    for every group that might be large.
     """
     keys = list(keys)
     if target is None:
         target = target_rows(df.sparkSession)
-    if at_most is not None and at_most <= target:
+    if (at_most is not None and at_most <= target) or (
+        sizes is not None and sizes.where(F.col("n") > target).isEmpty()
+    ):
         rows, divided = df.withColumn(CHUNK, F.lit(None)), False
     else:
         rows, divided = split_hot_groups(df, keys, order, target)

@@ -46,7 +46,8 @@ LINE_RULES = (
     Rule("untaxed", "l_tax", "max", "<", 0.01),
     Rule("discounted", "l_discount", "max", ">", 0.09),
 )
-DECIMAL = "decimal(18,2)"
+# Sums of this type have 18 digits, which Spark keeps in one long.
+DECIMAL = "decimal(8,2)"
 
 SHAPE = {"keys": KEYS, "channels": CHANNELS, "spec": SPEC, "rules": RULES}
 LINE_SHAPE = {

@@ -115,26 +115,29 @@ def upsert(
     this table serves reads and can be rebuilt from the changelog; it is not the record.
     """
     spark = batch.sparkSession
-    incoming = keep_latest(batch, keys, revision, seq=keys)
-    n = incoming.count()
-    if n == 0:
-        return 0
-    incoming = enforce_schema(incoming, schema)
-    if exists(spark, path):
-        touched = incoming.select(*partition_by).distinct()
-        stored = scan(spark, path, schema).join(touched, list(partition_by), "left_semi")
-        both = stored.withColumn("_new", F.lit(1)).unionByName(
-            incoming.withColumn("_new", F.lit(2))
+    incoming = enforce_schema(keep_latest(batch, keys, revision, seq=keys), schema).persist()
+    try:
+        n = incoming.count()
+        if n == 0:
+            return 0
+        rows = incoming
+        if exists(spark, path):
+            touched = incoming.select(*partition_by).distinct()
+            stored = scan(spark, path, schema).join(touched, list(partition_by), "left_semi")
+            both = stored.withColumn("_new", F.lit(1)).unionByName(
+                incoming.withColumn("_new", F.lit(2))
+            )
+            rows = keep_latest(both, keys, revision, seq=["_new"]).drop("_new")
+        (
+            rows.hint("rebalance", *partition_by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .parquet(path)
         )
-        incoming = keep_latest(both, keys, revision, seq=["_new"]).drop("_new")
-    (
-        incoming.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-    return n
+        return n
+    finally:
+        incoming.unpersist()
 
 
 def export_json(results: DataFrame, path: str, keys: Sequence[str] = KEYS) -> None:

@@ -161,6 +161,7 @@ class ExactLateWindows:
             spec=self.spec,
             rules=self.rules,
             fired=fires,
+            sizes=groups.groupBy(*self.keys, START).agg(F.count(F.lit(1)).alias("n")),
         )
 
     def _kept(self, groups: DataFrame, now_ms: int | None) -> DataFrame:

@@ -98,6 +98,10 @@ def test_changelog_batch_is_replaced_when_run_again(spark, tmp_path, log, final)
     stored = changelog.read_batches(spark, path)
     assert stored.count() == log.count()
     assert same(changelog.latest_view(stored), final)
+    serving = str(tmp_path / "serving")
+    changelog.refresh(stored.where("batch_id = 0"), serving, result_schema())
+    changelog.refresh(stored, serving, result_schema(), after_batch_id=0)
+    assert same(lake.scan(spark, serving, result_schema()), final)
 
 
 def test_merge_statement_guards_the_revision():

@@ -99,6 +99,11 @@ def test_empty_batch_carries_state_over(spark, tmp_path):
     sink(df, 0)
     sink(df.where("false"), 1)
     assert same(sink.state(spark, 1), sink.state(spark, 0))
+    sink.forget(spark, 1)
+    sink(df.where("false"), 2)
+    assert sink.state(spark, 2).count() == sink.state(spark, 1).count()
+    with pytest.raises(Exception):
+        sink.state(spark, 0)
 
 
 @pytest.mark.parametrize("salts", [1, 3])
@@ -160,7 +165,8 @@ def test_keyed_state_with_one_record_per_batch_equals_batch(spark, tmp_path):
 def test_native_modes(spark, tmp_path):
     in_order = frame(spark, [("A", i * 1_000) for i in range(60)], SHIFT)
     folder = str(tmp_path / "in")
-    in_order.write.parquet(folder)
+    for _ in feed(in_order, folder, (25,)):
+        pass
     stream = replay(spark, folder, in_order.schema, max_files=1)
     results = native_windows(stream, spec=SPEC)
     batch = telemetry_windows(in_order, spec=SPEC)

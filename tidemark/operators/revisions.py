@@ -91,13 +91,13 @@ def distinct_keys(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def having_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str] = NATURAL_KEY) -> DataFrame:
-    """Rows whose key occurs in ``wanted``."""
-    return df.join(wanted.select(*keys), list(keys), "left_semi")
+    """Rows whose key occurs in ``wanted``; repeats there collapse before the exchange."""
+    return df.join(distinct_keys(wanted, *keys), list(keys), "left_semi")
 
 
 def without_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str] = NATURAL_KEY) -> DataFrame:
     """Rows whose key does not occur in ``gone``; keys are matched as tuples."""
-    return df.join(gone.select(*keys), list(keys), "left_anti")
+    return df.join(distinct_keys(gone, *keys), list(keys), "left_anti")
 
 
 def drop_redelivered(df: DataFrame, record_id: str = "record_id") -> DataFrame:

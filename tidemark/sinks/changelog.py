@@ -9,8 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.revisions import NATURAL_KEY, REVISION, keep_latest
+from tidemark.operators.windows import KEYS
+from tidemark.sinks.lake import upsert
 
 BATCH = ("query_id", "batch_id")
 
@@ -34,3 +38,20 @@ def latest_view(
 ) -> DataFrame:
     """Highest revision per natural key; of equal ones the earliest batch's."""
     return keep_latest(changelog, keys, revision, seq=["batch_id", "query_id"]).drop(*BATCH)
+
+
+def refresh(
+    changelog: DataFrame,
+    serving_path: str,
+    schema: T.StructType,
+    *,
+    after_batch_id: int = -1,
+    keys: Sequence[str] = NATURAL_KEY,
+    partition_by: Sequence[str] = KEYS,
+) -> int:
+    """Fold the batches after ``after_batch_id`` into a serving table; -1 rebuilds it.
+
+    The serving table has one row per window in few files. Losing it loses nothing.
+    """
+    newer = changelog.where(F.col("batch_id") > after_batch_id).drop(*BATCH)
+    return upsert(newer, serving_path, schema, keys=keys, partition_by=partition_by)

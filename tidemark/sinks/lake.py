@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.files import exists
 from tidemark.operators.report import export_order
 from tidemark.operators.revisions import NATURAL_KEY, REVISION, keep_latest
 from tidemark.operators.windows import KEYS
@@ -93,11 +94,6 @@ def scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 def upsert(
     batch: DataFrame,
     path: str,

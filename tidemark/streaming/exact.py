@@ -15,6 +15,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.files import remove
 from tidemark.operators.lateness import (
     ORDER,
     POSITION,
@@ -125,6 +126,20 @@ class ExactLateWindows:
     def state(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return spark.read.parquet(batch_path(f"{self.path}/state", self.query_id, batch_id))
 
+    def forget(self, spark: SparkSession, before_batch_id: int) -> None:
+        """Remove the state of earlier batches, newest first, down to a gap.
+
+        Only the state before a batch that may still be run again is needed, so batches
+        before the last two can be given up at any time.
+        """
+        for batch_id in range(before_batch_id - 1, -1, -1):
+            removed = [
+                remove(spark, batch_path(f"{self.path}/{table}", self.query_id, batch_id))
+                for table in ("state", "seen")
+            ]
+            if not any(removed):
+                break
+
     def _carried(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame | None, int | None]:
         if batch_id == 0:
             return None, None

@@ -12,7 +12,9 @@ from tidemark.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[4]", shuffle_partitions=4)
+    session = build_session("local[4]", shuffle_partitions=2)
+    # Compiling wide plans costs more than these few rows; test_queries turns it on.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 

@@ -26,6 +26,13 @@ REPEATED = {
 pytestmark = pytest.mark.skipif(not pathlib.Path(SF_DIR).exists(), reason="no test data")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(SF_DIR)

@@ -44,13 +44,13 @@ _DIES = "_dies_at"
 class Closings:
     """``positions`` has a row for every window start that occurs: the position of the
     record after which the watermark had reached the window's end, and of the one after
-    which the allowed lateness was over (null: never). It is derived from ``marks``, a
-    settled table of ``starts`` rows that also holds ``max_ms``.
+    which the allowed lateness was over (null: never). It has at most ``starts`` rows and
+    derives from a settled table. ``newest_ms`` is the largest event time, if any.
     """
 
     positions: DataFrame
-    marks: DataFrame
     starts: int
+    newest_ms: int | None
 
 
 def closing_positions(
@@ -100,7 +100,7 @@ def closing_positions(
             F.max("max_ms").alias("max_ms"),
         )
     )
-    starts = marks.count()
+    found = marks.agg(F.count(F.lit(1)).alias("starts"), F.max("max_ms").alias("top")).first()
     # A window is closed by any record whose own closing bound lies in a later window.
     positions = (
         running(
@@ -109,12 +109,12 @@ def closing_positions(
             "_from_latest",
             {"_first_fire": ("min", _FIRES), "_first_death": ("min", _DIES)},
             inclusive=False,
-            at_most=starts,
+            at_most=found["starts"],
         )
         .where("_occurs = 1")
         .select(START, F.col("_first_fire").alias(_FIRES), F.col("_first_death").alias(_DIES))
     )
-    return Closings(positions, marks, starts)
+    return Closings(positions, found["starts"], found["top"])
 
 
 def classify_arrivals(

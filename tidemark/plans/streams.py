@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.revisions import keep_latest
@@ -36,9 +36,23 @@ RESULT_COLUMNS = [
 ]
 
 
-def _run(writer, checkpoint: str) -> None:
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def _run(spark: SparkSession, writer, checkpoint: str) -> None:
+    """Run a stateful query over what has arrived.
+
+    Its first start fixes the number of state partitions for good. There is nothing to
+    gain from more of them than the cluster has cores.
+    """
+    configured = spark.conf.get(_PARTITIONS)
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set(_PARTITIONS, str(min(int(configured), cores)))
+    try:
+        writer = writer.option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(_PARTITIONS, configured)
 
 
 def _per_batch(path: str):
@@ -118,7 +132,7 @@ def _stateful_run(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
             stream, keys=KEYS, channels=CHANNELS, spec=SPEC, spread="event_id", salts=2
         )
         writer = tagged.writeStream.outputMode("append").foreachBatch(_per_batch(f"{base}/out"))
-        _run(writer, f"{base}/checkpoint")
+        _run(inputs.spark, writer, f"{base}/checkpoint")
     still_open = open_windows(inputs.spark, f"{base}/checkpoint", KEYS, CHANNELS)
     return inputs.spark.read.parquet(f"{base}/out"), still_open
 
@@ -147,7 +161,7 @@ def native_windows_final(inputs: Inputs) -> DataFrame:
     base = inputs.scratch("native")
     results = native_windows(_in_order_stream(inputs, base), **SHAPE)
     writer = results.writeStream.outputMode("append").format("parquet")
-    _run(writer.option("path", f"{base}/out"), f"{base}/checkpoint")
+    _run(inputs.spark, writer.option("path", f"{base}/out"), f"{base}/checkpoint")
     return inputs.spark.read.schema(results.schema).parquet(f"{base}/out")
 
 
@@ -156,7 +170,7 @@ def native_windows_update(inputs: Inputs) -> DataFrame:
     base = inputs.scratch("native")
     results = native_windows(_in_order_stream(inputs, base), **SHAPE)
     writer = results.writeStream.outputMode("update").foreachBatch(_per_batch(f"{base}/out"))
-    _run(writer, f"{base}/checkpoint")
+    _run(inputs.spark, writer, f"{base}/checkpoint")
     stored = inputs.spark.read.parquet(f"{base}/out")
     latest = keep_latest(stored, (*KEYS, START), revision="batch_id", seq=["sample_count"])
     return latest.select(*RESULT_COLUMNS)
@@ -166,7 +180,7 @@ def bounded_replay(inputs: Inputs) -> DataFrame:
     """The stored telemetry read as a finite stream and written out again."""
     base = inputs.scratch("replay")
     writer = _in_order_stream(inputs, base).writeStream.format("parquet")
-    _run(writer.option("path", f"{base}/out"), f"{base}/checkpoint")
+    _run(inputs.spark, writer.option("path", f"{base}/out"), f"{base}/checkpoint")
     stored = inputs.spark.read.schema(inputs.telemetry.schema).parquet(f"{base}/out")
     return stored.select(
         "event_id", "user_id", "event_ts_ms", "arrival_ms",

@@ -57,8 +57,8 @@ class ExactLateWindows:
         batch = batch.persist()
         try:
             closings = closing_positions(batch, spec, self.order, self.time)
-            newest = closings.marks.agg(F.max("max_ms")).first()[0]
-            now_ms = max((m for m in (seen_ms, newest) if m is not None), default=None)
+            known = [m for m in (seen_ms, closings.newest_ms) if m is not None]
+            now_ms = max(known, default=None)
             annotated = classify_arrivals(
                 batch, closings, spec, self.order, self.time, seen_ms
             )

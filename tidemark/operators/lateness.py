@@ -153,7 +153,11 @@ def annotate_lateness(
     order: Sequence[str] = ORDER,
     time: str = TIME,
 ) -> DataFrame:
-    """Tag every record ``on``, ``late`` or ``dead`` as of its own arrival."""
+    """Tag every record ``on``, ``late`` or ``dead`` as of its own arrival.
+
+    Calling this runs one aggregation over ``time`` and the order columns; tagging itself
+    stays lazy. ``order`` must be unique, or records in the same place count as one update.
+    """
     closings = closing_positions(df, spec, order, time)
     return classify_arrivals(df, closings, spec, order, time)
 

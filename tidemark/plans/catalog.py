@@ -136,11 +136,11 @@ def prune_by_key(x: Inputs) -> DataFrame:
 def load_or_create(x: Inputs) -> DataFrame:
     name = f"windows_{uuid.uuid4().hex}"
     where = x.scratch("table")
-    stored = T.StructType([*x.schema.fields[1:], x.schema.fields[0]])
+    stored = _bucketed_schema(x)
     for _ in range(2):  # the second call finds the table
-        lake.ensure_table(x.spark, name, stored, partition_by=KEYS, location=where)
-    rows = lake.enforce_schema(x.final, stored).hint("rebalance", *KEYS)
-    rows.write.insertInto(name)
+        lake.ensure_table(x.spark, name, stored, partition_by=[lake.BUCKET], location=where)
+    rows = lake.enforce_schema(lake.bucketed(x.final, 16, KEYS), stored)
+    rows.hint("rebalance", lake.BUCKET).write.insertInto(name)
     return x.spark.table(name).select(*x.schema.names)
 
 

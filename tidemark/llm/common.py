@@ -62,10 +62,11 @@ def by_bytes(items: Iterable, limit: int, size=len) -> Iterator[list]:
         yield batch
 
 
-def as_lists(packed: list[bytes | None]) -> pa.Array:
-    """Little-endian 32-bit integers, packed by row, as an Arrow list array."""
-    ends = np.cumsum([0, *(len(p or b"") // 4 for p in packed)], dtype=np.int64).astype(np.int32)
-    values = pa.array(np.frombuffer(b"".join(p or b"" for p in packed), "<i4"))
+def as_lists(packed: list[bytes | None], kind: str = "<i4") -> pa.Array:
+    """Integers of one kind, packed by row, as an Arrow list array."""
+    width = np.dtype(kind).itemsize
+    ends = np.cumsum([0, *(len(p or b"") // width for p in packed)], dtype=np.int64).astype(np.int32)
+    values = pa.array(np.frombuffer(b"".join(p or b"" for p in packed), kind))
     mask = pa.array([p is None for p in packed], pa.bool_())
     return pa.ListArray.from_arrays(pa.array(ends), values, mask=mask)
 

@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    decontamination,
     language_id,
+    near_duplicates,
+    oracles,
     quality_ranking,
     sentencepiece_viterbi,
     sharding,
@@ -31,6 +34,10 @@ def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.interleaved_shards(table(spark, sf_dir, "documents"), SHARDS)
     return shards.select(
@@ -45,6 +52,19 @@ def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["item_id"])))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(COUNT_TOKENIZER)
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
@@ -72,11 +92,17 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_ranking,
+        op2_minhash_near_dedup,
         op3_interleaved_shards,
+        op4_suffix_decontamination,
         op6_token_counts,
         op8_token_files,
         op9_sentencepiece,
         op10_language_id,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op3_interleaved_shards": oracles.SHARDS,
+    "op4_suffix_decontamination": oracles.CONTAMINATION,
+}

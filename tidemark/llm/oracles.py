@@ -85,3 +85,15 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard,
   (place - shard * small - least(shard, extra))::BIGINT AS slot, NULL::INT AS grown_shard, source
 FROM cut
 """
+
+CAPTURES = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
+known AS (SELECT page_id, p, strlen(p)::BIGINT AS payload_bytes, sha1(p) AS h, max(page_id) OVER (PARTITION BY p) AS last FROM payloads)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(h, (10 * (i // 8) + 1)::INT, 10))::BIGINT >> (5 * (7 - i % 8))) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to, TRUE AS digest_holds
+FROM known
+"""

@@ -16,8 +16,9 @@ from tidemark.llm import (
     sharding,
     token_counts,
     token_files,
+    warc,
 )
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import held_out, stored, table
 from tidemark.session import scratch_dir
 
 COUNT_TOKENIZER = "word_bpe_49k.json"
@@ -65,6 +66,37 @@ def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), out)
+    found = stored(warc.transactions(warc.read_archives(spark, out, payloads=False)), "transactions")
+    rows = found.select(
+        F.col("capture_id"),
+        F.col("metadata.fields")["page-id"].cast("long").alias("page_id"),
+        "capture.payload_bytes",
+        F.coalesce("capture.declared_digest", "capture.payload_digest").alias("declared"),
+        F.col("capture.payload_digest").alias("payload_digest"),
+        F.col("capture.type").alias("record_type"),
+        F.col("capture.refers_to").alias("to"),
+    )
+    # What a revisit doesn't hold is that of the response which it refers to.
+    full = rows.filter("record_type = 'response'").select(
+        F.col("capture_id").alias("to"),
+        F.col("page_id").alias("refers_to"),
+        F.col("payload_bytes").alias("full_bytes"),
+        F.col("payload_digest").alias("full_digest"),
+    )
+    own = F.col("record_type") == "response"
+    return rows.join(full, "to", "left").select(
+        "page_id",
+        F.when(own, F.col("payload_bytes")).otherwise(F.col("full_bytes")).alias("payload_bytes"),
+        F.when(own, F.col("payload_digest")).otherwise(F.col("full_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+        (F.col("declared") == F.when(own, F.col("payload_digest")).otherwise(F.col("full_digest"))).alias("digest_holds"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(COUNT_TOKENIZER)
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
@@ -95,6 +127,7 @@ QUERIES = {
         op2_minhash_near_dedup,
         op3_interleaved_shards,
         op4_suffix_decontamination,
+        op5_warc_transactions,
         op6_token_counts,
         op8_token_files,
         op9_sentencepiece,
@@ -105,4 +138,5 @@ ORACLES = {
     "op2_minhash_near_dedup": oracles.NEAR_DUPLICATES,
     "op3_interleaved_shards": oracles.SHARDS,
     "op4_suffix_decontamination": oracles.CONTAMINATION,
+    "op5_warc_transactions": oracles.CAPTURES,
 }

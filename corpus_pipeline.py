@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, quality_ranking, sentencepiece_viterbi
+from tidemark.llm import decontamination, language_id, near_duplicates, quality_ranking, sentencepiece_viterbi
 from tidemark.llm.common import held_out, stored, table
 from tidemark.llm.queries import PIECE_MODEL
 
@@ -24,6 +24,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_ranking.keep_good(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
 
 
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_duplicates.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a word in a window of the benchmark."""
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of what is left, beside the columns of documents."""
     return sentencepiece_viterbi.with_pieces(docs, public_tokenizers.path(PIECE_MODEL))
@@ -32,6 +42,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language ID", language),
     ("quality classifier", quality),
+    ("MinHash near-dedup", deduplicate),
+    ("benchmark decontamination", decontaminate),
     ("SentencePiece encoding", encode),
 ]
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontamination,
+    hnsw,
     language_id,
     near_duplicates,
     oracles,
@@ -27,6 +28,7 @@ FILE_TOKENIZER = "byte_bpe_50k.json"
 FILE_END_ID = 0
 PIECE_MODEL = "piece_bpe_32k.model"
 SHARDS = 16
+NEIGHBOURS = 20
 
 
 def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +104,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
 
 
+def op7_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, NEIGHBOURS)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, out = public_tokenizers.path(FILE_TOKENIZER), scratch_dir(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, out, FILE_END_ID)
@@ -129,6 +135,7 @@ QUERIES = {
         op4_suffix_decontamination,
         op5_warc_transactions,
         op6_token_counts,
+        op7_hnsw_neighbours,
         op8_token_files,
         op9_sentencepiece,
         op10_language_id,

@@ -15,6 +15,8 @@ from tidemark.session import scratch_dir
 #: Arrow batches handed to Python hold at most so many rows and bytes of text.
 BATCH_ROWS = 2_000
 BATCH_BYTES = 8 << 20
+#: Bytes of text that are taken apart into words at once.
+PART_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,6 +17,7 @@ distinct word once per batch, and short ones are remembered within a bound.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Iterator
 
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import BATCH_BYTES, as_lists, bounded_batches, by_bytes, texts, unlike
+from tidemark.llm.common import PART_BYTES, as_lists, bounded_batches, by_bytes, texts, unlike
 from tidemark.llm.token_counts import REMEMBERED, Remembered
 
 SPACE = "▁"
@@ -124,13 +125,22 @@ class Pieces:
         return text.removeprefix(SPACE).replace(SPACE, " ")
 
 
+@functools.lru_cache(2)
+def load(path: str) -> Pieces:
+    return Pieces(path)
+
+
+@functools.lru_cache(2)
 def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | None]], list[bytes]]:
-    """A function from texts to their ids, packed as little-endian 32-bit integers."""
-    pieces, known = Pieces(path), Remembered(remembered)
+    """A function from texts to their ids, packed as little-endian 32-bit integers.
+
+    Kept between the tasks of a worker, with what it remembers.
+    """
+    pieces, known = load(path), Remembered(remembered)
 
     def encode(batch: list[bytes | None]) -> list[bytes]:
         out: list[bytes] = []
-        for part in by_bytes((t or b"" for t in batch), BATCH_BYTES):
+        for part in by_bytes((t or b"" for t in batch), PART_BYTES):
             words = [pieces.words(t.decode()) for t in part]
             fresh = sorted(set().union(*words).difference(known))
             for word in fresh:
@@ -160,7 +170,7 @@ def decode_pieces(ids: Column, path: str) -> Column:
 
     @F.arrow_udf(T.StringType())
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = Pieces(path)
+        pieces = load(path)
         for batch in batches:
             flat = batch.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))

@@ -8,6 +8,7 @@ many bytes; counts of short segments are remembered within a bounded memory.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 from collections.abc import Callable, Iterator
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import BATCH_BYTES, bounded_batches, by_bytes, texts
+from tidemark.llm.common import PART_BYTES, bounded_batches, by_bytes, texts
 
 #: Bytes of segments in one call of the tokenizer.
 CALL_BYTES = 1 << 18
@@ -53,13 +54,17 @@ def load(path: str):
     return tokenizer
 
 
+@functools.lru_cache(2)
 def counter(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | None]], list[int]]:
-    """A function from texts to token counts with the tokenizer file at ``path``."""
+    """A function from texts to token counts with the tokenizer file at ``path``.
+
+    Kept between the tasks of a worker, with what it remembers.
+    """
     tokenizer, known = load(path), Remembered(remembered)
 
     def count(batch: list[bytes | None]) -> list[int]:
         out: list[int] = []
-        for part in by_bytes((t or b"" for t in batch), BATCH_BYTES):
+        for part in by_bytes((t or b"" for t in batch), PART_BYTES):
             segments = [t.split() for t in part]
             fresh = sorted(set().union(*segments).difference(known))
             for call in by_bytes(fresh, CALL_BYTES):

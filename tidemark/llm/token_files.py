@@ -12,8 +12,10 @@ document in the range of documents that one task wrote.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import BATCH_BYTES, as_lists, bounded_batches, by_bytes, texts
+from tidemark.llm.common import PART_BYTES, as_lists, bounded_batches, by_bytes, texts
 from tidemark.llm.token_counts import CALL_BYTES, KEEP_BYTES, REMEMBERED, Remembered, load
 
 #: A single space or line break between two other characters: this kind of tokenizer starts
@@ -38,26 +40,63 @@ PAGE_ROWS = 1_000
 FILE_ROWS = 200_000
 
 
+#: A word and the marks after it, which this kind of tokenizer takes apart just there.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def byte_alphabet() -> dict[int, int]:
+    """The characters by which byte-level vocabularies write bytes: printable ones as they are."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
+
+
+@functools.lru_cache(2)
 def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | None]], list[bytes]]:
-    """A function from texts to their ids as little-endian unsigned 32-bit integers."""
-    tokenizer = load(path)
+    """A function from texts to their ids as little-endian unsigned 32-bit integers.
+
+    A text is cut where its pieces are independent; each distinct segment is encoded once.
+    Segments of a word and marks go to the tokenizer's model directly, as the two pieces
+    they are, all others through its whole encoding. Kept between the tasks of a worker.
+    """
+    tokenizer, alphabet = load(path), byte_alphabet()
+    model = tokenizer.model
     plain, spaced = Remembered(remembered // 4), Remembered(remembered)
+    marks: dict[str, bytes] = {"": b""}
+
+    def packed(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes()
 
-    def packed(found) -> bytes:
-        return np.asarray(found.ids, "<u4").tobytes()
+    def piece(text: str) -> bytes:
+        return packed([t.id for t in model.tokenize(text.encode().decode("latin-1").translate(alphabet))])
 
     def learn(fresh: set[str], known: Remembered, before: str) -> list[str]:
-        ordered = sorted(fresh.difference(known))
-        for call in by_bytes(ordered, CALL_BYTES):
+        others = []
+        fresh = fresh.difference(known)
+        for segment in fresh:
+            if not (simple := SIMPLE.fullmatch(segment)):
+                others.append(segment)
+                continue
+            word, after = simple.groups()
+            tail = marks.get(after)
+            if tail is None:
+                tail = piece(after)
+                if len(after) < 4:  # few enough to keep them all
+                    marks[after] = tail
+            head = known.get(word)
+            if head is None:
+                head = known[word] = piece(before + word)
+            known[segment] = head + tail
+        for call in by_bytes(sorted(others), CALL_BYTES):
             encoded = tokenizer.encode_batch_fast([before + s for s in call], add_special_tokens=False)
-            known.update(zip(call, map(packed, encoded), strict=True))
-        return [s for s in ordered if len(s) > KEEP_BYTES]
+            known.update((s, packed(e.ids)) for s, e in zip(call, encoded, strict=True))
+        return [s for s in fresh if len(s) > KEEP_BYTES]
 
-    newline = packed(tokenizer.encode("\n", add_special_tokens=False))
+    newline = packed(tokenizer.encode("\n", add_special_tokens=False).ids)
 
     def encode(batch: list[bytes | None]) -> list[bytes]:
         out: list[bytes] = []
-        for part in by_bytes((t or b"" for t in batch), BATCH_BYTES):
+        for part in by_bytes((t or b"" for t in batch), PART_BYTES):
             lines = [[WORD.split(line) for line in LINE.split(t.decode())] for t in part]
             firsts = {words[0] for text in lines for words in text}
             rest: set[str] = set().union(*(words[1:] for text in lines for words in text))

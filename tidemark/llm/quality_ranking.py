@@ -139,12 +139,12 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Ranking:
     every document scores above the cut if label 1 is there or no label at all, else below.
     """
     rows = rows.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
+    rows = stored(rows, "quality-teach")  # read for counts, both sides of pairs, and scores
     total, bad = rows.agg(F.count("*"), F.count_if(F.col("label") == 0)).first()
     if bad in (0, total):
         return Ranking((0.0,) * N_FEATURES, -1.0 if bad == 0 else 1.0)
     if total > fit_rows:
-        rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-        rows = stored(rows, "quality-fit")
+        rows = stored(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "quality-fit")
     model = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=60, aggregationDepth=2)
     fitted = model.fit(preference_pairs(rows))
     ranking = Ranking(tuple(map(float, fitted.coefficients)), 0.0)
@@ -188,7 +188,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, learn_from: Column) -> DataFra
     """The rows of ``docs`` that a ranking learnt from them predicts to be good."""
     bounded_batches(docs.sparkSession)
     known = labels.select("doc_id", F.col("quality").alias("label"))
-    teach = docs.filter(learn_from).select("doc_id", "text").join(known, "doc_id")
-    teach = stored(teach.select("doc_id", "label", text_features(F.col("text")).alias("x")), "quality-teach")
-    ranking = fit(teach)
+    # Features move to their labels, texts don't.
+    teach = docs.filter(learn_from).select("doc_id", text_features(F.col("text")).alias("x"))
+    teach = stored(teach, "quality-features")
+    ranking = fit(teach.join(known, "doc_id").select("doc_id", "x", "label"))
     return docs.filter(ranking.score(text_features(F.col("text"))) >= CUT)

@@ -4,12 +4,14 @@
    the minima of the set under many universal hash functions, and a key per band of minima.
 2. Texts with equal sets are one class, which its smallest document stands for.
 3. Representatives that share a band key are in a bucket. A bucket emits no pairs within:
-   its members are compared with two of them, one drawn by a hash and the one that shares
-   most buckets. Pairs must agree in their signatures before their full sets are compared.
-4. Where a bucket then still holds several components, its members go to an exact join: each
-   offers the rarest quarter of its shingles, of which any two linked sets share one, and
-   those of different components that do are compared on their full sets.
-5. Components by alternating large-star and small-star.
+   its members are compared with the one that shares most buckets. Pairs must agree in
+   their signatures before their full sets are compared. Components follow by alternating
+   large-star and small-star.
+4. In buckets that still hold several components, members are compared with one drawn by a
+   hash, of another component than theirs.
+5. Where a bucket then still holds several, its members go to an exact join: each offers
+   the rarest quarter of its shingles, of which any two linked sets share one, and those of
+   different components that do are compared on their full sets.
 
 A linked pair at the threshold shares no band with a chance of (1 - 0.75^5)^40, one in
 50,000, and a component usually has more than one link.
@@ -63,7 +65,8 @@ class Shingler:
         if not words:
             return np.zeros(0, np.uint64)
         known = self.known
-        fresh = set(words).difference(known)
+        used = set(words)
+        fresh = used.difference(known)
         known.update((w, xxhash.xxh3_64_intdigest(w)) for w in fresh)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         size = min(self.size, len(words))
@@ -72,7 +75,7 @@ class Shingler:
         for k in range(size):
             total = _mixed(total * _MIX + h[k : k + n])
         if len(known) > known.limit:
-            known.trim([w for w in fresh if len(w) > KEEP_BYTES])
+            known.trim([w for w in fresh if len(w) > KEEP_BYTES], used)
         return np.unique(total)
 
 
@@ -176,29 +179,34 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _buckets(members: DataFrame) -> DataFrame:
-    """``band, key, node, n, m, hub``: nodes of buckets of several, with a member drawn by hash."""
-    drawn = members.groupBy("band", "key").agg(
-        F.count("*").alias("m"), F.min_by("node", F.xxhash64("node", "key")).alias("hub")
-    )
-    return members.join(drawn.filter("m > 1"), ["band", "key"])
+    """``band, key, node, m``: the nodes of buckets of several, and how many those are."""
+    sizes = members.groupBy("band", "key").agg(F.count("*").alias("m")).filter("m > 1")
+    return members.join(sizes, ["band", "key"])
 
 
-def link(docs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """``node, component`` for representatives with links; ``sketch`` is of representatives."""
-    members = sketch.select(
-        F.col("doc_id").alias("node"),
-        F.posexplode("keys").alias("band", "key"),
-    )
-    buckets = stored(_buckets(members), "buckets")
-    # The member that shares most buckets, counted with their sizes, is nearest to the
-    # origin of a group of copies.
+def _central_pairs(buckets: DataFrame) -> DataFrame:
+    """Each member with the one that shares most buckets, counted with their sizes.
+
+    That one is nearest to the origin of a group of copies, and mostly the same for all
+    buckets of a group.
+    """
     weight = buckets.groupBy("node").agg(F.sum("m").alias("w"))
     central = (
-        buckets.filter("m > 2").join(weight, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("w", "node")).alias("v"))
-    )
-    pairs = buckets.select("node", F.col("hub").alias("v")).unionAll(
-        buckets.filter("m > 2").join(central, ["band", "key"]).select("node", "v")
+        buckets.join(weight, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("w", "node")).alias("v"))
     )
+    return buckets.join(central, ["band", "key"]).select("node", "v")
+
+
+def _drawn_pairs(mixed: DataFrame) -> DataFrame:
+    """Each member with one drawn by a hash, where the two are of different components."""
+    who = F.struct(F.col("node").alias("v"), F.col("label").alias("label_v"))
+    drawn = mixed.groupBy("band", "key").agg(F.min_by(who, F.xxhash64("node", "key")).alias("hub"))
+    both = mixed.join(drawn, ["band", "key"]).select("node", "label", "hub.v", "hub.label_v")
+    return both.filter("label != label_v").select("node", "v")
+
+
+def _compared(pairs: DataFrame, sketch: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links ``u, v`` among ``pairs(node, v)``: by sizes, signatures, then full sets."""
     pairs = pairs.filter("node != v").select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v"))
     pairs = pairs.distinct()
     known = sketch.select("doc_id", "n_shingles", "signature")
@@ -211,13 +219,33 @@ def link(docs: DataFrame, sketch: DataFrame) -> DataFrame:
     likely = likely.filter(agreement(F.col("s_u"), F.col("s_v")) >= int(SIGNATURE_SHARE * BANDS * ROWS))
     likely = stored(likely.select("u", "v"), "likely-pairs")
     sets = _sets_of(docs, likely.select("u").unionAll(likely.select("v")))
-    links = stored(_verified(likely, sets), "links")
+    return stored(_verified(likely, sets), "links")
+
+
+def link(docs: DataFrame, sketch: DataFrame) -> DataFrame:
+    """``node, component`` for representatives with links; ``sketch`` is of representatives."""
+    members = sketch.select(F.col("doc_id").alias("node"), F.posexplode("keys").alias("band", "key"))
+    buckets = stored(_buckets(members), "buckets")
+    links = _compared(_central_pairs(buckets), sketch, docs)
+    labels = stored(components(links), "labels")
+    # In a bucket of two, the pair itself has been compared.
+    mixed = _undecided(buckets.filter("m > 2").select("band", "key", "node"), labels)
+    if mixed.isEmpty():
+        return labels
+    links = links.unionAll(_compared(_drawn_pairs(mixed), sketch, docs))
     labels = stored(components(links), "labels")
-    rest = _unresolved(buckets, labels)
-    if rest.isEmpty():
+    mixed = _undecided(mixed.select("band", "key", "node"), labels)
+    if mixed.isEmpty():
         return labels
-    more = _exact_links(docs, rest)
-    return components(links.unionAll(more))
+    return components(links.unionAll(_exact_links(docs, mixed.select("node", "label").distinct())))
+
+
+def _undecided(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """``band, key, node, label`` of the buckets that hold several components."""
+    rows = buckets.join(labels, "node", "left")
+    rows = rows.select("band", "key", "node", F.coalesce("component", "node").alias("label"))
+    several = rows.groupBy("band", "key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b")
+    return stored(rows.join(several, ["band", "key"], "left_semi"), "mixed-buckets")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -225,17 +253,6 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return stored(shingle_sets(docs.join(wanted, "doc_id", "left_semi")), "shingle-sets")
 
 
-def _unresolved(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """``node, label`` of the members of buckets that hold several components.
-
-    In a bucket of two, the pair itself has been compared.
-    """
-    open_ = buckets.filter("m > 2").select("band", "key", "node")
-    open_ = open_.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    mixed = open_.groupBy("band", "key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b")
-    return stored(open_.join(mixed, ["band", "key"], "left_semi").select("node", "label").distinct(), "unresolved")
-
-
 def _exact_links(docs: DataFrame, rest: DataFrame) -> DataFrame:
     """All links between nodes of different labels, by the rarest shingles of each set."""
     sets = _sets_of(docs, rest.select("node"))

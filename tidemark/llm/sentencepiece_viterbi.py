@@ -142,11 +142,12 @@ def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | N
         out: list[bytes] = []
         for part in by_bytes((t or b"" for t in batch), PART_BYTES):
             words = [pieces.words(t.decode()) for t in part]
-            fresh = sorted(set().union(*words).difference(known))
+            used = set().union(*words)
+            fresh = sorted(used.difference(known))
             for word in fresh:
                 known[word] = np.asarray(pieces.segment(word), "<i4").tobytes()
             out += [b"".join(map(known.__getitem__, w)) for w in words]
-            known.trim([w for w in fresh if len(w) > KEEP_CHARS])
+            known.trim([w for w in fresh if len(w) > KEEP_CHARS], used)
         return out
 
     return encode

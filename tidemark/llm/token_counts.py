@@ -34,13 +34,17 @@ class Remembered(dict):
         super().__init__()
         self.limit = limit
 
-    def trim(self, long_ones: list[bytes]) -> None:
-        """After a batch: forget its long segments and, when too many, the oldest half."""
+    def trim(self, long_ones: list[bytes], in_use: set) -> None:
+        """After a batch: forget its long segments and, when too many, the older half.
+
+        Those that the batch used stay, as they are likely to come again.
+        """
         for key in long_ones:
             self.pop(key, None)
         if len(self) > self.limit:
             for key in list(itertools.islice(self, len(self) - self.limit // 2)):
-                del self[key]
+                if key not in in_use:
+                    del self[key]
 
 
 def load(path: str):
@@ -66,12 +70,13 @@ def counter(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | N
         out: list[int] = []
         for part in by_bytes((t or b"" for t in batch), PART_BYTES):
             segments = [t.split() for t in part]
-            fresh = sorted(set().union(*segments).difference(known))
+            used = set().union(*segments)
+            fresh = sorted(used.difference(known))
             for call in by_bytes(fresh, CALL_BYTES):
                 encoded = tokenizer.encode_batch_fast([s.decode() for s in call], add_special_tokens=False)
                 known.update(zip(call, map(len, encoded), strict=True))
             out += [sum(map(known.__getitem__, words)) for words in segments]
-            known.trim([s for s in fresh if len(s) > KEEP_BYTES])
+            known.trim([s for s in fresh if len(s) > KEEP_BYTES], used)
         return out
 
     return count

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import PART_BYTES, as_lists, bounded_batches, by_bytes, texts
-from tidemark.llm.token_counts import CALL_BYTES, KEEP_BYTES, REMEMBERED, Remembered, load
+from tidemark.llm.token_counts import CALL_BYTES, KEEP_BYTES, Remembered, load
 
 #: A single space or line break between two other characters: this kind of tokenizer starts
 #: a new piece before such a space, and both before and after such a line break.
@@ -36,10 +36,28 @@ WORD = re.compile(r"(?<=\S) (?=\S)")
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1_000
+#: Segments remembered per Python worker, about 200 bytes each.
+REMEMBERED = 600_000
 #: Rows per file at most.
 FILE_ROWS = 200_000
 
 
+#: Where these don't occur, every blank or line break is such a one.
+_OTHERWISE = (
+    "  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000",
+    *map(chr, range(0x2000, 0x200B)),
+)
+
+
+def _lines(text: str) -> list[tuple[str, list[str]]]:
+    """Segments of a text: by line, the first, and those that follow a single blank."""
+    if text.strip() == text and not any(x in text for x in _OTHERWISE):
+        cut = (line.partition(" ") for line in text.split("\n"))
+        return [(first, rest.split(" ") if blank else []) for first, blank, rest in cut]
+    cut = (WORD.split(line) for line in LINE.split(text))
+    return [(words[0], words[1:]) for words in cut]
+
+
 #: A word and the marks after it, which this kind of tokenizer takes apart just there.
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -97,17 +115,17 @@ def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | N
     def encode(batch: list[bytes | None]) -> list[bytes]:
         out: list[bytes] = []
         for part in by_bytes((t or b"" for t in batch), PART_BYTES):
-            lines = [[WORD.split(line) for line in LINE.split(t.decode())] for t in part]
-            firsts = {words[0] for text in lines for words in text}
-            rest: set[str] = set().union(*(words[1:] for text in lines for words in text))
+            lines = [_lines(t.decode()) for t in part]
+            firsts = {first for text in lines for first, _ in text}
+            rest: set[str] = set().union(*(words for text in lines for _, words in text))
             long_plain, long_spaced = learn(firsts, plain, ""), learn(rest, spaced, " ")
             get = spaced.__getitem__
             out += [
-                newline.join([plain[words[0]] + b"".join(map(get, words[1:])) for words in text])
+                newline.join([plain[first] + b"".join(map(get, words)) for first, words in text])
                 for text in lines
             ]
-            plain.trim(long_plain)
-            spaced.trim(long_spaced)
+            plain.trim(long_plain, firsts)
+            spaced.trim(long_spaced, rest)
         return out
 
     return encode

@@ -33,6 +33,7 @@ HEADLINE = {
     "lake_upsert": "events",
     "native_windows_final": "events",
     "late_windows_exact": "events",
+    "late_window_processor": "events",
 }
 
 

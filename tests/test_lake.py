@@ -105,5 +105,27 @@ def test_changelog_batch_is_replaced_when_run_again(spark, tmp_path, log, final)
 
 
 def test_merge_statement_guards_the_revision():
-    sql = lake.merge_statement("lake.windows", "batch", ["sat_id", "revision"])
+    sql = lake.merge_statement("lake.windows", "batch", ["key", "revision"], keys=["key", "day"])
+    assert "t.`key` = s.`key` AND t.`day` = s.`day`" in sql and "sat_id" not in sql
+    assert "PARTITION BY `key`, `day` ORDER BY `revision` DESC" in sql
     assert "WHEN MATCHED AND s.`revision` > t.`revision`" in sql
+
+
+def test_upsert_writes_only_days_with_newer_rows(spark, tmp_path, log, final):
+    path = str(tmp_path / "serving")
+    day = 24 * 3_600_000
+    moved = F.when(F.col("sat_id") == "S1", F.col("window_start_ms") + 3 * day)
+    rows = final.withColumn("window_start_ms", F.coalesce(moved, "window_start_ms"))
+    fields = [T.StructField(c, T.IntegerType()) for c in (lake.DAY, lake.BUCKET)]
+    schema = T.StructType([*result_schema().fields, *fields])
+
+    def refresh(batch):
+        lake.upsert(lake.laid_out(batch, 2), path, schema, partition_by=[lake.DAY, lake.BUCKET])
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "serving").rglob("part-*")}
+
+    first = refresh(rows)
+    assert refresh(rows) == first
+    newer = rows.where("sat_id = 'S1'").withColumn("revision", F.col("revision") + 1)
+    second = refresh(newer)
+    changed = set(first.items()) ^ set(second.items())
+    assert changed and not any(f"{lake.DAY}={d}/" in name for name, _ in changed for d in (-1, 0, 1))

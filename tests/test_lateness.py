@@ -47,6 +47,18 @@ def test_too_late_record_is_kept_as_dead_letter(spark):
     assert set(df.columns) <= set(dead.columns)
 
 
+def test_dead_letters_say_why_and_which_watermark_they_met(spark):
+    spec = WindowSpec(10_000, 2_000, 5_000)
+    df = frame(spark, [("A", 0), ("A", 100_000), ("A", 1_000), ("B", 200_000), ("B", 2_000)])
+    annotated = annotate_lateness(df, spec)
+    for target in (2, 100):
+        rows = dead_letters(annotated, spec, target=target).orderBy("event_ts_ms").collect()
+        assert [(r.event_ts_ms, r.reason, r.watermark_ms) for r in rows] == [
+            (1_000, "past_allowed_lateness", 98_000),
+            (2_000, "past_allowed_lateness", 198_000),
+        ]
+
+
 def test_watermark_trails_the_largest_event_time(spark):
     spec = WindowSpec(10_000, 3_000, 0)
     df = watermark_before(frame(spark, [("A", 5_000), ("A", 50_000), ("A", 50_001)]), spec)

@@ -65,3 +65,34 @@ def test_column_combined_in_two_ways_is_refused(spark):
     df = spark.createDataFrame([(i, 1) for i in range(20)], "o long, v long")
     with pytest.raises(ValueError):
         running(df, [], "o", {"a": ("sum", "v"), "b": ("max", "v")}, target=5)
+
+
+def test_dividing_changes_no_type_and_no_result(spark):
+    df = spark.createDataFrame([(i, 1_000_000_000) for i in range(20)], "o int, v int")
+    whole = running(df, [], "o", {"s": ("sum", "v")}, target=100)
+    parts = running(df, [], "o", {"s": ("sum", "v")}, target=4)
+    assert whole.schema == parts.schema
+    assert sorted(whole.collect()) == sorted(parts.collect())
+    assert parts.agg(F.max("s")).first()[0] == 20_000_000_000
+
+
+def test_hot_null_key_is_divided(spark):
+    rows = [(None, i, 1) for i in range(40)] + [("a", i, 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    chunked, divided = split_hot_groups(df, ["k"], "o", 6)
+    assert divided and chunked.groupBy("k", CHUNK).count().agg(F.max("count")).first()[0] <= 6
+    out = running(df, ["k"], "o", {"s": ("sum", "v")}, target=6)
+    assert sorted(r.s for r in out.where("k is null").collect()) == list(range(1, 41))
+
+
+def test_infinities_are_cells_of_their_own(spark):
+    values = [float("-inf"), -1.7e308, *[i / 10 for i in range(20)], 1.7e308, float("inf")]
+    df = spark.createDataFrame([(v, 1) for v in values], "o double, v long")
+    out = running(df, [], "o", {"rank": ("sum", "v")}, target=3)
+    assert [r.rank for r in out.orderBy("o").collect()] == list(range(1, len(values) + 1))
+
+
+def test_rows_that_cannot_be_divided_stay_together(spark):
+    df = spark.createDataFrame([(5.0, 1)] * 9, "o double, v long")
+    _, divided = split_hot_groups(df, [], "o", 3)
+    assert not divided

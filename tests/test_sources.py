@@ -30,6 +30,15 @@ def test_malformed_message_fails_or_becomes_null(spark):
         decode_json(df, record_schema()).collect()
 
 
+def test_decoding_keeps_the_position_in_the_topic(spark):
+    df = spark.createDataFrame([("{broken", 3, 17), ('{"sat_id": "A"}', 3, 18)], "value string, partition int, offset long")
+    out = decode_json(df, record_schema(), on_error="null", keep=["partition", "offset"], malformed="raw")
+    assert [(r.partition, r.offset, r.sat_id, r.raw) for r in out.orderBy("offset").collect()] == [
+        (3, 17, None, "{broken"),
+        (3, 18, "A", None),
+    ]
+
+
 def test_payload_round_trip(spark):
     df = frame(spark, [("A", 1, {"snr_db": 2.5})])
     message = kafka_payload(df).first()

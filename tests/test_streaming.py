@@ -19,10 +19,9 @@ from tidemark.streaming.stateful import (
     DEAD,
     KIND,
     RESULT,
-    ROCKSDB,
-    STATE_PROVIDER,
     late_windows_stream,
     open_windows,
+    rocksdb_state,
     window_results,
 )
 
@@ -30,6 +29,12 @@ SPEC = WindowSpec(10_000, 2_000, 20_000)
 RECORDS = disordered(160, 11, hot=0.4, late=0.3)
 
 
+@pytest.fixture
+def rocksdb(spark):
+    with rocksdb_state(spark):
+        yield
+
+
 def same(a, b):
     columns = [c for c in b.columns if not c.endswith("_avg")]
     a, b = a.select(*columns), b.select(*columns)
@@ -54,8 +59,8 @@ def run(writer, checkpoint):
     query.awaitTermination()
 
 
-def test_exact_stream_equals_batch_wherever_it_is_cut(spark, tmp_path):
-    cuts = (37, 38, 120)
+@pytest.mark.parametrize("cuts", [(), (37, 38, 120)])
+def test_exact_stream_equals_batch_wherever_it_is_cut(spark, tmp_path, cuts):
     df = frame(spark, RECORDS, SHIFT)
     sink = ExactLateWindows(str(tmp_path / "out"), spec=SPEC)
     last = -1
@@ -106,15 +111,15 @@ def test_empty_batch_carries_state_over(spark, tmp_path):
         sink.state(spark, 0)
 
 
-def test_keyed_state_accounts_for_every_record(spark, tmp_path):
-    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+@pytest.mark.parametrize("salts", [1, 3])
+def test_keyed_state_accounts_for_every_record(spark, tmp_path, salts, rocksdb):
     df = frame(spark, RECORDS, SHIFT)
     for _ in feed(df, str(tmp_path / "in"), (60, 110)):
         out = late_windows_stream(
             replay(spark, str(tmp_path / "in"), df.schema),
             spec=SPEC,
             spread="ingest_seq",
-            salts=3,
+            salts=salts,
         )
         writer = out.writeStream.outputMode("append").foreachBatch(per_batch(tmp_path / "out"))
         run(writer, str(tmp_path / "ck"))
@@ -132,8 +137,7 @@ def test_keyed_state_accounts_for_every_record(spark, tmp_path):
     assert same(results.select(*columns), plain.select(*columns))
 
 
-def test_keyed_state_with_one_record_per_batch_equals_batch(spark, tmp_path):
-    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+def test_keyed_state_with_one_record_per_batch_equals_batch(spark, tmp_path, rocksdb):
     spec = WindowSpec(10_000, 0, 30_000)
     records = [
         ("A", 0, {"snr_db": 10.0}),
@@ -145,11 +149,9 @@ def test_keyed_state_with_one_record_per_batch_equals_batch(spark, tmp_path):
     ]
     df = frame(spark, records, SHIFT)
     for _ in feed(df, str(tmp_path / "in"), range(1, len(records))):
-        pass
-    stream = replay(spark, str(tmp_path / "in"), df.schema, max_files=1)
-    out = late_windows_stream(stream, spec=spec)
-    writer = out.writeStream.outputMode("append").foreachBatch(per_batch(tmp_path / "out"))
-    run(writer, str(tmp_path / "ck"))
+        out = late_windows_stream(replay(spark, str(tmp_path / "in"), df.schema), spec=spec)
+        writer = out.writeStream.outputMode("append").foreachBatch(per_batch(tmp_path / "out"))
+        run(writer, str(tmp_path / "ck"))
     emitted = spark.read.parquet(str(tmp_path / "out"))
     annotated = annotate_lateness(df, spec)
     left = open_windows(spark, str(tmp_path / "ck"))
@@ -163,6 +165,55 @@ def test_keyed_state_with_one_record_per_batch_equals_batch(spark, tmp_path):
     assert fired.count() == on_watermark.count()
 
 
+DAY_MS = 24 * 3_600_000
+
+
+def test_no_record_is_lost_however_late(spark, tmp_path, rocksdb):
+    now = 500 * DAY_MS
+    first = [("A", now), ("A", now + 60_000)]
+    old = [("A", now - 10 * DAY_MS), ("A", now - 40 * DAY_MS), ("B", now - 400 * DAY_MS)]
+    outside = [("A", -5 * DAY_MS), ("B", 120 * 365 * DAY_MS)]
+    df = frame(spark, first + old + outside)
+    for _ in feed(df, str(tmp_path / "in"), (len(first),)):
+        out = late_windows_stream(replay(spark, str(tmp_path / "in"), df.schema), spec=SPEC)
+        writer = out.writeStream.outputMode("append").foreachBatch(per_batch(tmp_path / "out"))
+        run(writer, str(tmp_path / "ck"))
+    emitted = spark.read.parquet(str(tmp_path / "out"))
+    dead = emitted.where(F.col(KIND) == DEAD).select("event_ts_ms").collect()
+    assert sorted(r.event_ts_ms for r in dead) == sorted(ms for _, ms in old + outside)
+    left = open_windows(spark, str(tmp_path / "ck"))
+    results = window_results(emitted.unionByName(left, allowMissingColumns=True), spec=SPEC)
+    assert results.agg(F.sum("sample_count")).first()[0] == len(first)
+
+
+def test_counters_are_those_of_one_query(spark, tmp_path):
+    df = frame(spark, RECORDS, SHIFT)
+    one, other = (ExactLateWindows(str(tmp_path / "out"), query_id=i, spec=SPEC) for i in "12")
+    one(df, 0)
+    one.flush(spark, 0)
+    before = one.counters(spark).first()
+    other(df, 0)
+    other.flush(spark, 0)
+    assert one.counters(spark).first() == before
+    assert one.changelog(spark, every_query=True).count() == 2 * one.changelog(spark).count()
+
+
+def test_a_batch_out_of_order_and_a_fresh_start_are_refused(spark, tmp_path):
+    df = frame(spark, RECORDS, SHIFT)
+    sink = ExactLateWindows(str(tmp_path / "out"), spec=SPEC)
+    sink(df.where("ingest_seq between 50 and 90"), 0)
+    with pytest.raises(ValueError, match="arrival order"):
+        sink(df.where("ingest_seq < 60"), 1)
+    sink(df.where("ingest_seq > 90"), 1)
+    with pytest.raises(ValueError, match="of its own"):
+        sink(df, 0)
+
+
+def test_flush_of_a_stream_without_batches(spark, tmp_path):
+    ExactLateWindows(str(tmp_path / "out"), spec=SPEC).flush(spark, -1)
+    assert not (tmp_path / "out").exists()
+
+
 def test_native_modes(spark, tmp_path):
     in_order = frame(spark, [("A", i * 1_000) for i in range(60)], SHIFT)
     folder = str(tmp_path / "in")

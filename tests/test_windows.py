@@ -39,6 +39,16 @@ def test_records_are_grouped_by_key_and_window(spark):
     assert got == {("A", 0): 3, ("B", 0): 1, ("A", 10_000): 1}
 
 
+def test_nan_reading_is_missing_in_every_window(spark):
+    nan = float("nan")
+    values = [("A", 0, {"snr_db": nan}), ("A", 1, {"snr_db": 20.0}), ("A", 2, {"snr_db": nan, "temp_battery_c": nan})]
+    df, spec = frame(spark, values), WindowSpec(10_000, 0, 0)
+    for out in (telemetry_windows(df, spec=spec), windows_final(annotate_lateness(df, spec), spec=spec)):
+        row = out.first()
+        assert (row.snr_db_min, row.snr_db_avg, row.snr_db_max) == (20.0, 20.0, 20.0)
+        assert row.anomaly_type == "nominal" and row.sample_count == 3
+
+
 def test_statistics_key_and_schema(spark):
     values = [("A", 0, {"snr_db": 10.0}), ("A", 1, {"snr_db": 20.0}), ("A", 2, {"snr_db": 30.0})]
     out = telemetry_windows(frame(spark, values), spec=WindowSpec(10_000, 0, 0))

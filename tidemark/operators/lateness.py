@@ -35,6 +35,7 @@ ORDER = ("ingest_seq",)
 POSITION = "arrival_pos"
 CLASS = "arrival_class"
 ON, LATE, DEAD = "on", "late", "dead"
+TOO_LATE = "past_allowed_lateness"
 
 _FIRES = "_fires_at"
 _DIES = "_dies_at"
@@ -45,12 +46,15 @@ class Closings:
     """``positions`` has a row for every window start that occurs: the position of the
     record after which the watermark had reached the window's end, and of the one after
     which the allowed lateness was over (null: never). It has at most ``starts`` rows and
-    derives from a settled table. ``newest_ms`` is the largest event time, if any.
+    derives from a settled table. ``newest_ms`` is the largest event time, ``first`` and
+    ``last`` the positions of the first and the last record, if there are any.
     """
 
     positions: DataFrame
     starts: int
     newest_ms: int | None
+    first: int | None = None
+    last: int | None = None
 
 
 def closing_positions(
@@ -68,7 +72,9 @@ def closing_positions(
                 "_kills_below"
             ),
         )
-        .agg(F.min("_pos").alias("_pos"), F.max("_ms").alias("max_ms"))
+        .agg(
+            F.min("_pos").alias("_pos"), F.max("_pos").alias("_end"), F.max("_ms").alias("max_ms")
+        )
     )
     pos_type = cells.schema["_pos"].dataType
     no_pos = F.lit(None).cast(pos_type)
@@ -84,6 +90,8 @@ def closing_positions(
     marks = settle(
         cells.select(
             "max_ms",
+            F.col("_pos").alias("_first"),
+            "_end",
             F.inline(
                 F.array(
                     mark("_own", no_pos, no_pos, 1),
@@ -98,13 +106,20 @@ def closing_positions(
             F.min(_DIES).alias(_DIES),
             F.max("_occurs").alias("_occurs"),
             F.max("max_ms").alias("max_ms"),
+            F.min("_first").alias("_first"),
+            F.max("_end").alias("_end"),
         )
     )
-    found = marks.agg(F.count(F.lit(1)).alias("starts"), F.max("max_ms").alias("top")).first()
+    found = marks.agg(
+        F.count(F.lit(1)).alias("starts"),
+        F.max("max_ms").alias("top"),
+        F.min("_first").alias("first"),
+        F.max("_end").alias("last"),
+    ).first()
     # A window is closed by any record whose own closing bound lies in a later window.
     positions = (
         running(
-            marks.withColumn("_from_latest", -F.col(START)),
+            marks.drop("_first", "_end").withColumn("_from_latest", -F.col(START)),
             [],
             "_from_latest",
             {"_first_fire": ("min", _FIRES), "_first_death": ("min", _DIES)},
@@ -114,7 +129,8 @@ def closing_positions(
         .where("_occurs = 1")
         .select(START, F.col("_first_fire").alias(_FIRES), F.col("_first_death").alias(_DIES))
     )
-    return Closings(positions, found["starts"], found["top"])
+    ends = [None if found[end] is None else int(found[end]) for end in ("first", "last")]
+    return Closings(positions, found["starts"], found["top"], *ends)
 
 
 def classify_arrivals(
@@ -187,9 +203,31 @@ def watermark_before(
     )
 
 
-def dead_letters(annotated: DataFrame) -> DataFrame:
-    """Records past the allowed lateness, raw columns kept."""
-    return annotated.where(F.col(CLASS) == DEAD).drop(POSITION, CLASS)
+def dead_letters(
+    annotated: DataFrame,
+    spec: WindowSpec | None = None,
+    time: str = TIME,
+    seen_ms: int | None = None,
+    target: int | None = None,
+) -> DataFrame:
+    """Records past the allowed lateness, raw columns kept.
+
+    With ``spec`` also ``reason`` and ``watermark_ms``, the watermark that each met. That
+    takes a running maximum over the positions and times of all records; their other
+    columns don't move. ``seen_ms`` is the largest event time of earlier batches.
+    """
+    dead = annotated.where(F.col(CLASS) == DEAD)
+    if spec is None:
+        return dead.drop(POSITION, CLASS)
+    narrow = annotated.select(POSITION, CLASS, F.col(time).alias("_ms"))
+    met = running(narrow, [], POSITION, {"_seen": ("max", "_ms")}, inclusive=False, target=target)
+    met = met.where(F.col(CLASS) == DEAD).select(POSITION, "_seen")
+    seen = F.col("_seen") if seen_ms is None else F.greatest("_seen", F.lit(seen_ms))
+    return (
+        dead.join(met, POSITION)
+        .withColumns({"reason": F.lit(TOO_LATE), "watermark_ms": seen - spec.delay_ms})
+        .drop(POSITION, CLASS, "_seen")
+    )
 
 
 def _revision(on: Column, late: Column) -> Column:
@@ -260,15 +298,19 @@ def emissions(
     rules: Sequence[Rule],
     fired: Column | None = None,
     sizes: DataFrame | None = None,
+    at_most: int | None = None,
     target: int | None = None,
 ) -> DataFrame:
     """Every result a stream would have emitted: revision 0, then one per late record.
 
-    ``fired`` holds for on-time rows whose window fires now; by default all do.
+    ``fired`` holds for on-time rows whose window fires now; by default all do. ``at_most``
+    and ``sizes`` are what :func:`running` knows them as.
     """
     kinds = {"_on": "sum", "_late": "sum", **partial_kinds(channels)}
     total = {f"_total{c}": (kind, c) for c, kind in kinds.items()}
-    scanned = running(groups, [*keys, START], POSITION, total, target=target, sizes=sizes)
+    scanned = running(
+        groups, [*keys, START], POSITION, total, target=target, at_most=at_most, sizes=sizes
+    )
     emitting = F.col("_late_at").isNotNull()
     emitting = emitting | (fired if fired is not None else F.lit(True))
     merged = scanned.where(emitting).select(

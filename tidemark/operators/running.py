@@ -24,7 +24,6 @@ TARGET_ROWS_DEFAULT = 4_000_000
 CHUNK = "_chunk"
 _CARRIED = "_carried"
 _MAX_CELLS = 4096
-_MAX_LEVELS = 64
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -40,49 +39,69 @@ def split_hot_groups(
     Groups of at most ``target`` rows keep the empty chunk. A larger one is divided
     into equal-width cells over its own range of ``order``; a cell that is still too
     large is divided again over *its* range, until every cell fits or holds a single
-    order value. Each pass only counts. The cells that need dividing number fewer
-    than rows / target, which is what bounds the lookup table.
+    order value. Infinities are cells of their own. Each pass only counts. The cells that
+    need dividing number fewer than rows / target, which is what bounds the lookup table.
     """
     integral = not isinstance(df.schema[order].dataType, (T.FloatType, T.DoubleType))
+    at = F.col(order)
+    finite = F.lit(True) if integral else F.abs(at) < F.lit(float("inf"))
     rows = df.withColumn(CHUNK, F.array().cast("array<bigint>"))
-    divided = False
-    for _ in range(_MAX_LEVELS):
+    before: tuple[int, int] | None = None
+    while True:
         crowded = settle(
             rows.groupBy(*keys, CHUNK)
             .agg(
                 F.count(F.lit(1)).alias("_n"),
-                F.min(order).alias("_lo"),
-                F.max(order).alias("_hi"),
+                F.min(F.when(finite, at)).alias("_lo"),
+                F.max(F.when(finite, at)).alias("_hi"),
+                F.count_if(~finite).alias("_odd"),
             )
-            .where((F.col("_n") > target) & (F.col("_hi") > F.col("_lo")))
-            .select(*keys, CHUNK, "_lo", _cell_width(integral, target).alias("_width"))
+            .where(F.col("_n") > target)
+            .where((F.col("_hi") > F.col("_lo")) | ((F.col("_odd") > 0) & (F.col("_odd") < F.col("_n"))))
+            .select(*keys, CHUNK, "_n", "_lo", _cell_width(integral, target).alias("_width"))
         )
-        if crowded.isEmpty():
-            break
-        divided = True
-        if integral:
-            cell = F.expr(f"(`{order}` - _lo) div _width")
-        else:
-            cell = F.floor((F.col(order) - F.col("_lo")) / F.col("_width"))
+        found = crowded.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+        if not found[0]:
+            return rows, before is not None
+        if tuple(found) == before:
+            raise RuntimeError(f"{found[1]} rows by {order} can't be divided into chunks of {target}")
+        before = tuple(found)
         rows = (
-            lookup_join(rows, crowded, [*keys, CHUNK], spread=order)
+            lookup_join(rows, crowded.drop("_n"), [*keys, CHUNK], spread=order)
             .withColumn(
                 CHUNK,
                 F.when(
-                    F.col("_width").isNotNull(), F.concat(CHUNK, F.array(cell.cast("bigint")))
+                    F.col("_width").isNotNull(), F.concat(CHUNK, F.array(_cell(order, integral)))
                 ).otherwise(F.col(CHUNK)),
             )
             .drop("_lo", "_width")
         )
-    return rows, divided
 
 
 def _cell_width(integral: bool, target: int) -> Column:
     # Four cells per target-sized share leaves room for uneven spread.
     cells = F.least(F.lit(_MAX_CELLS), F.ceil(F.col("_n") / F.lit(target)) * 4)
-    width = (F.col("_hi") - F.col("_lo")).cast("double") / cells
+    lo, hi = F.col("_lo").cast("double"), F.col("_hi").cast("double")
     # A whole-numbered width below the span, but at least 1, always separates lo from hi.
-    return (width + 1).cast("decimal(38,0)") if integral else width
+    # Divided before the subtraction, the span of any two doubles stays finite.
+    if integral:
+        return ((hi - lo) / cells + 1).cast("decimal(38,0)")
+    return F.coalesce(hi / cells - lo / cells, F.lit(0.0))
+
+
+def _cell(order: str, integral: bool) -> Column:
+    """The number of a row's cell; it ascends with the order."""
+    if integral:
+        return F.expr(f"(`{order}` - _lo) div _width").cast("bigint")
+    at, lo, width = F.col(order), F.col("_lo"), F.col("_width")
+    inside = F.when(width > 0, F.floor(at / width - lo / width)).otherwise((at > lo).cast("bigint"))
+    # NaN sorts above everything, like Spark's own order.
+    return (
+        F.when(at == float("-inf"), -(1 << 40))
+        .when((at == float("inf")) | F.isnan(at), F.when(F.isnan(at), (1 << 40) + 1).otherwise(1 << 40))
+        .otherwise(F.coalesce(inside, F.lit(0)))
+        .cast("bigint")
+    )
 
 
 def running(
@@ -130,11 +149,15 @@ def running(
     totals = rows.where(F.size(CHUNK) > 0).groupBy(*keys, CHUNK).agg(
         *[_COMBINE[kind](col).alias(col) for col, kind in columns.items()]
     )
+    # A row holds the type of what it is combined into, so that dividing changes no result.
+    held = {f.name: f.dataType for f in totals.schema if f.name in columns}
+    rows = rows.withColumns({col: F.col(col).cast(kind) for col, kind in held.items()})
+    wanted = df.select(*[_COMBINE[kind](col).alias(out) for out, (kind, col) in aggs.items()]).schema
     carried = totals.select(
         *keys,
         CHUNK,
         *[
-            _COMBINE[kind](col).over(before).cast(rows.schema[col].dataType).alias(col)
+            _COMBINE[kind](col).over(before).cast(held[col]).alias(col)
             for col, kind in columns.items()
         ],
         F.lit(0).alias(_CARRIED),
@@ -147,7 +170,13 @@ def running(
     return (
         rows.withColumn(_CARRIED, F.lit(1))
         .unionByName(carried, allowMissingColumns=True)
-        .withColumns({out: _COMBINE[kind](col).over(within) for out, (kind, col) in aggs.items()})
+        .withColumns(
+            {
+                out: _COMBINE[kind](col).over(within).cast(wanted[out].dataType)
+                for out, (kind, col) in aggs.items()
+            }
+        )
         .where(F.col(_CARRIED) == 1)
         .drop(CHUNK, _CARRIED)
+        .withColumns({col: F.col(col).cast(df.schema[col].dataType) for col in held})
     )

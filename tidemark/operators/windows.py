@@ -16,10 +16,14 @@ START = "window_start_ms"
 
 
 def channel_partials(channels: Sequence[str], only: Column | None = None) -> list[Column]:
-    """Mergeable per-channel aggregates; ``only`` restricts the rows that count."""
+    """Mergeable per-channel aggregates; ``only`` restricts the rows that count.
+
+    A NaN reading is a missing one.
+    """
 
     def picked(c: str) -> Column:
-        return F.col(c) if only is None else F.when(only, F.col(c))
+        there = ~F.isnan(c) if only is None else only & ~F.isnan(c)
+        return F.when(there, F.col(c))
 
     out = []
     for c in channels:

@@ -62,14 +62,29 @@ _TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 Query = Callable[[Inputs], DataFrame]
 
 
-def _raw(df: DataFrame) -> DataFrame:
+def _raw(df: DataFrame, *more: str) -> DataFrame:
     """Telemetry columns with plain double channels."""
     return df.select(
         "event_id", "user_id", "event_ts_ms", "arrival_ms",
         *[F.col(c).cast("double").alias(c) for c in CHANNELS],
+        *more,
     )
 
 
+def _with_nan(x: Inputs) -> DataFrame:
+    """Double channels in which one record in fifty reads NaN."""
+    odd = F.col("event_id") % 50 == 3
+    return _raw(x.telemetry).withColumns(
+        {c: F.when(odd & F.col(c).isNotNull(), float("nan")).otherwise(F.col(c)) for c in CHANNELS}
+    )
+
+
+def nan_windows(x: Inputs) -> DataFrame:
+    """Windows over readings of which some are NaN; means are of doubles, hence rounded."""
+    found = telemetry_windows(_with_nan(x), **SHAPE)
+    return found.withColumns({f"{c}_avg": F.round(f"{c}_avg", 6) for c in CHANNELS})
+
+
 # Sources and sinks
 
 
@@ -108,6 +123,10 @@ def _bucketed_schema(x: Inputs) -> T.StructType:
     return T.StructType([*x.schema.fields, T.StructField(lake.BUCKET, T.IntegerType())])
 
 
+def _serving_schema(x: Inputs) -> T.StructType:
+    return T.StructType([*_bucketed_schema(x).fields, T.StructField(lake.DAY, T.IntegerType())])
+
+
 def scan_windows(x: Inputs) -> DataFrame:
     path = x.scratch("windows")
     lake.append(lake.bucketed(x.final, 16, KEYS), path, [lake.BUCKET])
@@ -141,20 +160,23 @@ def load_or_create(x: Inputs) -> DataFrame:
         lake.ensure_table(x.spark, name, stored, partition_by=[lake.BUCKET], location=where)
     rows = lake.enforce_schema(lake.bucketed(x.final, 16, KEYS), stored)
     rows.hint("rebalance", lake.BUCKET).write.insertInto(name)
-    return x.spark.table(name).select(*x.schema.names)
+    x.spark.sql(f"DROP TABLE {name}")  # of the catalog; the files stay where they are
+    return lake.scan(x.spark, where, x.schema)
 
 
 def lake_upsert(x: Inputs) -> DataFrame:
     """First emissions, then all of them, then the first ones again."""
-    path = x.scratch("serving")
-    first = x.changelog.where(F.col("revision") == 0)
-    for batch in (first, x.changelog, first):
+    path, log = x.scratch("serving"), x.scratch("changelog")
+    x.changelog.write.parquet(log)
+    stored = x.spark.read.schema(x.changelog.schema).parquet(log)
+    first = stored.where(F.col("revision") == 0)
+    for batch in (first, stored, first):
         lake.upsert(
-            lake.bucketed(batch, 16, KEYS),
+            lake.laid_out(batch, 2, KEYS),
             path,
-            _bucketed_schema(x),
+            _serving_schema(x),
             keys=NATURAL_KEY,
-            partition_by=[lake.BUCKET],
+            partition_by=[lake.DAY, lake.BUCKET],
         )
     return lake.scan(x.spark, path, x.schema)
 
@@ -283,7 +305,7 @@ CATALOG: dict[str, Query] = {
     "enforce_result_schema": lambda x: lake.enforce_schema(x.final, x.schema),
     "export_sorted_json": export_sorted_json,
     "kafka_payload": broker_messages,
-    "dead_letter": lambda x: _raw(dead_letters(x.annotated)),
+    "dead_letter": lambda x: _raw(dead_letters(x.annotated, SPEC), "reason", "watermark_ms"),
     # projections, predicates, scalar functions
     "event_time_extract": lambda x: x.telemetry.select(
         "event_id", F.date_format(event_time(F.col("event_ts_ms")), _TEXT_TIME).alias("event_ts")
@@ -313,12 +335,13 @@ CATALOG: dict[str, Query] = {
     "null_to_zero": lambda x: x.final.select(
         *NATURAL_KEY, null_to_zero(F.col(METRIC)).alias("m")
     ),
-    "nan_to_null": lambda x: _raw(x.telemetry).select(
+    "nan_to_null": lambda x: _with_nan(x).select(
         "event_id", *[nan_to_null(F.col(c)).alias(c) for c in CHANNELS]
     ),
     "json_encode": json_encode_rows,
     # aggregations
     "telemetry_windows": lambda x: x.windows,
+    "nan_windows": nan_windows,
     "supplier_windows": lambda x: telemetry_windows(x.lines, **LINE_SHAPE),
     "window_count": lambda x: x.final.select(*NATURAL_KEY, "sample_count"),
     "window_late_count": lambda x: x.final.select(*NATURAL_KEY, "late_count"),
@@ -364,5 +387,7 @@ CATALOG: dict[str, Query] = {
     "exactly_once_effect": streams.exactly_once_effect,
     "late_window_processor": streams.late_window_processor,
     "late_window_processor_dead": streams.late_window_processor_dead,
+    "late_window_processor_old": streams.late_window_processor_old,
     "source_dedup": redelivered,
+    "source_dedup_stream": streams.source_dedup_stream,
 }

@@ -37,6 +37,9 @@ METRIC = "ch_error_max"
 HOLD_STEP_MS = 600_000
 HOLD_STEPS = 180
 SLICES = 3
+# Of so many records, one comes 40 days late and one 400.
+OLD_EVERY = 200
+OLD_MS = (40 * 24 * HOUR_MS, 400 * 24 * HOUR_MS)
 
 LINE_KEYS = ("l_suppkey",)
 LINE_CHANNELS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -46,8 +49,7 @@ LINE_RULES = (
     Rule("untaxed", "l_tax", "max", "<", 0.01),
     Rule("discounted", "l_discount", "max", ">", 0.09),
 )
-# Sums of this type have 18 digits, which Spark keeps in one long.
-DECIMAL = "decimal(8,2)"
+DECIMAL = "decimal(18,2)"
 
 SHAPE = {"keys": KEYS, "channels": CHANNELS, "spec": SPEC, "rules": RULES}
 LINE_SHAPE = {
@@ -110,12 +112,20 @@ class Inputs:
     def scratch(self, name: str) -> str:
         return scratch_dir(self.spark, name)
 
-    def arrive_in_slices(self, folder: str):
-        """Write the telemetry below ``folder`` in arrival order, one slice per step."""
+    @cached_property
+    def with_old_records(self) -> DataFrame:
+        """The telemetry with some event times weeks or months behind their arrival."""
+        nth = F.col("event_id") % OLD_EVERY
+        behind = F.when(nth == 7, OLD_MS[0]).when(nth == OLD_EVERY // 2, OLD_MS[1]).otherwise(0)
+        return self.telemetry.withColumn("event_ts_ms", F.col("event_ts_ms") - behind)
+
+    def arrive_in_slices(self, folder: str, rows: DataFrame | None = None):
+        """Write ``rows`` below ``folder`` in order of arrival, one slice per step."""
+        rows = self.telemetry if rows is None else rows
         bounds = self.telemetry.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
         step = (bounds[1] - bounds[0]) // SLICES + 1
         for i in range(SLICES):
             low = bounds[0] + i * step
             arrived = (F.col("arrival_ms") >= low) & (F.col("arrival_ms") < low + step)
-            self.telemetry.where(arrived).write.mode("append").parquet(folder)
+            rows.where(arrived).write.mode("append").parquet(folder)
             yield i

@@ -12,6 +12,8 @@ from tidemark.plans.inputs import (
     LINE_RULES,
     LINE_SPEC,
     METRIC,
+    OLD_EVERY,
+    OLD_MS,
     RULES,
     SLICES,
     SPEC,
@@ -146,6 +148,21 @@ agg AS (SELECT user_id, ws, count(*) AS n, {_LATE} AS late,
   FROM cls WHERE arrival_class <> 'dead' GROUP BY user_id, ws)"""
 )
 
+# Built-in windows know no late rows, only dropped ones.
+COUNTED = (
+    SLICED
+    + f""", plain_agg AS (SELECT user_id, ws, count(*) AS n, 0 AS late, 0 AS rev, {_stats(CHANNELS)}
+  FROM cls WHERE arrival_class <> 'dead' GROUP BY user_id, ws),
+counted AS ({_results("plain_agg", "user_id", S, CHANNELS, RULES)})"""
+)
+
+# Event times of some records moved back, their arrivals as they were.
+_OLD = SLICED.replace(
+    "epoch_us(ts) // 1000 AS event_ts_ms",
+    f"""epoch_us(ts) // 1000 - CASE event_id % {OLD_EVERY} WHEN 7 THEN {OLD_MS[0]}
+      WHEN {OLD_EVERY // 2} THEN {OLD_MS[1]} ELSE 0 END AS event_ts_ms""",
+)
+
 OUTCOMES = (
     EVENTS
     + f""", app AS (SELECT user_id, {_start("event_ts_ms", 8 * S)} AS window_start_ms,
@@ -233,8 +250,8 @@ FROM events GROUP BY 1""",
     ),
     "dead_letter": _with(
         CLASSES,
-        f"""SELECT event_id, user_id, event_ts_ms, arrival_ms, {_RAW}
-FROM cls WHERE arrival_class = 'dead'""",
+        f"""SELECT event_id, user_id, event_ts_ms, arrival_ms, {_RAW},
+  'past_allowed_lateness' AS reason, wm AS watermark_ms FROM cls WHERE arrival_class = 'dead'""",
     ),
     "event_time_extract": f"""SELECT event_id, strftime(ts, {_TEXT_TIME}) AS event_ts FROM events""",
     "key_by": "SELECT user_id, count(*) AS records FROM events GROUP BY user_id",
@@ -280,13 +297,24 @@ FROM cls WHERE arrival_class = 'late'""",
   (SELECT ({_KEY}) FROM chg WHERE revision > 0)""",
     ),
     "null_to_zero": _final(f"SELECT {_KEY}, coalesce({METRIC}, 0.0) AS m FROM fin"),
-    "nan_to_null": _with(EVENTS, f"SELECT event_id, {_RAW} FROM ev"),
+    "nan_to_null": _with(
+        EVENTS,
+        f"SELECT event_id, {_values(CHANNELS, 'CASE WHEN event_id % 50 <> 3 THEN CAST({c} AS DOUBLE) END AS {c}')} FROM ev",
+    ),
     "json_encode": _final(
         f"""SELECT {_KEY}, '{{"user_id":' || user_id || ',"window_start_ms":' || window_start_ms
   || ',"sample_count":' || sample_count || ',"late_count":' || late_count
   || ',"anomaly_type":"' || anomaly_type || '"}}' AS value FROM fin"""
     ),
     "telemetry_windows": _with(PLAIN, "SELECT * FROM plain"),
+    "nan_windows": _with(
+        EVENTS
+        + f""", known AS (SELECT user_id, ws,
+  {_values(CHANNELS, "CASE WHEN event_id % 50 <> 3 THEN {c} END AS {c}")} FROM placed),
+agg AS (SELECT user_id, ws, count(*) AS n, 0 AS late, 0 AS rev, {_stats(CHANNELS)}
+  FROM known GROUP BY user_id, ws)""",
+        _results("agg", "user_id", S, CHANNELS, RULES, avg="round({c}_avg, 6)"),
+    ),
     "supplier_windows": _with(LINES, "SELECT * FROM lines"),
     "window_count": _final(f"SELECT {_KEY}, sample_count FROM fin"),
     "window_late_count": _final(f"SELECT {_KEY}, late_count FROM fin"),
@@ -332,10 +360,10 @@ FROM events""",
         f"""SELECT max(coalesce({METRIC}, 0.0)) AS m FROM fin WHERE is_anomaly = 1
 GROUP BY user_id ORDER BY m DESC LIMIT 20"""
     ),
-    "native_windows_update": _with(PLAIN, "SELECT * FROM plain"),
+    "native_windows_update": _with(COUNTED, "SELECT * FROM counted"),
     "native_windows_final": _with(
-        PLAIN,
-        f"""SELECT * FROM plain WHERE window_end_ms <= (SELECT max(event_ts_ms) FROM ev)
+        COUNTED,
+        f"""SELECT * FROM counted WHERE window_end_ms <= (SELECT max(event_ts_ms) FROM ev)
   - {D + L}""",
     ),
     "late_windows_exact": _final(),
@@ -356,5 +384,10 @@ FROM cls WHERE {_ACCEPTED} AND ws + {S} > {_AT_END} - {L} GROUP BY user_id, ws""
     "late_window_processor_dead": _with(
         SLICED, "SELECT event_id, user_id, event_ts_ms FROM cls WHERE arrival_class = 'dead'"
     ),
+    "late_window_processor_old": _with(
+        _OLD, "SELECT event_id, user_id, event_ts_ms FROM cls WHERE arrival_class = 'dead'"
+    ),
     "source_dedup": _with(PLAIN, "SELECT * FROM plain"),
+    "source_dedup_stream": """SELECT CAST(user_id AS VARCHAR) || ':' || printf('%08d', event_id) AS record_id,
+  1::BIGINT AS n FROM events""",
 }

@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import record_id
 from tidemark.operators.revisions import keep_latest
 from tidemark.operators.windows import START
 from tidemark.plans.inputs import CHANNELS, KEYS, ORDER, SHAPE, SPEC, Inputs
 from tidemark.schema import STATS
 from tidemark.sources.files import replay
 from tidemark.streaming.exact import ExactLateWindows, start_exact
-from tidemark.streaming.native import native_windows
+from tidemark.streaming.native import drop_redelivered_stream, native_windows
 from tidemark.streaming.stateful import (
     DEAD,
     KIND,
-    ROCKSDB,
-    STATE_PROVIDER,
     late_windows_stream,
     open_windows,
+    rocksdb_state,
     window_results,
 )
 
+# Longer than any record of the tables is held back.
+DEDUP_WAIT_MS = 7 * 24 * 3_600_000
+
 RESULT_COLUMNS = [
     *KEYS,
     START,
@@ -36,23 +39,13 @@ RESULT_COLUMNS = [
 ]
 
 
-_PARTITIONS = "spark.sql.shuffle.partitions"
-
+def _run(writer, checkpoint: str) -> None:
+    """Run a query over what has arrived.
 
-def _run(spark: SparkSession, writer, checkpoint: str) -> None:
-    """Run a stateful query over what has arrived.
-
-    Its first start fixes the number of state partitions for good. There is nothing to
-    gain from more of them than the cluster has cores.
+    Its first start fixes the number of state partitions, the configured one, for good.
     """
-    configured = spark.conf.get(_PARTITIONS)
-    cores = spark.sparkContext.defaultParallelism
-    spark.conf.set(_PARTITIONS, str(min(int(configured), cores)))
-    try:
-        writer = writer.option("checkpointLocation", checkpoint)
-        writer.trigger(availableNow=True).start().awaitTermination()
-    finally:
-        spark.conf.set(_PARTITIONS, configured)
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
 def _per_batch(path: str):
@@ -67,12 +60,22 @@ def exact_run(inputs: Inputs) -> tuple[ExactLateWindows, int]:
     base = inputs.scratch("exact")
     sink = ExactLateWindows(f"{base}/tables", order=ORDER, **SHAPE)
     last = -1
-    for last in inputs.arrive_in_slices(f"{base}/in"):
+    for _ in inputs.arrive_in_slices(f"{base}/in"):
         stream = replay(inputs.spark, f"{base}/in", inputs.telemetry.schema)
-        start_exact(stream, sink, f"{base}/checkpoint", availableNow=True).awaitTermination()
+        query = start_exact(stream, sink, f"{base}/checkpoint", availableNow=True)
+        query.awaitTermination()
+        last = max([last, *(p["batchId"] for p in query.recentProgress if p["numInputRows"])])
     return sink, last
 
 
+def _again(inputs: Inputs, sink: ExactLateWindows) -> ExactLateWindows:
+    """The whole input once more below the same path, under another query id."""
+    again = ExactLateWindows(sink.path, query_id="again", order=ORDER, **SHAPE)
+    again(inputs.telemetry, 0)
+    again.flush(inputs.spark, 0)
+    return again
+
+
 def late_windows_exact(inputs: Inputs) -> DataFrame:
     sink, last = exact_run(inputs)
     sink.flush(inputs.spark, last)
@@ -108,8 +111,10 @@ def end_of_stream_flush(inputs: Inputs) -> DataFrame:
 
 
 def stream_counters(inputs: Inputs) -> DataFrame:
+    """A run's counters are its own, whoever else writes to the same tables."""
     sink, last = exact_run(inputs)
     sink.flush(inputs.spark, last)
+    _again(inputs, sink)
     return sink.counters(inputs.spark)
 
 
@@ -117,22 +122,20 @@ def exactly_once_effect(inputs: Inputs) -> DataFrame:
     """The same input processed under two query ids: the latest view is that of one."""
     sink, last = exact_run(inputs)
     sink.flush(inputs.spark, last)
-    again = ExactLateWindows(sink.path, query_id="again", order=ORDER, **SHAPE)
-    again(inputs.telemetry, 0)
-    again.flush(inputs.spark, 0)
-    return again.latest(inputs.spark).select(*RESULT_COLUMNS)
+    again = _again(inputs, sink)
+    return again.latest(inputs.spark, every_query=True).select(*RESULT_COLUMNS)
 
 
-def _stateful_run(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
-    inputs.spark.conf.set(STATE_PROVIDER, ROCKSDB)
+def _stateful_run(inputs: Inputs, rows: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     base = inputs.scratch("stateful")
-    for _ in inputs.arrive_in_slices(f"{base}/in"):
-        stream = replay(inputs.spark, f"{base}/in", inputs.telemetry.schema)
-        tagged = late_windows_stream(
-            stream, keys=KEYS, channels=CHANNELS, spec=SPEC, spread="event_id", salts=2
-        )
-        writer = tagged.writeStream.outputMode("append").foreachBatch(_per_batch(f"{base}/out"))
-        _run(inputs.spark, writer, f"{base}/checkpoint")
+    with rocksdb_state(inputs.spark):
+        for _ in inputs.arrive_in_slices(f"{base}/in", rows):
+            stream = replay(inputs.spark, f"{base}/in", inputs.telemetry.schema)
+            tagged = late_windows_stream(
+                stream, keys=KEYS, channels=CHANNELS, spec=SPEC, spread="event_id", salts=2
+            )
+            writer = tagged.writeStream.outputMode("append")
+            _run(writer.foreachBatch(_per_batch(f"{base}/out")), f"{base}/checkpoint")
     still_open = open_windows(inputs.spark, f"{base}/checkpoint", KEYS, CHANNELS)
     return inputs.spark.read.parquet(f"{base}/out"), still_open
 
@@ -145,32 +148,41 @@ def late_window_processor(inputs: Inputs) -> DataFrame:
     return results.withColumns({f"{c}_avg": F.round(f"{c}_avg", 6) for c in CHANNELS})
 
 
-def late_window_processor_dead(inputs: Inputs) -> DataFrame:
-    emitted, _ = _stateful_run(inputs)
+def _dead(emitted: DataFrame) -> DataFrame:
     return emitted.where(F.col(KIND) == DEAD).select("event_id", *KEYS, "event_ts_ms")
 
 
-def _in_order_stream(inputs: Inputs, base: str) -> DataFrame:
-    """The telemetry as a stream of its own files, windows at their native event times."""
-    inputs.telemetry.write.parquet(f"{base}/in")
-    return replay(inputs.spark, f"{base}/in", inputs.telemetry.schema)
+def late_window_processor_dead(inputs: Inputs) -> DataFrame:
+    return _dead(_stateful_run(inputs)[0])
+
+
+def late_window_processor_old(inputs: Inputs) -> DataFrame:
+    """Dead letters where some records come 40 days late, and some 400."""
+    return _dead(_stateful_run(inputs, inputs.with_old_records)[0])
 
 
 def native_windows_final(inputs: Inputs) -> DataFrame:
-    """Append mode: windows that no record can change any more."""
+    """Append mode: windows that no record can change any more.
+
+    The slices come in arrival order; what is behind the watermark by then is not counted.
+    """
     base = inputs.scratch("native")
-    results = native_windows(_in_order_stream(inputs, base), **SHAPE)
-    writer = results.writeStream.outputMode("append").format("parquet")
-    _run(inputs.spark, writer.option("path", f"{base}/out"), f"{base}/checkpoint")
+    for _ in inputs.arrive_in_slices(f"{base}/in"):
+        stream = replay(inputs.spark, f"{base}/in", inputs.telemetry.schema)
+        results = native_windows(stream, **SHAPE)
+        writer = results.writeStream.outputMode("append").format("parquet")
+        _run(writer.option("path", f"{base}/out"), f"{base}/checkpoint")
     return inputs.spark.read.schema(results.schema).parquet(f"{base}/out")
 
 
 def native_windows_update(inputs: Inputs) -> DataFrame:
-    """Update mode: the newest batch's row per window counts."""
+    """Update mode: the newest batch's row per window counts, and some come in several."""
     base = inputs.scratch("native")
-    results = native_windows(_in_order_stream(inputs, base), **SHAPE)
-    writer = results.writeStream.outputMode("update").foreachBatch(_per_batch(f"{base}/out"))
-    _run(inputs.spark, writer, f"{base}/checkpoint")
+    for _ in inputs.arrive_in_slices(f"{base}/in"):
+        stream = replay(inputs.spark, f"{base}/in", inputs.telemetry.schema)
+        results = native_windows(stream, **SHAPE)
+        writer = results.writeStream.outputMode("update").foreachBatch(_per_batch(f"{base}/out"))
+        _run(writer, f"{base}/checkpoint")
     stored = inputs.spark.read.parquet(f"{base}/out")
     latest = keep_latest(stored, (*KEYS, START), revision="batch_id", seq=["sample_count"])
     return latest.select(*RESULT_COLUMNS)
@@ -179,10 +191,25 @@ def native_windows_update(inputs: Inputs) -> DataFrame:
 def bounded_replay(inputs: Inputs) -> DataFrame:
     """The stored telemetry read as a finite stream and written out again."""
     base = inputs.scratch("replay")
-    writer = _in_order_stream(inputs, base).writeStream.format("parquet")
-    _run(inputs.spark, writer.option("path", f"{base}/out"), f"{base}/checkpoint")
+    for _ in inputs.arrive_in_slices(f"{base}/in"):
+        writer = replay(inputs.spark, f"{base}/in", inputs.telemetry.schema).writeStream
+        _run(writer.format("parquet").option("path", f"{base}/out"), f"{base}/checkpoint")
     stored = inputs.spark.read.schema(inputs.telemetry.schema).parquet(f"{base}/out")
     return stored.select(
         "event_id", "user_id", "event_ts_ms", "arrival_ms",
         *[F.col(c).cast("double").alias(c) for c in CHANNELS],
     )
+
+
+def source_dedup_stream(inputs: Inputs) -> DataFrame:
+    """Every third record delivered twice, the copies dropped as they arrive."""
+    base = inputs.scratch("dedup")
+    copies = F.when(F.col("event_id") % 3 == 0, 2).otherwise(1)
+    rows = inputs.telemetry.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+    for _ in inputs.arrive_in_slices(f"{base}/in", rows):
+        stream = replay(inputs.spark, f"{base}/in", inputs.telemetry.schema)
+        stream = stream.withColumn("record_id", record_id(F.col("user_id"), F.col("event_id")))
+        writer = drop_redelivered_stream(stream, DEDUP_WAIT_MS).writeStream.format("parquet")
+        _run(writer.option("path", f"{base}/out"), f"{base}/checkpoint")
+    stored = inputs.spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return stored.groupBy("record_id").agg(F.count(F.lit(1)).alias("n"))

@@ -9,36 +9,22 @@ from pyspark.sql import types as T
 
 NOMINAL = "nominal"
 
-# Telemetry channels by subsystem, as (name, unit).
-SUBSYSTEM_CHANNELS: dict[str, tuple[tuple[str, str], ...]] = {
-    "power": (
-        ("bus_voltage_v", "V"),
-        ("bus_current_a", "A"),
-        ("battery_soc_pct", "%"),
-        ("solar_array_w", "W"),
-    ),
-    "thermal": (
-        ("temp_battery_c", "degC"),
-        ("temp_payload_c", "degC"),
-        ("temp_radiator_c", "degC"),
-    ),
-    "adcs": (
-        ("attitude_error_deg", "deg"),
-        ("gyro_rate_dps", "deg/s"),
-    ),
-    "link": (
-        ("snr_db", "dB"),
-        ("downlink_mbps", "Mbps"),
-        ("packet_loss_pct", "%"),
-    ),
-    "payload": (
-        ("payload_power_w", "W"),
-        ("data_buffer_pct", "%"),
-    ),
-}
-
-CHANNELS: tuple[str, ...] = tuple(
-    name for group in SUBSYSTEM_CHANNELS.values() for name, _unit in group
+# Telemetry channels, in column order.
+CHANNELS: tuple[str, ...] = (
+    "bus_voltage_v",
+    "bus_current_a",
+    "battery_soc_pct",
+    "solar_array_w",
+    "temp_battery_c",
+    "temp_payload_c",
+    "temp_radiator_c",
+    "attitude_error_deg",
+    "gyro_rate_dps",
+    "snr_db",
+    "downlink_mbps",
+    "packet_loss_pct",
+    "payload_power_w",
+    "data_buffer_pct",
 )
 
 STATS: tuple[str, ...] = ("avg", "min", "max")

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# A table is broadcast only after its rows were counted and found within this bound.
+# A table is broadcast only after it was counted and found within both bounds.
 BROADCAST_ROWS_CONF = "tidemark.broadcast.maxRows"
 BROADCAST_ROWS_DEFAULT = 1_000_000
+BROADCAST_BYTES_CONF = "tidemark.broadcast.maxBytes"
+BROADCAST_BYTES_DEFAULT = 128 << 20
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8) -> SparkSession:
@@ -39,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="tidemark-")
     if not context.getCheckpointDir():
@@ -62,5 +64,9 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_BYTES_CONF, str(BROADCAST_BYTES_DEFAULT)))
+
+
 def broadcast_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS_DEFAULT)))

@@ -31,6 +31,11 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def of_query(batches: DataFrame, query_id: str) -> DataFrame:
+    """The batches that one query wrote; folder names may have been read as numbers."""
+    return batches.where(F.col("query_id").cast("string") == query_id)
+
+
 def latest_view(
     changelog: DataFrame,
     keys: Sequence[str] = NATURAL_KEY,
@@ -46,12 +51,19 @@ def refresh(
     schema: T.StructType,
     *,
     after_batch_id: int = -1,
+    query_id: str | None = None,
     keys: Sequence[str] = NATURAL_KEY,
     partition_by: Sequence[str] = KEYS,
 ) -> int:
     """Fold the batches after ``after_batch_id`` into a serving table; -1 rebuilds it.
 
+    Batches are numbered per query; ``query_id`` tells whose are meant where several share
+    the changelog.
+
     The serving table has one row per window in few files. Losing it loses nothing.
     """
-    newer = changelog.where(F.col("batch_id") > after_batch_id).drop(*BATCH)
+    newer = changelog.where(F.col("batch_id") > after_batch_id)
+    if query_id is not None:
+        newer = of_query(newer, query_id)
+    newer = newer.drop(*BATCH)
     return upsert(newer, serving_path, schema, keys=keys, partition_by=partition_by)

@@ -11,9 +11,11 @@ from pyspark.sql import types as T
 from tidemark.files import exists
 from tidemark.operators.report import export_order
 from tidemark.operators.revisions import NATURAL_KEY, REVISION, keep_latest
-from tidemark.operators.windows import KEYS
+from tidemark.operators.windows import KEYS, START
 
 BUCKET = "key_bucket"
+DAY = "window_day"
+_DAY_MS = 24 * 3_600_000
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -59,11 +61,20 @@ def ensure_table(
     return spark.table(name)
 
 
-def merge_statement(target: str, source: str, columns: Sequence[str]) -> str:
-    """``MERGE`` with the revision guard, for catalogs whose tables support it."""
-    match = " AND ".join(f"t.`{k}` = s.`{k}`" for k in NATURAL_KEY)
-    assign = ", ".join(f"`{c}` = s.`{c}`" for c in columns)
+def merge_statement(
+    target: str, source: str, columns: Sequence[str], keys: Sequence[str] = NATURAL_KEY
+) -> str:
+    """``MERGE`` with the revision guard, for catalogs whose tables support it.
+
+    Of several rows with one key in ``source`` only one with the highest revision takes
+    part, as ``MERGE`` refuses two.
+    """
+    key = ", ".join(f"`{k}`" for k in keys)
     names = ", ".join(f"`{c}`" for c in columns)
+    ranked = f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY `{REVISION}` DESC) AS _rank FROM {source}"
+    source = f"(SELECT {names} FROM ({ranked}) WHERE _rank = 1)"
+    match = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    assign = ", ".join(f"`{c}` = s.`{c}`" for c in columns)
     values = ", ".join(f"s.`{c}`" for c in columns)
     return (
         f"MERGE INTO {target} t USING {source} s ON {match} "
@@ -77,6 +88,12 @@ def bucketed(df: DataFrame, buckets: int, keys: Sequence[str] = KEYS) -> DataFra
     return df.withColumn(BUCKET, bucket_of(buckets, *[F.col(k) for k in keys]))
 
 
+def laid_out(df: DataFrame, buckets: int, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Add partition columns by day and key, so that a refresh touches the days it changes."""
+    day = F.floor(F.col(START) / _DAY_MS).cast("int")
+    return bucketed(df, buckets, keys).withColumn(DAY, day)
+
+
 def bucket_of(buckets: int, *key):
     """Bucket of a key; compare ``key_bucket`` with it to prune a drilldown to one folder."""
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
@@ -106,33 +123,45 @@ def upsert(
     """Fold ``batch`` into the table at ``path`` and return the rows it was reduced to.
 
     A row replaces the stored one with its exact key only with a higher revision, so
-    applying a batch again, or an older batch later, changes nothing. Only partitions
-    that the batch touches are rewritten. They are swapped in one after the other, so
-    this table serves reads and can be rebuilt from the changelog; it is not the record.
+    applying a batch again, or an older batch later, changes nothing: keys and revisions
+    are compared first, and where no row is newer nothing is written. Only partitions that
+    hold a newer row are rewritten; partitioned by day, those are the days that the allowed
+    lateness reaches. They are swapped in one after the other, so this table serves reads
+    and can be rebuilt from the changelog; it is not the record.
     """
     spark = batch.sparkSession
+    keys, parts = list(keys), list(partition_by)
     incoming = enforce_schema(keep_latest(batch, keys, revision, seq=keys), schema).persist()
+    newer = incoming
     try:
         n = incoming.count()
         if n == 0:
             return 0
         rows = incoming
         if exists(spark, path):
-            touched = incoming.select(*partition_by).distinct()
-            stored = scan(spark, path, schema).join(touched, list(partition_by), "left_semi")
-            both = stored.withColumn("_new", F.lit(1)).unionByName(
-                incoming.withColumn("_new", F.lit(2))
-            )
-            rows = keep_latest(both, keys, revision, seq=["_new"]).drop("_new")
+            # One row per partition folder, which the file listing holds on the driver too.
+            touched = F.broadcast(incoming.select(*parts).distinct())
+            held = scan(spark, path, schema).join(touched, parts, "left_semi")
+            held = held.select(*keys, F.col(revision).alias("_held"))
+            known = incoming.join(held, keys, "left")
+            newer = known.where(F.col("_held").isNull() | (F.col(revision) > F.col("_held")))
+            newer = newer.select(*schema.names).persist()
+            if newer.isEmpty():
+                return n
+            touched = F.broadcast(newer.select(*parts).distinct())
+            stored = scan(spark, path, schema).join(touched, parts, "left_semi")
+            kept = stored.join(newer.select(*keys), keys, "left_anti")
+            rows = kept.unionByName(newer)
         (
-            rows.hint("rebalance", *partition_by)
+            rows.hint("rebalance", *parts)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
+            .partitionBy(*parts)
             .parquet(path)
         )
         return n
     finally:
+        newer.unpersist()
         incoming.unpersist()
 
 

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemark.config import kafka_bootstrap, telemetry_topic
+from tidemark.config import Broker
 from tidemark.functions import nan_to_null
 
 
 def source_options(
     servers: str | None = None, topic: str | None = None, group: str | None = None
 ) -> dict[str, str]:
+    broker = Broker.configured()
     options = {
-        "kafka.bootstrap.servers": servers or kafka_bootstrap(),
-        "subscribe": topic or telemetry_topic(),
+        "kafka.bootstrap.servers": servers or broker.servers,
+        "subscribe": topic or broker.topic,
         "startingOffsets": "earliest",
     }
     if group:
@@ -38,16 +39,29 @@ def read_kafka(
 
 
 def decode_json(
-    df: DataFrame, schema: T.StructType, value: str = "value", *, on_error: str = "fail"
+    df: DataFrame,
+    schema: T.StructType,
+    value: str = "value",
+    *,
+    on_error: str = "fail",
+    keep: Sequence[str] = (),
+    malformed: str | None = None,
 ) -> DataFrame:
     """Parse each message once into typed columns, with NaN readings as missing.
 
-    ``on_error='null'`` gives a row of nulls for a malformed message instead of failing.
+    ``keep`` names columns of ``df`` that stay beside them, such as the broker's partition,
+    offset and timestamp, from which an order of arrival and a fence can be made.
+    ``on_error='null'`` gives a row of nulls for a malformed message instead of failing;
+    ``malformed`` then names a column that holds the raw message of such rows, else null,
+    by which they can be split off to the dead letters.
     """
     mode = {"fail": "FAILFAST", "null": "PERMISSIVE"}[on_error]
-    parsed = df.select(
-        F.from_json(F.col(value).cast("string"), schema, {"mode": mode}).alias("_r")
-    ).select("_r.*")
+    text = F.col(value).cast("string")
+    target = schema
+    if malformed is not None:
+        target = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+    options = {"mode": mode} | ({"columnNameOfCorruptRecord": malformed} if malformed else {})
+    parsed = df.select(*keep, F.from_json(text, target, options).alias("_r")).select(*keep, "_r.*")
     floats = [f.name for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     return parsed.withColumns({c: nan_to_null(F.col(c)) for c in floats}) if floats else parsed
 
@@ -71,10 +85,11 @@ def write_kafka(
     payload: DataFrame, checkpoint: str, servers: str | None = None, topic: str | None = None
 ) -> DataStreamWriter:
     """A configured writer for a streaming ``payload``; the caller sets a trigger and starts it."""
+    broker = Broker.configured(payload.sparkSession)
     return (
         payload.writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers or kafka_bootstrap())
-        .option("topic", topic or telemetry_topic())
+        .option("kafka.bootstrap.servers", servers or broker.servers)
+        .option("topic", topic or broker.topic)
         .options(**PRODUCER_OPTIONS)
         .option("checkpointLocation", checkpoint)
     )

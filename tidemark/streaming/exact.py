@@ -3,11 +3,15 @@
 Each micro-batch runs the batch operators of :mod:`tidemark.operators.lateness`, seeded
 with what earlier batches left behind: the largest event time seen and one aggregated
 row per window that can still change. Batches must follow each other in arrival order;
-where they are cut then has no influence on the result.
+where they are cut then has no influence on the result. A batch that reaches back before
+the last position of an earlier one ends the stream with an error. A source of several
+partitions has no order of its own across them: read one partition per query, or order by
+a number that the sender gives, and let a batch end where all partitions have arrived.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import partial
@@ -15,10 +19,11 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.files import remove
+from tidemark.files import read_text, remove, write_text
 from tidemark.operators.lateness import (
     ORDER,
     POSITION,
+    Closings,
     classify_arrivals,
     closing_positions,
     dead_letters,
@@ -27,7 +32,7 @@ from tidemark.operators.lateness import (
 )
 from tidemark.operators.windows import KEYS, START, TIME, partial_kinds
 from tidemark.schema import CHANNELS, RULES, Rule, WindowSpec
-from tidemark.sinks.changelog import batch_path, latest_view, read_batches, write_batch
+from tidemark.sinks.changelog import batch_path, latest_view, of_query, read_batches, write_batch
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -49,30 +54,50 @@ class ExactLateWindows:
     rules: Sequence[Rule] = RULES
     order: Sequence[str] = ORDER
     time: str = TIME
+    # Whether dead letters say why and which watermark they met; costs a pass per batch.
+    explain_dead: bool = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         spec = self.spec
-        state, seen_ms = self._carried(spark, batch_id)
+        state, seen = self._carried(spark, batch_id)
+        seen_ms = seen.get("ms")
         batch = batch.persist()
         try:
             closings = closing_positions(batch, spec, self.order, self.time)
+            last = self._in_order(seen.get("last"), closings)
             known = [m for m in (seen_ms, closings.newest_ms) if m is not None]
             now_ms = max(known, default=None)
             annotated = classify_arrivals(
                 batch, closings, spec, self.order, self.time, seen_ms
             )
-            self._write(dead_letters(annotated), "dead_letters", batch_id)
+            explained = (spec, self.time, seen_ms) if self.explain_dead else ()
+            self._write(dead_letters(annotated, *explained), "dead_letters", batch_id)
             groups = self._with_state(annotated, state).persist()
             try:
-                self._write(self._emitted(groups, seen_ms, now_ms), "changelog", batch_id)
+                # Counting fills the cache for both writes, and spares the search for large
+                # groups where all of them together are small.
+                n = groups.count()
+                self._write(self._emitted(groups, seen_ms, now_ms, n), "changelog", batch_id)
                 self._write(self._kept(groups, now_ms), "state", batch_id)
             finally:
                 groups.unpersist()
-            seen = spark.range(1).select(F.lit(now_ms).cast("long").alias("seen_ms"))
-            self._write(seen, "seen", batch_id)
+            # Written last: a batch counts as done once this is there.
+            write_text(spark, self._seen(batch_id), json.dumps({"ms": now_ms, "last": last}))
         finally:
             batch.unpersist()
+        self.forget(spark, batch_id - 1)
+
+    def _in_order(self, last: int | None, closings: Closings) -> int | None:
+        """The last position so far; an error if this batch begins before it."""
+        if closings.last is None:
+            return last
+        if last is not None and closings.first <= last:
+            raise ValueError(
+                f"batch begins at {closings.first}, before the end {last} of earlier ones; "
+                "batches must follow each other in arrival order"
+            )
+        return closings.last
 
     def flush(self, spark: SparkSession, last_batch_id: int) -> None:
         """End of input: emit the windows that the watermark did not reach.
@@ -80,21 +105,24 @@ class ExactLateWindows:
         They take the place of the next batch. If the stream goes on after all, that
         batch overwrites them and the windows fire when they are due.
         """
-        state, seen_ms = self._carried(spark, last_batch_id + 1)
+        if last_batch_id < 0:
+            return  # nothing has come
+        state, seen = self._carried(spark, last_batch_id + 1)
         groups = state.withColumn("_late_at", F.lit(None).cast(state.schema[POSITION].dataType))
-        self._write(self._emitted(groups, seen_ms, None), "changelog", last_batch_id + 1)
+        self._write(self._emitted(groups, seen.get("ms"), None), "changelog", last_batch_id + 1)
 
-    def changelog(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, f"{self.path}/changelog")
+    def changelog(self, spark: SparkSession, every_query: bool = False) -> DataFrame:
+        """The emissions of this query id, or of all that write below ``path``."""
+        return self._read(spark, "changelog", every_query)
 
-    def latest(self, spark: SparkSession) -> DataFrame:
-        return latest_view(self.changelog(spark), (*self.keys, START))
+    def latest(self, spark: SparkSession, every_query: bool = False) -> DataFrame:
+        return latest_view(self.changelog(spark, every_query), (*self.keys, START))
 
-    def dead_letters(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, f"{self.path}/dead_letters")
+    def dead_letters(self, spark: SparkSession, every_query: bool = False) -> DataFrame:
+        return self._read(spark, "dead_letters", every_query)
 
     def counters(self, spark: SparkSession) -> DataFrame:
-        """Run counters in one row, from the stored tables."""
+        """Counters of this query id's run in one row, from the stored tables."""
         emitted = self.changelog(spark)
         windows = latest_view(emitted, (*self.keys, START)).agg(
             F.coalesce(F.sum(F.col("sample_count") - F.col("late_count")), F.lit(0)).alias(
@@ -133,18 +161,29 @@ class ExactLateWindows:
         before the last two can be given up at any time.
         """
         for batch_id in range(before_batch_id - 1, -1, -1):
-            removed = [
-                remove(spark, batch_path(f"{self.path}/{table}", self.query_id, batch_id))
-                for table in ("state", "seen")
-            ]
-            if not any(removed):
+            state = batch_path(f"{self.path}/state", self.query_id, batch_id)
+            if not any([remove(spark, state), remove(spark, self._seen(batch_id))]):
                 break
 
-    def _carried(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame | None, int | None]:
+    def _seen(self, batch_id: int) -> str:
+        return batch_path(f"{self.path}/seen", self.query_id, batch_id) + "/seen.json"
+
+    def _read(self, spark: SparkSession, table: str, every_query: bool) -> DataFrame:
+        batches = read_batches(spark, f"{self.path}/{table}")
+        return batches if every_query else of_query(batches, self.query_id)
+
+    def _carried(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame | None, dict]:
+        if read_text(spark, self._seen(batch_id + 1)) is not None:
+            raise ValueError(
+                f"{self.path} holds batches after {batch_id} of query id {self.query_id!r}; "
+                "a stream that starts anew needs a path or a query id of its own"
+            )
         if batch_id == 0:
-            return None, None
-        seen = batch_path(f"{self.path}/seen", self.query_id, batch_id - 1)
-        return self.state(spark, batch_id - 1), spark.read.parquet(seen).first()["seen_ms"]
+            return None, {}
+        seen = read_text(spark, self._seen(batch_id - 1))
+        if seen is None:
+            raise ValueError(f"batch {batch_id - 1} of query id {self.query_id!r} isn't there")
+        return self.state(spark, batch_id - 1), json.loads(seen)
 
     def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
         write_batch(df, f"{self.path}/{table}", self.query_id, batch_id)
@@ -162,7 +201,9 @@ class ExactLateWindows:
         # Carried windows join their on-time rows: one aggregated row ahead of late ones.
         return self._merged(groups.unionByName(state, allowMissingColumns=True), "_late_at")
 
-    def _emitted(self, groups: DataFrame, seen_ms: int | None, now_ms: int | None) -> DataFrame:
+    def _emitted(
+        self, groups: DataFrame, seen_ms: int | None, now_ms: int | None, rows: int | None = None
+    ) -> DataFrame:
         end = F.col(START) + self.spec.size_ms
         fires = F.lit(True)
         if seen_ms is not None:
@@ -176,6 +217,7 @@ class ExactLateWindows:
             spec=self.spec,
             rules=self.rules,
             fired=fires,
+            at_most=rows,
             sizes=groups.groupBy(*self.keys, START).agg(F.count(F.lit(1)).alias("n")),
         )
 

@@ -5,29 +5,36 @@ record. The watermark is Spark's, so it moves once per micro-batch; for per-reco
 watermarks use :mod:`tidemark.streaming.exact`.
 
 Spark drops rows behind the declared watermark before a processor sees them, which
-would lose late records and dead letters alike. The watermark is therefore declared
-with a generous ``horizon_ms`` and used only to learn the largest event time; the
-window's own deadlines are set that much earlier. State is cleared by the processor,
-so the horizon does not keep it longer.
+would lose late records and dead letters alike. The watermark is therefore declared on
+times moved ahead by ``SHIFT_MS``, and waits just as long: it equals the largest event
+time so far, and no record can be behind it. Records whose time is missing or outside
+``0 .. LAST_MS`` don't move it and come out dead. State is cleared by the processor, so
+the wait does not keep it longer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions import window_start
+from tidemark.functions import event_time, window_start
 from tidemark.operators.windows import KEYS, START, TIME, partial_kinds, to_results
 from tidemark.schema import CHANNELS, RULES, Rule, WindowSpec
-from tidemark.streaming.native import EVENT_TIME, with_event_time
+from tidemark.streaming.native import EVENT_TIME
 
-HORIZON_MS = 30 * 24 * 3_600_000
+_YEAR_MS = 365 * 24 * 3_600_000
+# Moved times must be later than any watermark and still fit pandas, which ends in 2262.
+SHIFT_MS = 190 * _YEAR_MS
+LAST_MS = 100 * _YEAR_MS
+OUTSIDE = "outside_range"  # a leading underscore would not reach pandas
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -56,6 +63,20 @@ class _Open:
     maxs: list
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Start keyed-state queries within this; the session's own setting comes back after."""
+    before = spark.conf.get(STATE_PROVIDER, None)
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_PROVIDER)
+        else:
+            spark.conf.set(STATE_PROVIDER, before)
+
+
 class LateWindowProcessor(StatefulProcessor):
     """The open windows of one key (or one salted share of it), and its next deadline.
 
@@ -71,14 +92,11 @@ class LateWindowProcessor(StatefulProcessor):
         channels: Sequence[str],
         group: Sequence[str],
         output: Sequence[str],
-        horizon_ms: int,
     ) -> None:
         self.spec = spec
         self.channels = list(channels)
         self.group = list(group)
         self.output = list(output)
-        # Spark's watermark trails the largest event time by the horizon, ours by the delay.
-        self.shift_ms = horizon_ms - spec.delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -90,12 +108,13 @@ class LateWindowProcessor(StatefulProcessor):
         emitted = self._settle(held, reached)
         updated: set[int] = set()
         for batch in rows:
-            ends = batch[START].to_numpy() + self.spec.size_ms
+            dead = batch[OUTSIDE].to_numpy()
             if reached is not None:
-                dead = ends <= reached - self.spec.lateness_ms
-                if dead.any():
-                    yield batch[dead].assign(**{KIND: DEAD}).reindex(columns=self.output)
-                    batch = batch[~dead]
+                ends = batch[START].to_numpy() + self.spec.size_ms
+                dead = dead | (ends <= reached - self.spec.lateness_ms)
+            if dead.any():
+                yield batch[dead].assign(**{KIND: DEAD}).reindex(columns=self.output)
+                batch = batch[~dead]
             updated |= self._fold(held, batch, reached)
         emitted += [held[start] for start in sorted(updated)]
         self._store(due, held)
@@ -114,7 +133,8 @@ class LateWindowProcessor(StatefulProcessor):
 
     def _reached(self, timer_values) -> int | None:
         spark_ms = timer_values.getCurrentWatermarkInMs()
-        return spark_ms + self.shift_ms if spark_ms > 0 else None
+        # Spark's watermark is the largest event time, ours trails it by the delay.
+        return spark_ms - self.spec.delay_ms if spark_ms > 0 else None
 
     def _load(self) -> tuple[int | None, dict[int, _Open]]:
         value = self.state.get()
@@ -128,7 +148,7 @@ class LateWindowProcessor(StatefulProcessor):
         if not held:
             self.state.clear()
             return
-        first = min(self._deadline(w) for w in held.values()) - self.shift_ms
+        first = min(self._deadline(w) for w in held.values()) + self.spec.delay_ms
         if due is None or first < due:
             self.handle.registerTimer(first)
             due = first
@@ -158,15 +178,21 @@ class LateWindowProcessor(StatefulProcessor):
 
     def _fold(self, held: dict[int, _Open], batch: pd.DataFrame, reached: int | None) -> set[int]:
         """Add records to their windows; returns the windows that late records changed."""
-        changed = set()
-        grouped = batch.groupby(START, sort=False)
-        sizes = grouped.size()
-        parts = [
-            getattr(grouped[self.channels], how)(**options)
-            for how, options in (("sum", {"min_count": 1}), ("count", {}), ("min", {}), ("max", {}))
-        ]
-        for row, (start, n) in enumerate(sizes.items()):
-            start = int(start)
+        changed: set[int] = set()
+        if batch.empty:
+            return changed
+        # All channels of all windows of the batch in one pass over its values.
+        starts, at = np.unique(batch[START].to_numpy(np.int64), return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        first = np.searchsorted(at[order], np.arange(len(starts)))
+        values = batch[self.channels].to_numpy(np.float64)[order]
+        known = ~np.isnan(values)
+        rows = np.diff(np.append(first, len(order))).tolist()
+        counts = np.add.reduceat(known, first, axis=0, dtype=np.int64).tolist()
+        sums = np.add.reduceat(np.where(known, values, 0.0), first, axis=0).tolist()
+        mins = np.minimum.reduceat(np.where(known, values, np.inf), first, axis=0).tolist()
+        maxs = np.maximum.reduceat(np.where(known, values, -np.inf), first, axis=0).tolist()
+        for row, start in enumerate(starts.tolist()):
             late = reached is not None and start + self.spec.size_ms <= reached
             w = held.get(start)
             if w is None:
@@ -175,18 +201,17 @@ class LateWindowProcessor(StatefulProcessor):
                 w.counts = [0] * width
                 held[start] = w
             if late:
-                w.late += int(n)
+                w.late += rows[row]
                 changed.add(start)
             else:
-                w.on += int(n)
-            sums, counts, mins, maxs = (part.iloc[row].tolist() for part in parts)
-            for i in range(len(self.channels)):
-                if counts[i]:
-                    known = w.counts[i] > 0
-                    w.sums[i] = w.sums[i] + sums[i] if known else sums[i]
-                    w.mins[i] = min(w.mins[i], mins[i]) if known else mins[i]
-                    w.maxs[i] = max(w.maxs[i], maxs[i]) if known else maxs[i]
-                    w.counts[i] += int(counts[i])
+                w.on += rows[row]
+            for i, n in enumerate(counts[row]):
+                if n:
+                    had = w.counts[i] > 0
+                    w.sums[i] = w.sums[i] + sums[row][i] if had else sums[row][i]
+                    w.mins[i] = min(w.mins[i], mins[row][i]) if had else mins[row][i]
+                    w.maxs[i] = max(w.maxs[i], maxs[row][i]) if had else maxs[row][i]
+                    w.counts[i] += n
         return changed
 
     def _results(self, key, windows: list[_Open]) -> pd.DataFrame:
@@ -212,30 +237,32 @@ def late_windows_stream(
     time: str = TIME,
     spread: str | None = None,
     salts: int = 1,
-    horizon_ms: int = HORIZON_MS,
 ) -> DataFrame:
     """Rows of kind ``result`` (a window's partial statistics so far) and ``dead`` (raw).
 
     Where one key may take a large share of a micro-batch, ``salts`` > 1 divides it by a
     hash of column ``spread``; the parts fire by the same watermark and
-    :func:`window_results` puts them together. Use append mode, and the RocksDB state
-    provider.
+    :func:`window_results` puts them together. Use append mode, and start the query
+    within :func:`rocksdb_state`.
     """
     salt = F.lit(0) if salts == 1 else F.pmod(F.xxhash64(spread or time), F.lit(salts))
+    inside = F.coalesce(F.col(time).between(0, LAST_MS), F.lit(False))
+    moved = event_time(F.when(inside, F.col(time)).otherwise(0) + SHIFT_MS)
     placed = (
-        with_event_time(df, horizon_ms, time)
+        df.withColumns({EVENT_TIME: moved, OUTSIDE: ~inside})
+        .withWatermark(EVENT_TIME, f"{SHIFT_MS} milliseconds")
         .withColumns({c: F.col(c).cast("double") for c in channels})
         .withColumns({START: window_start(F.col(time), spec.size_ms), SALT: salt.cast("int")})
     )
     group = [*keys, SALT]
-    fields = [T.StructField(f.name, f.dataType) for f in placed.schema if f.name != EVENT_TIME]
+    fields = [T.StructField(f.name, f.dataType) for f in placed.schema if f.name not in (EVENT_TIME, OUTSIDE)]
     fields += [T.StructField(n, T.LongType()) for n in ("_on", "_late")]
     for c, kind in partial_kinds(channels).items():
         counted = c.endswith("_cnt") and kind == "sum"
         fields.append(T.StructField(c, T.LongType() if counted else T.DoubleType()))
     fields.append(T.StructField(KIND, T.StringType()))
     schema = T.StructType(fields)
-    processor = LateWindowProcessor(spec, channels, group, schema.names, horizon_ms)
+    processor = LateWindowProcessor(spec, channels, group, schema.names)
     return placed.groupBy(*group).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=schema,

@@ -66,7 +66,7 @@ class Shingler:
             return np.zeros(0, np.uint64)
         known = self.known
         used = set(words)
-        fresh = used.difference(known)
+        fresh = known.without(used)
         known.update((w, xxhash.xxh3_64_intdigest(w)) for w in fresh)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         size = min(self.size, len(words))

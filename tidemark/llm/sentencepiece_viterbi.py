@@ -143,7 +143,7 @@ def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | N
         for part in by_bytes((t or b"" for t in batch), PART_BYTES):
             words = [pieces.words(t.decode()) for t in part]
             used = set().union(*words)
-            fresh = sorted(used.difference(known))
+            fresh = sorted(known.without(used))
             for word in fresh:
                 known[word] = np.asarray(pieces.segment(word), "<i4").tobytes()
             out += [b"".join(map(known.__getitem__, w)) for w in words]

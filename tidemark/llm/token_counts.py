@@ -34,6 +34,10 @@ class Remembered(dict):
         super().__init__()
         self.limit = limit
 
+    def without(self, used: set) -> list:
+        """Those of ``used`` that aren't known; looks at them alone, however many are known."""
+        return [key for key in used if key not in self]
+
     def trim(self, long_ones: list[bytes], in_use: set) -> None:
         """After a batch: forget its long segments and, when too many, the older half.
 
@@ -71,7 +75,7 @@ def counter(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | N
         for part in by_bytes((t or b"" for t in batch), PART_BYTES):
             segments = [t.split() for t in part]
             used = set().union(*segments)
-            fresh = sorted(used.difference(known))
+            fresh = sorted(known.without(used))
             for call in by_bytes(fresh, CALL_BYTES):
                 encoded = tokenizer.encode_batch_fast([s.decode() for s in call], add_special_tokens=False)
                 known.update(zip(call, map(len, encoded), strict=True))

@@ -90,7 +90,7 @@ def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | N
 
     def learn(fresh: set[str], known: Remembered, before: str) -> list[str]:
         others = []
-        fresh = fresh.difference(known)
+        fresh = known.without(fresh)
         for segment in fresh:
             if not (simple := SIMPLE.fullmatch(segment)):
                 others.append(segment)

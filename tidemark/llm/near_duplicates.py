@@ -43,6 +43,9 @@ SEED = 20_240_229
 SIGNATURE_SHARE = 0.56
 #: Shingles whose minima are taken at once; bounds the memory for texts of any length.
 BLOCK = 1_024
+#: Ids of documents to compare are broadcast up to so many, 16 MB of them; more are joined
+#: by an exchange of the texts.
+BROADCAST_IDS = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -249,7 +252,10 @@ def _undecided(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    wanted = nodes.toDF("doc_id").distinct()
+    """Full sets of some documents. Texts stay where they are if the ids are few enough."""
+    wanted = stored(nodes.toDF("doc_id").distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     return stored(shingle_sets(docs.join(wanted, "doc_id", "left_semi")), "shingle-sets")
 
 

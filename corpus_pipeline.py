@@ -15,7 +15,7 @@ from tidemark.llm.queries import PIECE_MODEL
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language is told with at least the operator's minimum score."""
     return language_id.keep_identified(docs, ~held_out(F.col("doc_id")))
 
 

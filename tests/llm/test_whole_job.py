@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id
+from tidemark.llm import language_id, quality_ranking
 from tidemark.llm.common import held_out
 
 VOCABULARY = {
@@ -37,3 +37,32 @@ def test_letters_alone_do_not_identify_a_language(docs):
     teach = ~held_out(F.col("doc_id")) & (F.col("doc_id") < 900)
     kept = {r.doc_id for r in language_id.keep_identified(docs(*spoken(), *odd), teach).collect()}
     assert kept == set(range(160))
+
+
+def taught(docs, label, n=2000):
+    """``doc_id, x, label``; every fourth text is spoilt."""
+    rng = random.Random(5)
+    words = ["tree", "river", "stone", "green", "walks", "under", "light", "the", "a", "of"]
+    rows = []
+    for i in range(n):
+        text = prose(rng, words, rng.randrange(5, 60))
+        rows.append((i, text if i % 4 else text.upper().replace(" ", "!! ")))
+    x = docs(*rows).withColumn("x", quality_ranking.text_features(F.col("text")))
+    return x.select("doc_id", "x", label.alias("label"))
+
+
+def test_quality_threshold_is_that_of_all_labelled_rows(docs):
+    # A tenth of the labels is wrong, so scores overlap where the threshold is.
+    label = F.when(F.col("doc_id") % 10 == 3, F.col("doc_id") % 4 == 0).otherwise(F.col("doc_id") % 4 != 0)
+    rows = taught(docs, label.cast("int")).cache()
+    ranking = quality_ranking.fit(rows, 60)
+    below = rows.filter(ranking.margin(F.col("x")) < ranking.threshold).count()
+    assert abs(below - rows.filter("label = 0").count()) <= 1
+
+
+def test_a_rare_label_teaches_though_rows_are_sampled(docs):
+    rows = taught(docs, F.when(F.col("doc_id").isin(400, 1200), 0).otherwise(1))
+    rows = rows.filter("doc_id % 4 != 0 or doc_id in (400, 1200)").cache()
+    ranking = quality_ranking.fit(rows, 40)
+    scores = {r.doc_id: r.m for r in rows.select("doc_id", ranking.margin(F.col("x")).alias("m")).collect()}
+    assert sorted(sorted(scores, key=scores.get)[:2]) == [400, 1200]

@@ -26,8 +26,8 @@ from tidemark.llm.common import bounded_batches, stored, texts
 PAIRS_PER_NEGATIVE = 8
 #: The score at which a document is predicted to be good.
 CUT = 0.3
-#: Largest number of labelled documents that a model is fitted on, taken by a hash of the
-#: id; all of them where there are fewer.
+#: About the largest number of labelled documents that a model is fitted on, taken by a hash
+#: of the id within each label; all of them where there are fewer. The threshold is that of all.
 FIT_ROWS = 200_000
 
 _CLASSES = {
@@ -132,6 +132,21 @@ def preference_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
+def fit_sample(rows: DataFrame, counts: dict[int, int], fit_rows: int) -> DataFrame:
+    """About ``fit_rows`` of more labelled rows; half of them for each label, the rarer one whole if it is less.
+
+    By ranges of a hash of the id, so no row moves. The id of the lowest hash of a label is
+    always there: no label can be missing.
+    """
+    rarer = min(counts, key=counts.get)
+    quota = {rarer: min(counts[rarer], fit_rows // 2)}
+    quota[1 - rarer] = fit_rows - quota[rarer]
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11)
+    lowest = dict(rows.groupBy("label").agg(F.min(place)).collect())
+    upto = {k: max(lowest[k], int(min(1.0, quota[k] / n) * 2**53)) for k, n in counts.items()}
+    return rows.filter(place <= F.when(F.col("label") == 0, upto[0]).otherwise(upto[1]))
+
+
 def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Ranking:
     """A ranking from ``doc_id, x, label``; labels other than 0 and 1 are left out.
 
@@ -143,10 +158,11 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Ranking:
     total, bad = rows.agg(F.count("*"), F.count_if(F.col("label") == 0)).first()
     if bad in (0, total):
         return Ranking((0.0,) * N_FEATURES, -1.0 if bad == 0 else 1.0)
+    taught = rows
     if total > fit_rows:
-        rows = stored(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "quality-fit")
+        taught = stored(fit_sample(rows, {0: bad, 1: total - bad}, fit_rows), "quality-fit")
     model = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=60, aggregationDepth=2)
-    fitted = model.fit(preference_pairs(rows))
+    fitted = model.fit(preference_pairs(taught))
     ranking = Ranking(tuple(map(float, fitted.coefficients)), 0.0)
     scores = rows.select(ranking.margin(F.col("x")).alias("s"))
     at = scores.agg(F.percentile_approx("s", bad / total, 100_000)).first()[0]

@@ -35,8 +35,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of what is left, beside the columns of documents."""
-    return sentencepiece_viterbi.with_pieces(docs, public_tokenizers.path(PIECE_MODEL))
+    """Piece ids of what is left and whether they decode to it, beside the columns of documents."""
+    return sentencepiece_viterbi.with_round_trip(docs, public_tokenizers.path(PIECE_MODEL))
 
 
 STAGES = [

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, quality_ranking
+from tidemark.llm import sentencepiece_viterbi as sp
 from tidemark.llm.common import held_out
 
 VOCABULARY = {
@@ -66,3 +68,17 @@ def test_a_rare_label_teaches_though_rows_are_sampled(docs):
     ranking = quality_ranking.fit(rows, 40)
     scores = {r.doc_id: r.m for r in rows.select("doc_id", ranking.margin(F.col("x")).alias("m")).collect()}
     assert sorted(sorted(scores, key=scores.get)[:2]) == [400, 1200]
+
+
+def test_last_stage_decodes(spark, docs, monkeypatch):
+    df = docs((1, "one two"), (2, None), (3, ""), (4, "a▁b")).withColumn("decoded", F.lit("mine"))
+    out = corpus_pipeline.encode(spark, df, "")
+    assert out.columns == [*df.columns, "ids", "n_tokens", "round_trip"]
+    assert {(r.doc_id, r.n_tokens > 0, r.round_trip, r.decoded) for r in out.collect()} == {
+        (1, True, True, "mine"),
+        (2, False, True, "mine"),
+        (3, False, True, "mine"),
+        (4, True, True, "mine"),
+    }
+    monkeypatch.setattr(sp, "decode_pieces", lambda ids, path: F.lit("other"))
+    assert not corpus_pipeline.encode(spark, docs((1, "one")), "").first().round_trip

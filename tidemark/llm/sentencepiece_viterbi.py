@@ -181,6 +181,11 @@ def decode_pieces(ids: Column, path: str) -> Column:
     return text(ids)
 
 
+def same_text(text: Column, decoded: Column) -> Column:
+    """Whether decoding gave the text again, a space mark in the text counting as a space."""
+    return F.translate(text, SPACE, " ").eqNullSafe(decoded)
+
+
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every whole text and decode it again: ``doc_id, n_tokens, ids, round_trip``.
 
@@ -197,7 +202,7 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
         "doc_id",
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
         "ids",
-        F.translate("text", SPACE, " ").eqNullSafe(F.col("decoded")).alias("round_trip"),
+        same_text(F.col("text"), F.col("decoded")).alias("round_trip"),
     )
 
 
@@ -207,3 +212,15 @@ def with_pieces(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     ids, n_tokens = unlike(docs, "ids"), unlike(docs, "n_tokens")
     encoded = docs.withColumn(ids, encode_pieces(F.col(text), path))
     return encoded.withColumn(n_tokens, F.coalesce(F.size(ids), F.lit(0)).cast("long"))
+
+
+def with_round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids``, ``n_tokens`` and, decoded from the ids, ``round_trip`` added.
+
+    As ``encode_documents`` has them, under free names where those are taken.
+    """
+    ids, round_trip = unlike(docs, "ids"), unlike(docs, "round_trip")
+    rows = with_pieces(docs, path, text)
+    decoded = unlike(rows, "decoded")
+    rows = rows.withColumn(decoded, decode_pieces(F.col(ids), path))
+    return rows.withColumn(round_trip, same_text(F.col(text), F.col(decoded))).drop(decoded)

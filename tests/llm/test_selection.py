@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontamination, language_id, quality_ranking, sharding
 from tidemark.llm.common import held_out
 
-TEACH = ~held_out(F.col("doc_id"))
+def teach():
+    return ~held_out(F.col("doc_id"))
 
 
 def test_shards_are_even_gapless_and_mixed(docs, monkeypatch):
@@ -67,7 +68,7 @@ def labelled(n=240):
 def test_quality_ranks_held_out_documents(spark, docs):
     rows, labels = labelled()
     known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    out = quality_ranking.rank_quality(docs(*rows), known, TEACH).collect()
+    out = quality_ranking.rank_quality(docs(*rows), known, teach()).collect()
     want = {i: q for i, q, _ in labels}
     assert all(r.predicted == want[r.doc_id] for r in out)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in out)
@@ -78,7 +79,7 @@ def test_quality_learns_from_no_held_out_label(spark, docs):
     rows, labels = labelled()
     flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, t) for i, q, t in labels]
     score = [
-        {r.doc_id: r.score for r in quality_ranking.rank_quality(docs(*rows), spark.createDataFrame(k, "doc_id long, quality int, toxic int"), TEACH).collect()}
+        {r.doc_id: r.score for r in quality_ranking.rank_quality(docs(*rows), spark.createDataFrame(k, "doc_id long, quality int, toxic int"), teach()).collect()}
         for k in (labels, flipped)
     ]
     assert score[0] == score[1]
@@ -91,7 +92,7 @@ def test_quality_of_odd_rows_and_missing_labels(spark, docs):
         known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
         out = quality_ranking.rank_quality(df, known, F.lit(True)).collect()
         assert len(out) == 5 and {r.predicted for r in out} == {predicted}
-    assert quality_ranking.rank_quality(df.limit(0), known, TEACH).count() == 0
+    assert quality_ranking.rank_quality(df.limit(0), known, teach()).count() == 0
 
 
 VOCABULARY = {
@@ -111,21 +112,21 @@ def spoken(n=150):
 
 def test_languages_of_held_out_documents(docs):
     rows = spoken()
-    out = language_id.identify(docs(*rows), TEACH).collect()
+    out = language_id.identify(docs(*rows), teach()).collect()
     want = {i: lang for i, _, lang, _ in rows}
     assert all(r.lang_pred == want[r.doc_id] and 0 <= r.score <= 1 for r in out)
 
 
 def test_language_of_odd_rows(docs):
     rows = [*spoken(), (900, None, "en"), (901, "12 .. 34", "en"), (902, "", None), (None, "the and with", None)]
-    out = {r.doc_id: r for r in language_id.identify(docs(*rows), TEACH).collect() if (r.doc_id or 900) >= 900}
+    out = {r.doc_id: r for r in language_id.identify(docs(*rows), teach()).collect() if (r.doc_id or 900) >= 900}
     assert [out[i].lang_pred for i in (900, 901, 902, None)] == ["und", "und", "und", "en"]
-    nothing = language_id.identify(docs((1, "some words", None)), TEACH).collect()
+    nothing = language_id.identify(docs((1, "some words", None)), teach()).collect()
     assert [(r.lang_pred, r.score) for r in nothing] == [("und", 0.0)]
     alone = language_id.identify(docs((1, "some words", "en"), (2, "more", "en")), F.lit(True)).collect()
     assert {r.lang_pred for r in alone} == {"en"}
-    assert language_id.identify(docs((1, "a", "en")).limit(0), TEACH).count() == 0
-    kept = language_id.keep_identified(docs(*rows), TEACH)
+    assert language_id.identify(docs((1, "a", "en")).limit(0), teach()).count() == 0
+    kept = language_id.keep_identified(docs(*rows), teach())
     assert kept.count() == 151 and kept.columns == docs(*rows).columns
 
 

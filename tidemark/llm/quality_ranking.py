@@ -166,7 +166,9 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Ranking:
     ranking = Ranking(tuple(map(float, fitted.coefficients)), 0.0)
     scores = rows.select(ranking.margin(F.col("x")).alias("s"))
     at = scores.agg(F.percentile_approx("s", bad / total, 100_000)).first()[0]
-    return Ranking(ranking.weights, float(at))
+    # Halfway to the next larger score, so that the row at the quantile lies below.
+    above = scores.filter(F.col("s") > at).agg(F.min("s")).first()[0]
+    return Ranking(ranking.weights, float(at if above is None else (at + above) / 2))
 
 
 def rank_quality(

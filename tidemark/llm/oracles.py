@@ -97,3 +97,66 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id <> last THEN last END AS refers_to, TRUE AS digest_holds
 FROM known
 """
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH = rf"""
+WITH held AS (SELECT doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+lengths AS (SELECT doc_id, len(w)::BIGINT AS n FROM held WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM lengths),
+tfs AS (SELECT doc_id, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS t FROM held) GROUP BY ALL),
+asked AS (SELECT item_id, t, count(*)::BIGINT AS q FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY ALL),
+weights AS (SELECT t, floor(1000 * ln((2.0::DOUBLE * nn + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, totals GROUP BY t, nn),
+scored AS (
+  SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll))))::BIGINT AS score
+  FROM asked JOIN tfs USING (t) JOIN weights USING (t) JOIN lengths USING (doc_id), totals GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scored WHERE score > 0)
+SELECT item_id, r::INT AS rank, doc_id, score FROM ranked WHERE r <= 10
+"""
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+LINES = rf"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS place FROM split),
+keyed AS (SELECT doc_id, line, place, {_LOWER.replace("text", f"trim(line, {_BLANKS})")} AS k FROM lines),
+gone AS (SELECT k AS g FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(g) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE g IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN gone ON k = g GROUP BY doc_id
+"""
+
+# Every node is named by the list of its turns, and a subtree is what begins with it.
+TRIE = rf"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id AS c, row_number() OVER (
+      PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+bytes_ AS (SELECT c, hex(encode(c::VARCHAR)) AS x FROM (SELECT DISTINCT c FROM turns)),
+convs AS (
+  SELECT c, c - c % 5 AS base, xor(list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(range(0, len(x)),
+      lambda i: (instr('0123456789ABCDEF', x[CASE WHEN i % 2 = 0 THEN i + 2 ELSE i END]) - 1)::UBIGINT)),
+    lambda s, d: xor(s >> 4, {_CRC_TABLE}[xor(s & 15::UBIGINT, d)::INT + 1])), 4294967295::UBIGINT) % 9 AS h FROM bytes_),
+parts AS (
+  SELECT convs.c, 0 AS part, p, t FROM convs JOIN turns ON turns.c = base WHERE p < h
+  UNION ALL SELECT convs.c, 1, p, t FROM convs JOIN turns ON turns.c = convs.c WHERE p >= h),
+seqs AS (
+  SELECT c, coalesce(list(t ORDER BY part, p) FILTER (WHERE part IS NOT NULL), []) AS s FROM convs LEFT JOIN parts USING (c) GROUP BY c),
+members AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seqs),
+nodes AS (
+  SELECT d, s[1:d] AS k, min(c) AS m, count(*) AS n, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(s) = d), '') AS ends
+  FROM members GROUP BY d, s[1:d]),
+full_ AS (
+  SELECT v.*, u.m AS pm, (v.n - 1) * CASE WHEN v.d = 0 THEN 0 ELSE strlen(v.k[v.d].text) END AS saved
+  FROM nodes v LEFT JOIN nodes u ON u.d = v.d - 1 AND u.k = v.k[1:v.d - 1]),
+kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT f.*, coalesce(kids, 0) AS kids FROM full_ f LEFT JOIN kids ON kids.d = f.d AND kids.k = f.k),
+below AS (
+  SELECT a AS d, k[1:a] AS k, sum(saved) AS saved, count(*) FILTER (WHERE kids = 0) AS leaves
+  FROM (SELECT k, saved, kids, unnest(range(0, d + 1)) AS a FROM counted) GROUP BY a, k[1:a])
+SELECT m::BIGINT AS conv_id, c.d::BIGINT AS depth, pm::BIGINT AS parent_conv_id, n::BIGINT AS n_convs, kids::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM counted c JOIN below b ON b.d = c.d AND b.k = c.k
+"""

@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    conversation_trie,
     decontamination,
     hnsw,
     language_id,
+    lexical_search,
+    line_dedup,
     near_duplicates,
     oracles,
     quality_ranking,
@@ -29,6 +32,8 @@ FILE_END_ID = 0
 PIECE_MODEL = "piece_bpe_32k.model"
 SHARDS = 16
 NEIGHBOURS = 20
+HITS = 10
+LINE_DOCS = 10
 
 
 def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +131,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"), HITS)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_frequent_lines(table(spark, sf_dir, "documents"), LINE_DOCS)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.numbered(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.rebuilt(turns))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -139,6 +159,9 @@ QUERIES = {
         op8_token_files,
         op9_sentencepiece,
         op10_language_id,
+        op11_lexical_search,
+        op12_line_dedup,
+        op13_conversation_trie,
     )
 }
 ORACLES = {
@@ -146,4 +169,7 @@ ORACLES = {
     "op3_interleaved_shards": oracles.SHARDS,
     "op4_suffix_decontamination": oracles.CONTAMINATION,
     "op5_warc_transactions": oracles.CAPTURES,
+    "op11_lexical_search": oracles.SEARCH,
+    "op12_line_dedup": oracles.LINES,
+    "op13_conversation_trie": oracles.TRIE,
 }

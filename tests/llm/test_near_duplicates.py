@@ -103,7 +103,51 @@ def test_odd_rows(docs):
     assert nd.near_duplicates(df.limit(0)).count() == 0
     kept = nd.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 5, 5, 7, 8]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [2, 5, 7, 8]
+
+
+def words(*ids):
+    return " ".join(f"t{k}" for k in ids)
+
+
+def test_repeated_ids_are_linked_whatever_their_texts(docs):
+    one, other = words(*range(30)), words(*range(50, 80))
+    rows = [(5, one), (5, other), (6, one + " more"), (7, other + " more"), (3, words(*range(90, 99)))]
+    out = nd.near_duplicates(docs(*rows)).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == [
+        (3, 3, True),
+        (5, 5, True),
+        (5, 5, True),
+        (6, 5, False),
+        (7, 5, False),
+    ]
+    assert sorted(r.doc_id for r in nd.keep_one(docs(*rows)).collect()) == [3, 5]
+
+
+def test_one_row_of_each_component_stays(docs):
+    one, other, third = words(*range(30)), words(*range(50, 80)), words(*range(100, 130))
+    rows = [(1, one), (1, one), (2, other), (None, one), (None, one), (3, one)]
+    rows += [(None, third), (None, third + " x"), (None, None), (None, " "), (9, ""), (9, "")]
+    df = docs(*rows).withColumn("mark", F.lit("mine"))
+    kept = nd.keep_one(df)
+    assert kept.columns == df.columns
+    found = [(r.doc_id, (r.text or "").strip()) for r in kept.collect()]
+    assert sorted(i for i, _ in found if i) == [1, 2, 9]
+    assert sorted(t for i, t in found if not i) in (["", "", third], ["", "", third + " x"])
+
+
+@pytest.mark.parametrize("rows_at_once", [1_000_000, 0])
+def test_texts_of_one_template_are_not_paired(docs, monkeypatch, rows_at_once):
+    """Pairs that are checked in the end grow with the documents, not with their square."""
+    monkeypatch.setattr(nd, "BROADCAST_IDS", rows_at_once)
+    counted = {}
+    pairs = nd.exact_pairs
+    for n in (60, 120):
+        monkeypatch.setattr(nd, "exact_pairs", lambda *a, n=n: (df := pairs(*a), counted.update({n: df.count()}))[0])
+        template = words(*range(80))
+        rows = [(k, f"{template} " + words(*range(1_000 * k + 1_000, 1_000 * k + 1_020))) for k in range(n)]
+        assert result(docs(*rows)) == {k: (96, k) for k in range(n)}
+    assert counted == {60: 0, 120: 0}
 
 
 def test_one_large_group_of_copies(docs):

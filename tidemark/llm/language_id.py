@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,15 +19,19 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tidemark.llm.common import bounded_batches, stored, texts
 
 UNDETERMINED = "und"
 #: Hash buckets of character n-grams.
 BUCKETS = 1024
-#: Largest number of documents per language that the machines are fitted on, by id hash.
+#: Bytes of a text whose n-grams are counted at once.
+BLOCK = 1 << 18
+#: About the largest number of documents per language that the machines are fitted on, by
+#: ranges of the id's hash; all of them where there are fewer.
 FIT_ROWS_PER_LANGUAGE = 2_000
+#: Machines fitted at a time.
+SIDE_BY_SIDE = 6
 REGULARIZATION = 1e-4
 ITERATIONS = 40
 #: Least score of a document that counts as identified. Text of a language that wasn't learnt,
@@ -65,13 +70,18 @@ def family(language: str) -> str:
 
 def ngrams(text: bytes | None) -> np.ndarray:
     """Unit vector of square-rooted counts of byte 2- and 3-grams of a whole text."""
-    x = _LETTER[np.frombuffer(b" " + (text or b"") + b" ", np.uint8)]
-    pairs = x[:-1] << np.uint64(8) | x[1:]
-    threes = pairs[:-1] << np.uint64(8) | x[2:]
-    keys = np.concatenate([pairs[(pairs > 0)] | np.uint64(1 << 32), threes[threes > 0]])
-    spread = (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 10)
-    counts = np.sqrt(np.bincount(spread.astype(np.int64), minlength=BUCKETS))
-    return counts / max(np.linalg.norm(counts), 1e-12)
+    data = b" " + (text or b"") + b" "
+    counts = np.zeros(BUCKETS, np.int64)
+    for at in range(0, len(data) - 1, BLOCK):  # bounds the memory for texts of any length
+        x = _LETTER[np.frombuffer(data, np.uint8, min(BLOCK + 2, len(data) - at), at)]
+        pairs = x[:-1] << np.uint64(8) | x[1:]
+        threes = pairs[:-1] << np.uint64(8) | x[2:]
+        pairs = pairs[:BLOCK]  # the next block begins with the one left out
+        keys = np.concatenate([pairs[pairs > 0] | np.uint64(1 << 32), threes[threes > 0]])
+        spread = (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 10)
+        counts += np.bincount(spread.astype(np.int64), minlength=BUCKETS)
+    roots = np.sqrt(counts)
+    return roots / max(np.linalg.norm(roots), 1e-12)
 
 
 def text_ngrams(text: Column) -> Column:
@@ -133,14 +143,21 @@ class Hierarchy:
         return out.tolist(), score
 
 
+def _place() -> Column:
+    """A document's place in 53 bits, by its id alone."""
+    return F.shiftrightunsigned(F.xxhash64("doc_id"), 11)
+
+
 def fit(docs: DataFrame, rows_per_language: int = FIT_ROWS_PER_LANGUAGE) -> Hierarchy:
     """A hierarchy from ``doc_id, text, lang``; rows without text, letters or language don't teach."""
-    ids = docs.select("doc_id", "lang").filter("doc_id is not null and lang is not null")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= rows_per_language)
-    # At most rows_per_language ids for each language.
-    sample = docs.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id").filter(has_letter(F.col("text")))
-    sample = sample.filter("lang is not null").select("lang", text_ngrams(F.col("text")).alias("x"))
+    rows = docs.filter("doc_id is not null and lang is not null")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"), F.min(_place()).alias("_lowest"))
+    # By ranges of a hash, so that no language is gathered; the lowest is always there. The
+    # model on the driver has a machine per language and more, so these rows can be sent out.
+    upto = F.greatest("_lowest", F.least(F.lit(1.0), F.lit(rows_per_language) / F.col("_n")) * 2**53)
+    limits = stored(counts.select("lang", upto.alias("_upto")), "language-limits")
+    sample = rows.join(F.broadcast(limits), "lang").filter(_place() <= F.col("_upto")).filter(has_letter(F.col("text")))
+    sample = sample.select("lang", text_ngrams(F.col("text")).alias("x"))
     sample = stored(sample.select("lang", array_to_vector("x").alias("features")), "language-sample")
     languages = sorted(r.lang for r in sample.select("lang").distinct().collect())
     groups: dict[str, list[str]] = {}
@@ -149,14 +166,19 @@ def fit(docs: DataFrame, rows_per_language: int = FIT_ROWS_PER_LANGUAGE) -> Hier
     svm = LinearSVC(regParam=REGULARIZATION, maxIter=ITERATIONS, standardization=False)
 
     def election(classes: dict[str, list[str]]) -> Election:
-        out = Election(sorted(classes))
-        for a, b in itertools.combinations(range(len(out.classes)), 2):
-            one, other = classes[out.classes[a]], classes[out.classes[b]]
+        out = Election(sorted(classes), list(itertools.combinations(range(len(classes)), 2)))
+
+        def machine(pair: tuple[int, int]) -> tuple[np.ndarray, float]:
+            one, other = (classes[out.classes[k]] for k in pair)
             rows = sample.filter(F.col("lang").isin(one + other))
             model = svm.fit(rows.select("features", F.col("lang").isin(one).cast("double").alias("label")))
-            out.pairs.append((a, b))
-            out.weights.append(model.coefficients.toArray())
-            out.biases.append(float(model.intercept))
+            return model.coefficients.toArray(), float(model.intercept)
+
+        # Each is a few short jobs over the sample; side by side they keep the cluster busy.
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            for weights, bias in pool.map(machine, out.pairs):
+                out.weights.append(weights)
+                out.biases.append(bias)
         return out
 
     return Hierarchy(election(groups), {f: election({x: [x] for x in g}) for f, g in groups.items()})

@@ -39,13 +39,31 @@ _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
 _WORDS_AND_LINES = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 
 
-class Pieces:
-    """Pieces of a model file, the automaton over them, and both directions."""
+class Written:
+    """What each piece of a model file is written as: all that decoding takes."""
 
     def __init__(self, path: str):
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        ids = range(model.get_piece_size())
+        self.written = [
+            b"" if model.is_control(i) else bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.encode()
+            for i, p in zip(ids, map(model.id_to_piece, ids))
+        ]
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids: byte pieces joined to characters, the mark in front dropped."""
+        text = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace")
+        return text.removeprefix(SPACE).replace(SPACE, " ")
+
+
+class Pieces(Written):
+    """Pieces of a model file and the automaton over them, for both directions."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        model = self.model
         size = model.get_piece_size()
         self.piece = [model.id_to_piece(i) for i in range(size)]
         self.unknown_id = model.unk_id()
@@ -65,9 +83,6 @@ class Pieces:
         self.by_words = not any(SPACE in p.lstrip(SPACE) for p in self.piece)
         #: Nor if none holds a line break, which then stands alone too.
         self.by_lines = not any("\n" in p for p in self.piece)
-        written = {i: bytes([b]) for b, i in self.bytes_.items()}
-        written |= {i: b"" for i in range(size) if model.is_control(i)}
-        self.written = [written.get(i, p.encode()) for i, p in enumerate(self.piece)]
 
     def words(self, text: str) -> list[str]:
         """Parts of ``text``, spaces as marks and one in front, that segment on their own."""
@@ -119,18 +134,18 @@ class Pieces:
             end = begin
         return ids[::-1]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids: byte pieces joined to characters, the mark in front dropped."""
-        text = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace")
-        return text.removeprefix(SPACE).replace(SPACE, " ")
-
 
-@functools.lru_cache(2)
+@functools.lru_cache(1)
 def load(path: str) -> Pieces:
     return Pieces(path)
 
 
-@functools.lru_cache(2)
+@functools.lru_cache(1)
+def written(path: str) -> Written:
+    return Written(path)
+
+
+@functools.lru_cache(1)
 def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | None]], list[bytes]]:
     """A function from texts to their ids, packed as little-endian 32-bit integers.
 
@@ -171,7 +186,7 @@ def decode_pieces(ids: Column, path: str) -> Column:
 
     @F.arrow_udf(T.StringType())
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = load(path)
+        pieces = written(path)
         for batch in batches:
             flat = batch.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))

@@ -69,6 +69,11 @@ def test_equals_scores_of_all_documents(spark, docs, monkeypatch, seed, shard, p
     assert result(ls.search(index, benchmark, k)) == brute_force(rows, asked, k)
 
 
+def postings(weight, ordinals, worth):
+    lists = ls.packed(ordinals, worth, np.array([len(ordinals)]))
+    return ls.Postings(weight, len(ordinals), *(ls.as_binary(*c)[0].as_py() for c in lists.columns))
+
+
 def test_blocks_without_a_chance_are_not_unpacked(monkeypatch):
     monkeypatch.setattr(ls, "POSTINGS", 16)
     monkeypatch.setattr(ls, "ORDINALS", 64)
@@ -77,7 +82,7 @@ def test_blocks_without_a_chance_are_not_unpacked(monkeypatch):
     rare, common = np.sort(rng.choice(n, 60, replace=False)), np.arange(n)
     lists = []
     for weight, held in ((1_000, rare), (3, common)):
-        lists.append((1, ls.Postings(weight, *ls.posting_list(held, rng.integers(1, 1_000, len(held))))))
+        lists.append((1, postings(weight, held, rng.integers(1, 1_000, len(held)))))
     total = np.zeros(n, np.int64)
     for _, p in lists:
         for ordinals, values in p.within(0, n):
@@ -94,7 +99,7 @@ def test_packing_round_trip():
     for top in (1, 200, 70_000, 5_000_000_000):
         ordinals = np.unique(np.random.default_rng(top).integers(0, top, 300))
         values = np.arange(len(ordinals)) * (top // 7) + 1
-        p = ls.Postings(1, *ls.posting_list(ordinals, values))
+        p = postings(1, ordinals, values)
         got = [np.concatenate(c) for c in zip(*p.within(0, top))]
         assert got[0].tolist() == ordinals.tolist() and got[1].tolist() == values.tolist()
 

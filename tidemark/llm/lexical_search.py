@@ -2,7 +2,7 @@
 
 The index holds, per shard of documents and term, a list of postings in blocks: ordinals of
 documents within the shard and the exact impact of the term in each, packed in as few bytes
-as the block's numbers need, with the largest impact and the last ordinal of each block beside
+as the shard's numbers need, with the largest impact and the last ordinal of each block beside
 them. A score is the sum of weight times impact over an item's terms, in whole numbers.
 
 A shard answers a block of items. Per item, lists are ordered by their global bound, weight
@@ -16,6 +16,7 @@ unpacked. Documents are taken in windows of ordinals, after each of which that s
 from __future__ import annotations
 
 import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +38,8 @@ SHARD_BYTES = 16 << 20
 POSTINGS = 128
 ORDINALS = 2_048
 ITEMS = 500
+#: Terms in one Arrow batch of the index.
+BATCH_TERMS = 20_000
 #: Rows of query terms, with their items, that are broadcast; more meet the index by exchange.
 BROADCAST_TERMS = 100_000
 
@@ -47,7 +50,7 @@ _SCALE = 1_000_000_000
 
 @dataclass(frozen=True)
 class Index:
-    """``postings(shard, term, df, bounds, lasts, starts, data)``, ``shards(shard, ids)``,
+    """``postings(shard, term, df, bounds, lasts, steps, worth)``, ``shards(shard, ids)``,
     and the numbers of documents with a term and of all terms."""
 
     postings: DataFrame
@@ -69,54 +72,69 @@ def impacts(tf: np.ndarray, n: np.ndarray, n_docs: int, n_terms: int) -> np.ndar
     return (_SCALE * tf) // (1_000 * tf + 8 * m)
 
 
-def packed(numbers: np.ndarray) -> tuple[int, bytes]:
-    """The width in bytes of the largest number, and all in that width."""
-    width = next(w for w in (1, 2, 4, 8) if int(numbers.max()) < 1 << 8 * w)
-    return width, numbers.astype(f"<u{width}").tobytes()
+@dataclass(frozen=True)
+class Lists:
+    """The lists of a shard one after the other, packed in numbers of equal width.
+
+    ``ends`` has the end of each list among the postings, ``block_ends`` among the blocks.
+    ``steps`` go from one ordinal to the next within a block, the first from 0.
+    """
+
+    ends: np.ndarray
+    block_ends: np.ndarray
+    bounds: np.ndarray
+    lasts: np.ndarray
+    steps: np.ndarray
+    worth: np.ndarray
+
+    @property
+    def columns(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``bounds, lasts, steps, worth``, each with the ends of the lists in it."""
+        by_block, by_posting = (self.bounds, self.lasts), (self.steps, self.worth)
+        return [(x, self.block_ends) for x in by_block] + [(x, self.ends) for x in by_posting]
 
 
-def posting_list(ordinals: np.ndarray, values: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
-    """``bounds, lasts, starts, data`` of one term. A block is its two widths, steps, impacts."""
-    bounds, lasts, starts, data, at = [], [], [], [], 0
-    for k in range(0, len(ordinals), POSTINGS):
-        own, worth = ordinals[k : k + POSTINGS], values[k : k + POSTINGS]
-        (wide, steps), (broad, held) = packed(np.diff(own, prepend=0)), packed(worth)
-        data.append(bytes((wide, broad)) + steps + held)
-        bounds.append(int(worth.max()))
-        lasts.append(int(own[-1]))
-        starts.append(at)
-        at += len(data[-1])
-    pack = lambda x: np.asarray(x, "<i8").tobytes()
-    return pack(bounds), pack(lasts), pack([*starts, at]), b"".join(data)
+def narrow(numbers: np.ndarray) -> np.ndarray:
+    """The numbers in the fewest bytes that hold the largest."""
+    top = int(numbers.max()) if len(numbers) else 0
+    return numbers.astype(next(f"<u{w}" for w in (1, 2, 4, 8) if top < 1 << 8 * w))
 
 
-def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Ordinals and impacts of one block."""
-    wide, broad = block[0], block[1]
-    n = (len(block) - 2) // (wide + broad)
-    steps = np.frombuffer(block, f"<u{wide}", n, 2)
-    return np.cumsum(steps.astype(np.int64)), np.frombuffer(block, f"<u{broad}", n, 2 + n * wide).astype(np.int64)
+def packed(ordinals: np.ndarray, worth: np.ndarray, ends: np.ndarray) -> Lists:
+    """Lists that end at ``ends``, in blocks of ``POSTINGS``."""
+    n = np.diff(ends, prepend=0)
+    blocks = -(-n // POSTINGS)
+    block_ends = np.cumsum(blocks)
+    within = np.arange(block_ends[-1]) - np.repeat(block_ends - blocks, blocks)
+    first = np.repeat(ends - n, blocks) + POSTINGS * within
+    steps = np.diff(ordinals, prepend=0)
+    steps[first] = ordinals[first]
+    last = np.append(first[1:], len(ordinals)) - 1
+    return Lists(ends, block_ends, narrow(np.maximum.reduceat(worth, first)), narrow(ordinals[last]), narrow(steps), narrow(worth))
 
 
-def _shard_rows(batch: list[bytes | None], n_docs: int, n_terms: int) -> Iterator[tuple]:
-    """The lists of one shard, whose documents are in order: term, df, and what is packed."""
-    known: dict[bytes, int] = {}
+def as_binary(numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of consecutive numbers, a value up to each end."""
+    offsets = np.append(0, ends * numbers.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(numbers))])
+
+
+def shard_lists(batch: list[bytes | None], n_docs: int, n_terms: int) -> tuple[list[bytes], Lists | None]:
+    """The terms of a shard, whose documents are in order, and their lists."""
+    known: dict[bytes, int] = defaultdict(itertools.count().__next__)  # terms are numbered as they come
     ids, lengths = [], np.zeros(len(batch), np.int64)
     for doc, text in enumerate(batch):
         held = words(text)
         lengths[doc] = len(held)
-        ids.append(np.fromiter((known.setdefault(w, len(known)) for w in held), np.int64, len(held)))
+        ids.append(np.fromiter(map(known.__getitem__, held), np.int64, len(held)))
     if not known:
-        return
+        return [], None
     pairs = np.concatenate(ids) * len(batch) + np.repeat(np.arange(len(batch)), lengths)
     pairs, tf = np.unique(pairs, return_counts=True)
     term, ordinal = np.divmod(pairs, len(batch))
     worth = impacts(tf.astype(np.int64), lengths[ordinal], n_docs, n_terms)
     ends = np.append(np.flatnonzero(np.diff(term)) + 1, len(term))
-    low = 0
-    for word, high in zip(known, ends.tolist(), strict=True):  # terms have been numbered as they came
-        yield word, high - low, *posting_list(ordinal[low:high], worth[low:high])
-        low = high
+    return list(known), packed(ordinal, worth, ends)
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.DataType, list[tuple]]]:
@@ -147,15 +165,14 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     n_docs, n_terms = term_counts(docs)
     id_type = docs.schema["doc_id"].dataType
-    none = (None,) * 6
-
+    packed_columns = ("bounds", "lasts", "steps", "worth")
     schema = T.StructType(
         [
             T.StructField("shard", T.LongType()),
             T.StructField("ids", T.ArrayType(id_type)),
             T.StructField("term", T.BinaryType()),
             T.StructField("df", T.LongType()),
-            *(T.StructField(c, T.BinaryType()) for c in ("bounds", "lasts", "starts", "data")),
+            *(T.StructField(c, T.BinaryType()) for c in packed_columns),
         ]
     )
     names = schema.names
@@ -165,11 +182,22 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for kind, held in _shards(batches):
             shard = next(numbers)
             held.sort(key=lambda row: (row[0] is not None, row[0]))
-            types = [pa.int64(), pa.list_(kind), pa.binary(), pa.int64(), *(pa.binary(),) * 4]
-            lists = ((shard, None, *found) for found in _shard_rows([t for _, t in held], n_docs, n_terms))
-            rows = itertools.chain([(shard, [i for i, _ in held], *none)], lists)
-            while part := list(itertools.islice(rows, 5_000)):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), types, strict=True)], names)
+            none = [pa.nulls(1, t) for t in (pa.binary(), pa.int64(), *(pa.binary(),) * 4)]
+            ids = pa.array([[i for i, _ in held]], pa.list_(kind))
+            yield pa.RecordBatch.from_arrays([pa.array([shard]), ids, *none], names)
+            terms, lists = shard_lists([t for _, t in held], n_docs, n_terms)
+            if lists is None:
+                continue
+            columns = [
+                pa.array(np.full(len(terms), shard)),
+                pa.nulls(len(terms), pa.list_(kind)),
+                pa.array(terms, pa.binary()),
+                pa.array(np.diff(lists.ends, prepend=0)),
+                *(as_binary(*c) for c in lists.columns),
+            ]
+            rows = pa.RecordBatch.from_arrays(columns, names)
+            for at in range(0, len(terms), BATCH_TERMS):
+                yield rows.slice(at, BATCH_TERMS)
 
     rows = stored(docs.mapInArrow(of, schema), "lexical-index")
     return Index(rows.filter("term is not null").drop("ids"), rows.filter("term is null").select("shard", "ids"), n_docs, n_terms)
@@ -178,15 +206,19 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 class Postings:
     """One list of a shard, of which blocks are unpacked when they are asked for."""
 
-    def __init__(self, weight: int, bounds: bytes, lasts: bytes, starts: bytes, data: bytes):
-        read = lambda x: np.frombuffer(x, "<i8")
-        self.weight, self.bounds, self.lasts, self.starts, self.data = weight, read(bounds), read(lasts), read(starts).tolist(), data
+    def __init__(self, weight: int, df: int, bounds: bytes, lasts: bytes, steps: bytes, worth: bytes):
+        blocks = -(-df // POSTINGS)
+        read = lambda x, n: np.frombuffer(x, f"<u{len(x) // n}")
+        self.weight, self.steps, self.worth = weight, read(steps, df), read(worth, df)
+        self.bounds, self.lasts = (read(x, blocks).astype(np.int64) for x in (bounds, lasts))
         self.bound = weight * int(self.bounds.max())
         self.open: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def block(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ordinals and impacts."""
         if k not in self.open:
-            self.open[k] = unpacked(self.data[self.starts[k] : self.starts[k + 1]])
+            own = slice(k * POSTINGS, (k + 1) * POSTINGS)
+            self.open[k] = np.cumsum(self.steps[own].astype(np.int64)), self.worth[own].astype(np.int64)
         return self.open[k]
 
     def within(self, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -294,7 +326,7 @@ def search(index: Index, items: DataFrame, k: int = K, item_id: str = "item_id",
     n_asked = asked.agg(F.coalesce(F.sum(F.size("items")), F.lit(0))).first()[0]
     lists = index.postings.join(F.broadcast(asked) if n_asked <= BROADCAST_TERMS else asked, "term")
     ids = lists.select("shard", "block").distinct().join(index.shards, "shard")
-    columns = ["shard", "block", "ids", "weight", "items", "bounds", "lasts", "starts", "data"]
+    columns = ["shard", "block", "ids", "weight", "items", "df", "bounds", "lasts", "steps", "worth"]
     filled = lambda df: df.select(
         *(F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in columns)
     )
@@ -310,7 +342,7 @@ def search(index: Index, items: DataFrame, k: int = K, item_id: str = "item_id",
             if row["ids"] is not None:
                 ids = row["ids"]
                 continue
-            postings = Postings(row["weight"], row["bounds"], row["lasts"], row["starts"], row["data"])
+            postings = Postings(row["weight"], *(row[c] for c in columns[5:]))
             for one in row["items"]:
                 wanted.setdefault(one["item"], []).append((one["asked"], postings))
         out = [[], [], []]

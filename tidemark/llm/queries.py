@@ -76,7 +76,9 @@ def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), out)
-    found = stored(warc.transactions(warc.read_archives(spark, out, payloads=False)), "transactions")
+    # Assembly goes through the records three times; archives are unpacked once.
+    records = stored(warc.read_archives(spark, out, payloads=False), "warc-records")
+    found = stored(warc.transactions(records), "transactions")
     rows = found.select(
         F.col("capture_id"),
         F.col("metadata.fields")["page-id"].cast("long").alias("page_id"),

@@ -26,7 +26,9 @@ VERSION = "WARC/1.1"
 CRLF = "\r\n"
 #: Payloads of fewer bytes are always written in full.
 LEAST_REVISIT_BYTES = 0
-#: Records per archive file; a file is read by one task.
+#: Bytes of payload per archive file, by the mean payload, and records at most; a file is
+#: read by one task. A file holds no more than what one task writes.
+FILE_BYTES = 256 << 20
 FILE_RECORDS = 6_000
 
 
@@ -98,6 +100,8 @@ def write_archives(
     A null html is an empty payload, a null url leaves the target out, a null page id is
     left out of the metadata. An empty table writes no records.
     """
+    mean = pages.agg(F.avg(F.octet_length("html"))).first()[0]
+    per_file = max(1, min(FILE_RECORDS, int(3 * FILE_BYTES / (mean or 1.0))))
     rows = captures(pages, least)
     own = F.when(F.col("response").isNull(), _urn("response", F.col("key"))).otherwise(_urn("revisit", F.col("key")))
     url = _one_line(F.col("url"))
@@ -147,7 +151,7 @@ def write_archives(
         rows.select(F.explode(F.array(main, request, metadata)).alias("value"))
         .write.option("lineSep", 2 * CRLF)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", FILE_RECORDS)
+        .option("maxRecordsPerFile", per_file)
         .text(out)
     )
 

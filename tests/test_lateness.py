@@ -8,11 +8,13 @@ from tidemark.operators.lateness import (
     CLASS,
     annotate_lateness,
     dead_letters,
+    partition_watermarks,
     run_summary,
     watermark_before,
     windows_changelog,
     windows_final,
 )
+from tidemark.operators.windows import telemetry_windows
 from tidemark.schema import WindowSpec
 
 
@@ -125,6 +127,53 @@ def test_hot_groups_are_divided_without_changing_results(
     assert [r.watermark_ms for r in marks] == watermarks(records, spec)
 
 
+def test_a_record_without_a_time_is_dead_and_closes_nothing(spark):
+    spec = WindowSpec(10_000, 2_000, 20_000)
+    df = frame(spark, [("A", 1_000), ("A", 0), ("A", 50_000), ("A", 2_000)])
+    df = df.withColumn("event_ts_ms", F.when(F.col("ingest_seq") != 1, F.col("event_ts_ms")))
+    annotated = annotate_lateness(df, spec)
+    got = [r[CLASS] for r in annotated.orderBy("ingest_seq").collect()]
+    assert got == ["on", "dead", "on", "dead"]
+    dead = dead_letters(annotated, spec).orderBy("ingest_seq").collect()
+    assert [(r.reason, r.watermark_ms) for r in dead] == [
+        ("missing_event_time", -1_000),
+        ("past_allowed_lateness", 48_000),
+    ]
+    s = run_summary(annotated).first()
+    assert (s.records_in, s.on_time, s.dead_lettered, s.windows_fired) == (4, 2, 2, 2)
+    starts = {r.window_start_ms for r in windows_final(annotated, spec=spec).collect()}
+    assert starts == {0, 50_000}
+    assert {r.window_start_ms for r in telemetry_windows(df, spec=spec).collect()} == starts
+    only = df.where("ingest_seq = 1")
+    assert [r[CLASS] for r in annotate_lateness(only, spec).collect()] == ["dead"]
+
+
+def test_partitions_have_watermarks_of_their_own(spark):
+    spec = WindowSpec(10_000, 1_000, 5_000)
+    rows = [
+        ("b", 0, 1_000, 1),
+        ("a", 1, 5_000, 2),
+        ("a", 2, 40_000, 3),  # b holds the watermark back
+        ("b", 3, 2_000, 4),
+        ("a", 4, 41_000, 100),  # b has been silent for too long
+        ("b", 5, None, 101),  # and is back, with no more than it had
+        ("a", 6, 42_000, 102),
+        ("c", 7, 30_000, 103),
+        ("a", 8, 43_000, 104),
+    ]
+    df = spark.createDataFrame(rows, "part string, seq long, event_ts_ms long, at long")
+    more = dict(order=["seq"], arrival="at", idle_ms=50)
+    marked, after = partition_watermarks(df, ["part"], spec, **more)
+    want = [None, 0, 0, 0, 1_000, 40_000, 40_000, 40_000, 40_000]
+    assert [r.watermark_ms for r in marked.orderBy("seq").collect()] == want
+    assert after.top_ms == 41_000 and after.reached['{"part":"b"}'] == (2_000, 101)
+    for cut in (1, 4, 6):
+        first, seen = partition_watermarks(df.where(F.col("seq") < cut), ["part"], spec, **more)
+        rest, end = partition_watermarks(df.where(F.col("seq") >= cut), ["part"], spec, seen=seen, target=2, **more)
+        both = first.unionByName(rest).orderBy("seq").collect()
+        assert [r.watermark_ms for r in both] == want and end == after
+
+
 def test_two_column_order_breaks_ties_by_the_second(spark):
     spec = WindowSpec(10_000, 0, 0)
     rows = [("A", 0, 5, 2), ("A", 50_000, 5, 1), ("A", 60_000, -3, 9)]

@@ -5,11 +5,14 @@ import random
 from pyspark.sql import functions as F
 
 from tidemark.operators.revisions import (
+    advance_offsets,
     committed_offset,
     distinct_keys,
     drop_redelivered,
     fence,
+    fence_by,
     fenced_outcomes,
+    fenced_outcomes_by,
     having_keys,
     keep_latest,
     outcome_counts,
@@ -71,6 +74,22 @@ def test_offset_fence(spark):
     assert committed_offset(df, "seq", 9) == 9
 
 
+def test_each_partition_has_its_own_fence(spark):
+    data = [(p, at, f"{p}{at}", 0, 0, 10 * at + i) for i, p in enumerate(("a", "b", None)) for at in range(4)]
+    df = spark.createDataFrame(data, "part string, at long, sat_id string, window_start_ms long, revision int, seq long")
+    offsets = spark.createDataFrame([("a", 1), (None, 2)], "part string, committed long")
+    ahead = sorted((r.part or "", r["at"]) for r in fence_by(df, offsets, ["part"], "at").collect())
+    assert ahead == [("", 3), ("a", 2), ("a", 3), ("b", 0), ("b", 1), ("b", 2), ("b", 3)]
+    assert counts(fenced_outcomes_by(df, offsets, ["part"], "at")) == (7, 5, 0)
+    moved = advance_offsets(offsets, df.where("at < 2"), ["part"], "at")
+    assert {(r.part, r.committed) for r in moved.collect()} == {("a", 1), ("b", 1), (None, 2)}
+    again = advance_offsets(moved, df.where("at < 2"), ["part"], "at")
+    assert again.exceptAll(moved).isEmpty() and moved.exceptAll(again).isEmpty()
+    # Delivered again, everything committed is a duplicate and changes nothing.
+    done = advance_offsets(moved, df, ["part"], "at")
+    assert counts(fenced_outcomes_by(df, done, ["part"], "at")) == (0, 12, 0)
+
+
 def test_outcomes_of_a_hot_key_match_one_by_one_application(spark, small_chunks):
     rng = random.Random(3)
     items = [("H" if rng.random() < 0.6 else "C", 0, rng.randrange(30), 1) for _ in range(150)]

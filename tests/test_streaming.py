@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from tests.telemetry import SHIFT, disordered, frame
 from tidemark.operators.lateness import (
     annotate_lateness,
+    classify_by_watermark,
     dead_letters,
+    partition_watermarks,
     windows_changelog,
     windows_final,
 )
@@ -209,6 +211,87 @@ def test_a_batch_out_of_order_and_a_fresh_start_are_refused(spark, tmp_path):
         sink(df, 0)
 
 
+def test_records_without_a_time_are_dead_letters_and_counted(spark, tmp_path):
+    df = frame(spark, [("A", 1_000), ("A", 0), ("A", 50_000), ("A", 2_000)], SHIFT)
+    df = df.withColumn("event_ts_ms", F.when(F.col("ingest_seq") != 1, F.col("event_ts_ms")))
+    for name, cuts in (("one", [4]), ("each", [1, 2, 3, 4])):
+        sink = ExactLateWindows(str(tmp_path / name), spec=SPEC)
+        for batch_id, (low, high) in enumerate(zip([0, *cuts], cuts)):
+            sink(df.where(F.col("ingest_seq").between(low, high - 1)), batch_id)
+        sink.flush(spark, batch_id)
+        assert sorted(r.ingest_seq for r in sink.dead_letters(spark).collect()) == [1, 3]
+        total = sink.counters(spark).first()
+        assert (total.records_in, total.on_time, total.dead_lettered, total.windows_fired) == (4, 2, 2, 2)
+
+
+def test_readers_see_committed_batches_only(spark, tmp_path, monkeypatch):
+    df = frame(spark, RECORDS, SHIFT)
+    sink = ExactLateWindows(str(tmp_path / "out"), spec=SPEC)
+    halves = [df.where("ingest_seq < 80"), df.where("ingest_seq >= 80")]
+    sink(halves[0], 0)
+    views = lambda: (
+        sorted(map(tuple, sink.changelog(spark).select("result_key", "revision").collect())),
+        sorted(r.ingest_seq for r in sink.dead_letters(spark).collect()),
+        sink.counters(spark).first(),
+    )
+    before = views()
+
+    def lost(*_):
+        raise OSError("the driver is gone")
+
+    for step in ("_emitted", "_kept", "_commit"):
+        with monkeypatch.context() as broken:
+            broken.setattr(ExactLateWindows, step, lost)
+            with pytest.raises(OSError):
+                sink(halves[1], 1)
+        assert views() == before
+    sink(halves[1], 1)
+    annotated = annotate_lateness(df, SPEC)
+    assert views()[2].records_in == len(RECORDS)
+    assert same(sink.dead_letters(spark), dead_letters(annotated))
+    # A flush that fails isn't there either, and a batch in place of one takes it back.
+    after = views()
+    sink.flush(spark, 1)
+    assert len(views()[0]) > len(after[0])
+    with monkeypatch.context() as broken:
+        broken.setattr(ExactLateWindows, "_commit", lost)
+        with pytest.raises(OSError):
+            sink(df.where("false"), 2)
+    assert views() == after
+
+
+@pytest.mark.parametrize("cuts", [{"a": [150], "b": [150]}, {"a": [20, 100, 150], "b": [90, 90, 150]}, {"a": [0, 150], "b": [70, 150]}])
+def test_partitions_may_be_cut_anywhere(spark, tmp_path, cuts):
+    df = frame(spark, RECORDS, SHIFT).withColumn("part", F.when(F.col("ingest_seq") % 3 == 0, "a").otherwise("b"))
+    more = dict(spec=SPEC, source=["part"], idle_ms=6, expected=[("a",), ("b",)])
+    sink = ExactLateWindows(str(tmp_path / "out"), **more)
+    taken = {"a": 0, "b": 0}
+    for batch_id in range(len(cuts["a"])):
+        arrives = F.lit(False)
+        for part, ends in cuts.items():
+            arrives = arrives | ((F.col("part") == part) & F.col("ingest_seq").between(taken[part], ends[batch_id] - 1))
+            taken[part] = ends[batch_id]
+        sink(df.where(arrives), batch_id)
+    sink.flush(spark, batch_id)
+    whole = df.where("ingest_seq < 150")
+    marked, _ = partition_watermarks(whole, ["part"], SPEC, idle_ms=6)
+    annotated = classify_by_watermark(marked, SPEC)
+    assert same(sink.changelog(spark), windows_changelog(annotated, spec=SPEC))
+    assert same(sink.dead_letters(spark), dead_letters(annotated).drop("watermark_ms"))
+    assert sink.counters(spark).first().records_in == 150
+
+
+def test_a_partition_that_stays_away_is_not_waited_for(spark, tmp_path):
+    df = frame(spark, RECORDS, SHIFT).withColumn("part", F.when(F.col("ingest_seq") % 3 == 0, "a").otherwise("b"))
+    sink = ExactLateWindows(str(tmp_path / "out"), spec=SPEC, source=["part"], idle_ms=6, wait_ms=30)
+    sink(df.where("part = 'b' or ingest_seq < 9"), 0)
+    assert sink.counters(spark).first().records_in > 90
+    sink(df.where("part = 'a' and ingest_seq >= 9"), 1)
+    sink.flush(spark, 1)
+    total = sink.counters(spark).first()
+    assert total.records_in == len(RECORDS) == total.on_time + total.late_accepted + total.dead_lettered
+
+
 def test_flush_of_a_stream_without_batches(spark, tmp_path):
     ExactLateWindows(str(tmp_path / "out"), spec=SPEC).flush(spark, -1)
     assert not (tmp_path / "out").exists()

@@ -36,6 +36,10 @@ POSITION = "arrival_pos"
 CLASS = "arrival_class"
 ON, LATE, DEAD = "on", "late", "dead"
 TOO_LATE = "past_allowed_lateness"
+MISSING_TIME = "missing_event_time"
+WATERMARK = "watermark_ms"
+# A source's partitions are columns of the scan that merges their watermarks.
+MAX_SOURCES = 512
 
 _FIRES = "_fires_at"
 _DIES = "_dies_at"
@@ -60,7 +64,10 @@ class Closings:
 def closing_positions(
     df: DataFrame, spec: WindowSpec, order: Sequence[str] = ORDER, time: str = TIME
 ) -> Closings:
-    """Find when each window start closes and when it dies, in one pass over ``df``."""
+    """Find when each window start closes and when it dies, in one pass over ``df``.
+
+    A record without a time has no window, and closes none.
+    """
     ms = F.col(time)
     size = spec.size_ms
     cells = (
@@ -119,7 +126,9 @@ def closing_positions(
     # A window is closed by any record whose own closing bound lies in a later window.
     positions = (
         running(
-            marks.drop("_first", "_end").withColumn("_from_latest", -F.col(START)),
+            marks.where(F.col(START).isNotNull())
+            .drop("_first", "_end")
+            .withColumn("_from_latest", -F.col(START)),
             [],
             "_from_latest",
             {"_first_fire": ("min", _FIRES), "_first_death": ("min", _DIES)},
@@ -143,7 +152,8 @@ def classify_arrivals(
 ) -> DataFrame:
     """Add ``window_start_ms``, ``arrival_pos`` and ``arrival_class``.
 
-    ``seen_ms`` is the largest event time of earlier batches, if there were any.
+    ``seen_ms`` is the largest event time of earlier batches, if there were any. A record
+    without a time is dead: it belongs to no window.
     """
     placed = df.withColumns(
         {START: window_start(F.col(time), spec.size_ms), POSITION: position(order)}
@@ -158,11 +168,15 @@ def classify_arrivals(
         lookup_join(
             placed, closings.positions, [START], spread=POSITION, at_most=closings.starts
         )
-        .withColumn(CLASS, F.when(dead, DEAD).when(late, LATE).otherwise(ON))
+        .withColumn(CLASS, _class(F.col(time), dead, late))
         .drop(_FIRES, _DIES)
     )
 
 
+def _class(ms: Column, dead: Column, late: Column) -> Column:
+    return F.when(ms.isNull() | dead, DEAD).when(late, LATE).otherwise(ON)
+
+
 def annotate_lateness(
     df: DataFrame,
     spec: WindowSpec = WindowSpec(),
@@ -203,6 +217,101 @@ def watermark_before(
     )
 
 
+@dataclass(frozen=True)
+class Sources:
+    """How far a source's partitions have come, and how far all of them together.
+
+    ``reached`` has each partition's largest event time and last arrival by its name, which
+    is JSON of its columns; ``top_ms`` is the merged watermark plus the delay.
+    """
+
+    reached: dict[str, tuple[int | None, int | None]]
+    top_ms: int | None = None
+
+
+def source_name(source: Sequence[str]) -> Column:
+    """A partition's columns as one text; a null is left out of it."""
+    return F.to_json(F.struct(*source))
+
+
+def partition_watermarks(
+    df: DataFrame,
+    source: Sequence[str],
+    spec: WindowSpec = WindowSpec(),
+    order: Sequence[str] = ORDER,
+    time: str = TIME,
+    *,
+    arrival: str | None = None,
+    idle_ms: int | None = None,
+    seen: Sources | None = None,
+    target: int | None = None,
+) -> tuple[DataFrame, Sources]:
+    """Add the ``watermark_ms`` that each record met, merged over the source's partitions.
+
+    A partition's watermark is its largest event time so far minus the delay; the merged one
+    is the least of those of active partitions, and never moves back. A partition takes part
+    from its first record with a time. With ``idle_ms`` it is left out by any record that
+    arrives more than that after the partition's last one, until it has another. ``arrival``
+    is the column that says when a record came, by default the first of ``order``.
+
+    Also returns how far the partitions have come after ``df``, to go on from as ``seen``. A
+    source may have ``MAX_SOURCES`` partitions, whose names the driver holds.
+    """
+    seen = seen or Sources({})
+    arrival = arrival or order[0]
+    named = df.withColumns({POSITION: position(order), "_source": source_name(source)})
+    last = named.groupBy("_source").agg(F.max(time).alias("ms"), F.max(arrival).alias("at"))
+    found = {r["_source"]: (r["ms"], r["at"]) for r in last.limit(MAX_SOURCES + 1).collect()}
+    reached = dict(seen.reached)
+    for name, new in found.items():
+        pairs = zip(reached.get(name, (None, None)), new)
+        reached[name] = tuple(max((v for v in pair if v is not None), default=None) for pair in pairs)
+    if len(reached) > MAX_SOURCES:
+        raise ValueError(f"a source of more than {MAX_SOURCES} partitions")
+    if not reached:
+        return named.withColumn(WATERMARK, F.lit(None).cast("long")).drop("_source", POSITION), seen
+    names = sorted(reached)
+    of = {f"_{i}": F.col("_source") == name for i, name in enumerate(names)}
+    named = named.withColumns(
+        {f"_ms{i}": F.when(own, F.col(time)) for i, own in of.items()}
+        | {f"_at{i}": F.when(own, F.col(arrival)) for i, own in of.items()}
+    )
+    columns = [f"_{kind}_{i}" for kind in ("ms", "at") for i in range(len(names))]
+    scanned = running(named, [], POSITION, {f"_up{c}": ("max", c) for c in columns}, target=target)
+
+    def upto(kind: str, i: int, name: str) -> Column:
+        before = seen.reached.get(name, (None, None))[kind == "at"]
+        so_far = F.col(f"_up_{kind}_{i}")
+        return so_far if before is None else F.greatest(so_far, F.lit(before))
+
+    tops = []
+    for i, name in enumerate(names):
+        top = upto("ms", i, name)
+        if idle_ms is not None:
+            top = F.when(F.col(arrival) - upto("at", i, name) <= idle_ms, top)
+        tops.append(top)
+    merged = scanned.withColumn("_merged", F.least(*tops, F.lit(None).cast("long")))
+    merged = merged.drop(*columns, *(f"_up{c}" for c in columns), "_source")
+    met = running(merged, [], POSITION, {"_met": ("max", "_merged")}, inclusive=False, target=target)
+    top = F.col("_met") if seen.top_ms is None else F.greatest("_met", F.lit(seen.top_ms))
+    after = merged.agg(F.max("_merged")).first()[0]
+    known = [ms for ms in (seen.top_ms, after) if ms is not None]
+    marked = met.withColumn(WATERMARK, top - spec.delay_ms).drop("_met", "_merged", POSITION)
+    return marked, Sources(reached, max(known, default=None))
+
+
+def classify_by_watermark(
+    df: DataFrame, spec: WindowSpec, order: Sequence[str] = ORDER, time: str = TIME
+) -> DataFrame:
+    """Like :func:`classify_arrivals`, by the column ``watermark_ms`` that each record met."""
+    end = F.col(START) + spec.size_ms
+    late = F.coalesce(end <= F.col(WATERMARK), F.lit(False))
+    dead = F.coalesce(end + spec.lateness_ms <= F.col(WATERMARK), F.lit(False))
+    return df.withColumns(
+        {START: window_start(F.col(time), spec.size_ms), POSITION: position(order)}
+    ).withColumn(CLASS, _class(F.col(time), dead, late))
+
+
 def dead_letters(
     annotated: DataFrame,
     spec: WindowSpec | None = None,
@@ -213,19 +322,23 @@ def dead_letters(
     """Records past the allowed lateness, raw columns kept.
 
     With ``spec`` also ``reason`` and ``watermark_ms``, the watermark that each met. That
-    takes a running maximum over the positions and times of all records; their other
-    columns don't move. ``seen_ms`` is the largest event time of earlier batches.
+    takes a running maximum over the positions and times of all records, unless the column
+    is there already; their other columns don't move. ``seen_ms`` is the largest event time
+    of earlier batches.
     """
     dead = annotated.where(F.col(CLASS) == DEAD)
     if spec is None:
         return dead.drop(POSITION, CLASS)
+    reason = F.when(F.col(time).isNull(), MISSING_TIME).otherwise(TOO_LATE)
+    if WATERMARK in annotated.columns:
+        return dead.withColumn("reason", reason).drop(POSITION, CLASS)
     narrow = annotated.select(POSITION, CLASS, F.col(time).alias("_ms"))
     met = running(narrow, [], POSITION, {"_seen": ("max", "_ms")}, inclusive=False, target=target)
     met = met.where(F.col(CLASS) == DEAD).select(POSITION, "_seen")
     seen = F.col("_seen") if seen_ms is None else F.greatest("_seen", F.lit(seen_ms))
     return (
         dead.join(met, POSITION)
-        .withColumns({"reason": F.lit(TOO_LATE), "watermark_ms": seen - spec.delay_ms})
+        .withColumns({"reason": reason, WATERMARK: seen - spec.delay_ms})
         .drop(POSITION, CLASS, "_seen")
     )
 

@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.lookup import lookup_join
 from tidemark.operators.running import running
 from tidemark.operators.windows import KEYS, START
+from tidemark.session import settle
 
 NATURAL_KEY = (*KEYS, START)
 REVISION = "revision"
+COMMITTED = "committed"
 APPLIED, DUPLICATE, STALE = "applied", "ignored_duplicate", "ignored_stale"
 
 
@@ -86,6 +89,53 @@ def committed_offset(df: DataFrame, offset: str, committed: int = -1) -> int:
     return committed if top is None else max(committed, top)
 
 
+def _fenced(df: DataFrame, offsets: DataFrame, source: Sequence[str], offset: str) -> DataFrame:
+    """``df`` with ``_ahead``: whether a row is past its partition's committed offset."""
+    held = settle(offsets.select(*source, F.col(COMMITTED).alias("_committed")))
+    joined = lookup_join(df, held, source, spread=offset)
+    ahead = F.col("_committed").isNull() | (F.col(offset) > F.col("_committed"))
+    return joined.withColumn("_ahead", ahead).drop("_committed")
+
+
+def fence_by(df: DataFrame, offsets: DataFrame, source: Sequence[str], offset: str) -> DataFrame:
+    """Rows not yet durably committed, where each partition of a source has its own fence.
+
+    ``offsets`` has the columns ``source`` that name a partition, and ``committed``. All rows
+    of a partition that isn't there are ahead of it. A row without an offset is behind every
+    fence, and ahead where there is none.
+    """
+    return _fenced(df, offsets, source, offset).where("_ahead").drop("_ahead")
+
+
+def fenced_outcomes_by(
+    df: DataFrame,
+    offsets: DataFrame,
+    source: Sequence[str],
+    offset: str,
+    keys: Sequence[str] = NATURAL_KEY,
+    revision: str = REVISION,
+    seq: str = "seq",
+    target: int | None = None,
+) -> DataFrame:
+    """Like :func:`fenced_outcomes`, with a fence per partition and applied in ``seq`` order."""
+    marked = _fenced(df, offsets, source, offset)
+    behind = marked.where(~F.coalesce("_ahead", F.lit(False))).drop("_ahead")
+    ahead = sink_outcomes(marked.where("_ahead").drop("_ahead"), keys, revision, seq, target)
+    return ahead.unionByName(behind.withColumn("outcome", F.lit(DUPLICATE)))
+
+
+def advance_offsets(
+    offsets: DataFrame, df: DataFrame, source: Sequence[str], offset: str
+) -> DataFrame:
+    """The fences after ``df`` is durable: a merge that never moves one back.
+
+    Merging the same rows again changes nothing, and partitions may be new.
+    """
+    come = df.select(*source, F.col(offset).alias(COMMITTED))
+    both = offsets.select(*source, COMMITTED).unionByName(come)
+    return both.groupBy(*source).agg(F.max(COMMITTED).alias(COMMITTED)).where(F.col(COMMITTED).isNotNull())
+
+
 def distinct_keys(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 

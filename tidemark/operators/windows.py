@@ -94,13 +94,14 @@ def telemetry_windows(
     rules: Sequence[Rule] = RULES,
     time: str = TIME,
 ) -> DataFrame:
-    """One row per key and window, every record counted (no lateness applied).
+    """One row per key and window, every record with a time counted (no lateness applied).
 
     The only exchange carries partial aggregates, at most one row per task and
     window, so a hot key or a hot window costs no more than any other.
     """
     merged = (
-        df.withColumn(START, window_start(F.col(time), spec.size_ms))
+        df.where(F.col(time).isNotNull())
+        .withColumn(START, window_start(F.col(time), spec.size_ms))
         .groupBy(*keys, START)
         .agg(F.count(F.lit(1)).alias("_n"), *channel_partials(channels))
     )

@@ -26,14 +26,19 @@ from tidemark.operators.lateness import (
     CLASS,
     DEAD,
     LATE,
+    annotate_lateness,
     dead_letters,
+    partition_watermarks,
     run_summary,
     watermark_before,
+    windows_final,
 )
 from tidemark.operators.revisions import (
+    advance_offsets,
     distinct_keys,
     drop_redelivered,
     fenced_outcomes,
+    fenced_outcomes_by,
     having_keys,
     keep_latest,
     outcome_counts,
@@ -44,6 +49,7 @@ from tidemark.operators.windows import START, telemetry_windows
 from tidemark.plans import streams
 from tidemark.plans.inputs import (
     CHANNELS,
+    IDLE_MS,
     KEYS,
     LINE_SHAPE,
     METRIC,
@@ -218,6 +224,30 @@ def offset_fence(x: Inputs) -> DataFrame:
     return outcome_counts(fenced_outcomes(rows, "seq", committed, NATURAL_KEY))
 
 
+def _by_partition(x: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Sink input by three partitions, and fences of two of them."""
+    rows = _applied_rows(x).withColumns(
+        {"part": F.col("seq") % 3, "at": F.expr("seq div 3")}
+    )
+    top = rows.where("part < 2").groupBy("part").agg(F.max("at").alias("top"))
+    return rows, top.select("part", F.expr("top div (part + 2)").alias("committed"))
+
+
+def offset_fence_partitions(x: Inputs) -> DataFrame:
+    """What each partition had committed counts as duplicates; of the third, nothing had been."""
+    rows, offsets = _by_partition(x)
+    return outcome_counts(fenced_outcomes_by(rows, offsets, ["part"], "at", NATURAL_KEY))
+
+
+def offset_commit_partitions(x: Inputs) -> DataFrame:
+    """Fences after the first two thirds were committed, the first third twice."""
+    rows, offsets = _by_partition(x)
+    for share in (1, 2, 1):
+        upto = rows.agg((F.max("at") * share / 3).cast("long")).first()[0]
+        offsets = advance_offsets(offsets, rows.where(F.col("at") <= upto), ["part"], "at")
+    return offsets
+
+
 # Projections, predicates, scalar functions
 
 
@@ -280,6 +310,17 @@ def redelivered(x: Inputs) -> DataFrame:
     return telemetry_windows(drop_redelivered(rows), **SHAPE)
 
 
+def _missing(x: Inputs) -> DataFrame:
+    """Records of which some have no event time, with their classes."""
+    return annotate_lateness(x.with_missing_times, SPEC, ORDER)
+
+
+def partition_watermark(x: Inputs) -> DataFrame:
+    """The watermark that each record met, merged over three partitions."""
+    marked, _ = partition_watermarks(x.partitioned, ["part"], SPEC, ORDER, idle_ms=IDLE_MS)
+    return marked.select("event_id", "part", "watermark_ms")
+
+
 def lateness_counts(x: Inputs) -> DataFrame:
     return x.annotated.groupBy(CLASS).agg(F.count(F.lit(1)).alias("n"))
 
@@ -296,6 +337,8 @@ CATALOG: dict[str, Query] = {
     "sink_outcomes": sink_outcome_rows,
     "sink_outcome_counts": sink_outcome_counts,
     "offset_fence": offset_fence,
+    "offset_fence_partitions": offset_fence_partitions,
+    "offset_commit_partitions": offset_commit_partitions,
     "lake_upsert": lake_upsert,
     "delete_by_predicate": lambda x: without_keys(
         x.final, report.anomalous_only(x.final), NATURAL_KEY
@@ -360,6 +403,12 @@ CATALOG: dict[str, Query] = {
     "watermark_before": lambda x: watermark_before(x.telemetry, SPEC, ORDER).select(
         "event_id", "watermark_ms"
     ),
+    "partition_watermark": partition_watermark,
+    "missing_time_summary": lambda x: run_summary(_missing(x), keys=KEYS, rules=RULES),
+    "missing_time_windows": lambda x: windows_final(_missing(x), **SHAPE),
+    "missing_time_dead": lambda x: _raw(
+        dead_letters(_missing(x), SPEC), "reason", "watermark_ms"
+    ),
     "late_classes": lambda x: x.annotated.select("event_id", START, CLASS),
     "late_class_counts": lateness_counts,
     "windows_with_lateness": lambda x: x.final,
@@ -381,6 +430,9 @@ CATALOG: dict[str, Query] = {
     "late_windows_exact": streams.late_windows_exact,
     "late_changelog_exact": streams.late_changelog_exact,
     "fired_by_watermark": streams.fired_by_watermark,
+    "missing_time_exact": streams.missing_time_exact,
+    "partitioned_windows": streams.partitioned_windows,
+    "partitioned_dead": streams.partitioned_dead,
     "state_eviction": streams.state_eviction,
     "end_of_stream_flush": streams.end_of_stream_flush,
     "stream_counters": streams.stream_counters,

@@ -41,6 +41,15 @@ SLICES = 3
 OLD_EVERY = 200
 OLD_MS = (40 * 24 * HOUR_MS, 400 * 24 * HOUR_MS)
 
+# One record in so many has no event time.
+MISSING_EVERY, MISSING_AT = 50, 11
+# The telemetry as a source of three partitions: arrivals lag by partition, and the last one
+# has long pauses. A batch takes each partition up to another arrival.
+PARTITIONS = 3
+PARTITION_LAG_MS = 3 * HOUR_MS
+IDLE_MS = HOUR_MS // 3
+CUT_MS = 5 * HOUR_MS
+
 LINE_KEYS = ("l_suppkey",)
 LINE_CHANNELS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 LINE_SPEC = WindowSpec(size_ms=30 * 24 * HOUR_MS, delay_ms=0, lateness_ms=0)
@@ -119,6 +128,28 @@ class Inputs:
         behind = F.when(nth == 7, OLD_MS[0]).when(nth == OLD_EVERY // 2, OLD_MS[1]).otherwise(0)
         return self.telemetry.withColumn("event_ts_ms", F.col("event_ts_ms") - behind)
 
+    @cached_property
+    def with_missing_times(self) -> DataFrame:
+        missing = F.col("event_id") % MISSING_EVERY == MISSING_AT
+        return self.telemetry.withColumn("event_ts_ms", F.when(~missing, F.col("event_ts_ms")))
+
+    @cached_property
+    def partitioned(self) -> DataFrame:
+        """The telemetry with the partition that each record came by."""
+        part = F.when(F.col("event_id") % 7 == 0, PARTITIONS - 1).otherwise(F.col("event_id") % 2)
+        later = F.col("arrival_ms") + F.col("part") * PARTITION_LAG_MS
+        return self.telemetry.withColumn("part", part.cast("long")).withColumn("arrival_ms", later)
+
+    def arrive_by_partition(self, folder: str):
+        """Write ``partitioned`` below ``folder``, cutting each partition somewhere else."""
+        bounds = self.partitioned.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
+        step = (bounds[1] - bounds[0]) // SLICES + 1
+        at = F.col("arrival_ms") - F.lit(bounds[0]) + (F.col("part") - 1) * CUT_MS
+        slice_ = F.least(F.greatest(F.floor(at / step), F.lit(0)), F.lit(SLICES - 1))
+        for i in range(SLICES):
+            self.partitioned.where(slice_ == i).write.mode("append").parquet(folder)
+            yield i
+
     def arrive_in_slices(self, folder: str, rows: DataFrame | None = None):
         """Write ``rows`` below ``folder`` in order of arrival, one slice per step."""
         rows = self.telemetry if rows is None else rows

@@ -8,12 +8,17 @@ from tidemark.plans.inputs import (
     EVENT_TYPES,
     HOLD_STEP_MS,
     HOLD_STEPS,
+    IDLE_MS,
     LINE_CHANNELS,
     LINE_RULES,
     LINE_SPEC,
     METRIC,
+    MISSING_AT,
+    MISSING_EVERY,
     OLD_EVERY,
     OLD_MS,
+    PARTITION_LAG_MS,
+    PARTITIONS,
     RULES,
     SLICES,
     SPEC,
@@ -163,6 +168,50 @@ _OLD = SLICED.replace(
       WHEN {OLD_EVERY // 2} THEN {OLD_MS[1]} ELSE 0 END AS event_ts_ms""",
 )
 
+
+
+def _missing(sql: str) -> str:
+    """The same over records of which some have no event time, and are dead for it."""
+    return (
+        sql.replace(
+            "epoch_us(ts) // 1000 AS event_ts_ms",
+            f"CASE WHEN event_id % {MISSING_EVERY} <> {MISSING_AT} THEN epoch_us(ts) // 1000 END AS event_ts_ms",
+        )
+        .replace("SELECT *, CASE WHEN ws +", "SELECT *, CASE WHEN event_ts_ms IS NULL THEN 'dead' WHEN ws +")
+        .replace(
+            "'past_allowed_lateness' AS reason",
+            "CASE WHEN event_ts_ms IS NULL THEN 'missing_event_time' ELSE 'past_allowed_lateness' END AS reason",
+        )
+    )
+
+
+_EACH = range(PARTITIONS)
+_UPTO = "OVER (ORDER BY arrival_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def _by_partition(sql: str) -> str:
+    """The same with the least watermark of the partitions that aren't silent, never falling."""
+    return sql.replace(
+        CLASSES,
+        EVENTS
+        + f""", came AS (
+  SELECT * REPLACE (arrival_ms + part * {PARTITION_LAG_MS} AS arrival_ms) FROM (
+    SELECT *, CASE WHEN event_id % 7 = 0 THEN {PARTITIONS - 1} ELSE event_id % 2 END AS part FROM placed)
+), reached AS (
+  SELECT *, {", ".join(f"max(CASE WHEN part = {p} THEN event_ts_ms END) {_UPTO} AS m{p}" for p in _EACH)},
+    {", ".join(f"max(CASE WHEN part = {p} THEN arrival_ms END) {_UPTO} AS a{p}" for p in _EACH)} FROM came
+), least_ AS (
+  SELECT *, least({", ".join(f"CASE WHEN arrival_ms - a{p} <= {IDLE_MS} THEN m{p} END" for p in _EACH)}) AS top FROM reached
+), marked AS (
+  SELECT *, max(top) OVER (ORDER BY arrival_ms, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {D} AS wm FROM least_
+), cls AS (
+  SELECT *, CASE WHEN ws + {S} <= wm - {L} THEN 'dead' WHEN ws + {S} <= wm THEN 'late'
+    ELSE 'on' END AS arrival_class FROM marked
+)""",
+    )
+
+
 OUTCOMES = (
     EVENTS
     + f""", app AS (SELECT user_id, {_start("event_ts_ms", 8 * S)} AS window_start_ms,
@@ -391,3 +440,39 @@ FROM cls WHERE {_ACCEPTED} AND ws + {S} > {_AT_END} - {L} GROUP BY user_id, ws""
     "source_dedup_stream": """SELECT CAST(user_id AS VARCHAR) || ':' || printf('%08d', event_id) AS record_id,
   1::BIGINT AS n FROM events""",
 }
+_FENCED = OUTCOMES.replace(
+    "\nheld AS (",
+    """
+tops AS (SELECT seq % 3 AS part, max(seq // 3) // (seq % 3 + 2) AS top FROM app WHERE seq % 3 < 2 GROUP BY seq % 3),
+ahead AS (SELECT app.* FROM app LEFT JOIN tops ON part = seq % 3 WHERE top IS NULL OR seq // 3 > top),
+held AS (""",
+).replace("AS held FROM app)", "AS held FROM ahead)")
+
+ORACLES |= {
+    "missing_time_summary": _missing(ORACLES["run_summary"]),
+    "missing_time_windows": _missing(ORACLES["windows_with_lateness"]),
+    "missing_time_dead": _missing(ORACLES["dead_letter"]),
+    "missing_time_exact": _missing(ORACLES["windows_with_lateness"]),
+    "partition_watermark": _with(
+        _by_partition(CLASSES), "SELECT event_id, part::BIGINT AS part, wm AS watermark_ms FROM cls"
+    ),
+    "partitioned_windows": _with(_by_partition(CHANGES), "SELECT * FROM chg"),
+    "partitioned_dead": _with(
+        _by_partition(CLASSES),
+        """SELECT event_id, part::BIGINT AS part, event_ts_ms, arrival_ms,
+  'past_allowed_lateness' AS reason, wm AS watermark_ms FROM cls WHERE arrival_class = 'dead'""",
+    ),
+    "offset_fence_partitions": _with(
+        _FENCED,
+        """SELECT CAST(count(*) FILTER (WHERE outcome = 'applied') AS BIGINT) AS applied,
+  CAST(count(*) FILTER (WHERE outcome = 'ignored_duplicate')
+    + (SELECT count(*) FROM app) - (SELECT count(*) FROM ahead) AS BIGINT) AS ignored_duplicate,
+  CAST(count(*) FILTER (WHERE outcome = 'ignored_stale') AS BIGINT) AS ignored_stale FROM outc""",
+    ),
+    "offset_commit_partitions": _with(
+        OUTCOMES,
+        """SELECT seq % 3 AS part, greatest(
+    max(seq // 3) FILTER (WHERE seq // 3 <= (SELECT (max(seq // 3) * 2 / 3)::DOUBLE // 1 FROM app)),
+    CASE WHEN seq % 3 < 2 THEN max(seq // 3) // (seq % 3 + 2) END)::BIGINT AS committed FROM app GROUP BY seq % 3""",
+    ),
+}

@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from tidemark.functions import record_id
 from tidemark.operators.revisions import keep_latest
 from tidemark.operators.windows import START
-from tidemark.plans.inputs import CHANNELS, KEYS, ORDER, SHAPE, SPEC, Inputs
+from tidemark.plans.inputs import (
+    CHANNELS,
+    IDLE_MS,
+    KEYS,
+    ORDER,
+    PARTITIONS,
+    SHAPE,
+    SPEC,
+    Inputs,
+)
 from tidemark.schema import STATS
 from tidemark.sources.files import replay
 from tidemark.streaming.exact import ExactLateWindows, start_exact
@@ -55,17 +64,22 @@ def _per_batch(path: str):
     return write
 
 
-def exact_run(inputs: Inputs) -> tuple[ExactLateWindows, int]:
+def exact_run(inputs: Inputs, rows: DataFrame | None = None) -> tuple[ExactLateWindows, int]:
     """Feed the slices one after another, the query restarting from its checkpoint."""
     base = inputs.scratch("exact")
     sink = ExactLateWindows(f"{base}/tables", order=ORDER, **SHAPE)
+    return sink, _fed(inputs, sink, base, inputs.arrive_in_slices(f"{base}/in", rows), inputs.telemetry)
+
+
+def _fed(inputs: Inputs, sink: ExactLateWindows, base: str, slices, like: DataFrame) -> int:
+    """Run the query once per slice; returns the last batch that had records."""
     last = -1
-    for _ in inputs.arrive_in_slices(f"{base}/in"):
-        stream = replay(inputs.spark, f"{base}/in", inputs.telemetry.schema)
+    for _ in slices:
+        stream = replay(inputs.spark, f"{base}/in", like.schema)
         query = start_exact(stream, sink, f"{base}/checkpoint", availableNow=True)
         query.awaitTermination()
         last = max([last, *(p["batchId"] for p in query.recentProgress if p["numInputRows"])])
-    return sink, last
+    return last
 
 
 def _again(inputs: Inputs, sink: ExactLateWindows) -> ExactLateWindows:
@@ -88,6 +102,39 @@ def late_changelog_exact(inputs: Inputs) -> DataFrame:
     return sink.changelog(inputs.spark).select(*RESULT_COLUMNS)
 
 
+def missing_time_exact(inputs: Inputs) -> DataFrame:
+    """Windows of a stream in which some records have no event time."""
+    sink, last = exact_run(inputs, inputs.with_missing_times)
+    sink.flush(inputs.spark, last)
+    return sink.latest(inputs.spark).select(*RESULT_COLUMNS)
+
+
+def partitioned_run(inputs: Inputs) -> ExactLateWindows:
+    """A source of three partitions, cut at other places by each batch, to its end."""
+    base = inputs.scratch("partitions")
+    sink = ExactLateWindows(
+        f"{base}/tables",
+        order=ORDER,
+        source=["part"],
+        idle_ms=IDLE_MS,
+        expected=[(i,) for i in range(PARTITIONS)],
+        explain_dead=True,
+        **SHAPE,
+    )
+    last = _fed(inputs, sink, base, inputs.arrive_by_partition(f"{base}/in"), inputs.partitioned)
+    sink.flush(inputs.spark, last)
+    return sink
+
+
+def partitioned_windows(inputs: Inputs) -> DataFrame:
+    return partitioned_run(inputs).changelog(inputs.spark).select(*RESULT_COLUMNS)
+
+
+def partitioned_dead(inputs: Inputs) -> DataFrame:
+    dead = partitioned_run(inputs).dead_letters(inputs.spark)
+    return dead.select("event_id", "part", "event_ts_ms", "arrival_ms", "reason", "watermark_ms")
+
+
 def state_eviction(inputs: Inputs) -> DataFrame:
     """What the last batch still holds: windows whose allowed lateness is not over."""
     sink, last = exact_run(inputs)

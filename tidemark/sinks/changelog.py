@@ -1,22 +1,43 @@
 """The changelog: every emission, stored once per stream query and batch.
 
 A batch owns the folder ``query_id=…/batch_id=…`` and overwrites it as a whole, so a
-batch that is run again after a failure leaves the same rows behind.
+batch that is run again after a failure leaves the same rows behind. It counts once the log
+of commits has a line for it, a small file that appears at once; readers join the log.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.files import remove, write_text
+from tidemark.operators.lookup import lookup_join
 from tidemark.operators.revisions import NATURAL_KEY, REVISION, keep_latest
 from tidemark.operators.windows import KEYS
+from tidemark.session import settle
 from tidemark.sinks.lake import upsert
 
 BATCH = ("query_id", "batch_id")
+COUNTERS = (
+    "records_in",
+    "on_time",
+    "late_accepted",
+    "dead_lettered",
+    "windows_fired",
+    "window_updates",
+)
+COMMIT = T.StructType(
+    [
+        T.StructField("query_id", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        *(T.StructField(c, T.LongType()) for c in COUNTERS),
+        T.StructField("seen", T.StringType()),
+    ]
+)
 
 
 def batch_path(path: str, query_id: str, batch_id: int) -> str:
@@ -27,6 +48,41 @@ def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(batch_path(path, query_id, batch_id))
 
 
+def commit_path(path: str, query_id: str, batch_id: int) -> str:
+    return f"{path}/commits/{query_id}-{batch_id}.json"
+
+
+def commit_batch(
+    spark: SparkSession,
+    path: str,
+    query_id: str,
+    batch_id: int,
+    counted: Mapping[str, int],
+    seen: Mapping,
+) -> None:
+    """Make a batch visible, with its counters and what the next one goes on from."""
+    line = {"query_id": query_id, "batch_id": batch_id, **counted, "seen": json.dumps(seen)}
+    write_text(spark, commit_path(path, query_id, batch_id), json.dumps(line))
+
+
+def uncommit_batch(spark: SparkSession, path: str, query_id: str, batch_id: int) -> None:
+    """Hide a batch before its tables are written again."""
+    remove(spark, commit_path(path, query_id, batch_id))
+
+
+def commits(spark: SparkSession, path: str) -> DataFrame:
+    """The log below ``path``: a row per committed batch."""
+    return spark.read.schema(COMMIT).json(f"{path}/commits")
+
+
+def committed(batches: DataFrame, log: DataFrame) -> DataFrame:
+    """The rows of batches that the log holds. It is broadcast if its size allows."""
+    kinds = {c: batches.schema[c].dataType for c in BATCH}
+    done = settle(log.select(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()]).distinct())
+    done = done.withColumn("_done", F.lit(True))
+    return lookup_join(batches, done, BATCH, spread="batch_id").where("_done").drop("_done")
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

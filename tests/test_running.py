@@ -4,6 +4,7 @@ import random
 from itertools import accumulate
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.running import CHUNK, running, split_hot_groups
@@ -96,3 +97,21 @@ def test_rows_that_cannot_be_divided_stay_together(spark):
     df = spark.createDataFrame([(5.0, 1)] * 9, "o double, v long")
     _, divided = split_hot_groups(df, [], "o", 3)
     assert not divided
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_chunk_totals_are_scanned_in_chunks_themselves(spark, monkeypatch, keys):
+    from tidemark.operators import running as module
+
+    levels, divide = [], module.split_hot_groups
+    monkeypatch.setattr(module, "LEAST_TOTALS", 0)
+    monkeypatch.setattr(module, "split_hot_groups", lambda df, *a: (levels.append(df.count()), divide(df, *a))[1])
+    rng = random.Random(4)
+    rows = [(i % 11 == 0, i * i, rng.randrange(1_000)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k boolean, at long, v long")
+    w = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r["at"]: (r.s, r.m) for r in df.select("at", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("m")).collect()}
+    plain = df.withColumn("v2", F.col("v"))
+    out = running(plain, keys, "at", {"s": ("sum", "v"), "m": ("max", "v2")}, target=8)
+    assert {r["at"]: (r.s, r.m) for r in out.collect()} == want
+    assert len(levels) >= 3 and levels == sorted(levels, reverse=True)

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ from tidemark.schema import WindowSpec
 from tidemark.sources.files import replay
 from tidemark.streaming.exact import ExactLateWindows, start_exact
 from tidemark.streaming.native import drop_redelivered_stream, native_windows
+from tidemark.streaming.redelivery import first_deliveries, merged, seen_ranges, within
 from tidemark.streaming.stateful import (
     DEAD,
     KIND,
@@ -292,6 +296,39 @@ def test_a_partition_that_stays_away_is_not_waited_for(spark, tmp_path):
     assert total.records_in == len(RECORDS) == total.on_time + total.late_accepted + total.dead_lettered
 
 
+def test_compaction_leaves_every_view_as_it_was(spark, tmp_path, monkeypatch):
+    df = frame(spark, RECORDS, SHIFT)
+    path = tmp_path / "out"
+    sink, other = (ExactLateWindows(str(path), query_id=i, spec=SPEC) for i in ("main", "other"))
+    other(df, 0)
+    for batch_id in range(6):
+        sink(df.where(F.col("ingest_seq").between(25 * batch_id, 25 * batch_id + 24)), batch_id)
+    views = lambda: (
+        sorted(map(str, sink.changelog(spark).drop("batch_id").collect())),
+        sorted(map(str, sink.dead_letters(spark, every_query=True).drop("batch_id").collect())),
+        sink.counters(spark).first(),
+    )
+    files = lambda: len(list(path.glob("changelog/query_id=main/*/*.parquet")))
+    before, many = views(), files()
+    reader = sink.changelog(spark)
+    assert sink.compact(spark, 3) == 3 and views() == before
+    assert sink.compact(spark, 3) == 0
+    assert len(reader.collect()) == len(before[0])  # a reader that began before
+    with monkeypatch.context() as broken:
+        broken.setattr("tidemark.sinks.changelog.write_text", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sink.compact(spark, 5)
+    assert views() == before
+    assert sink.compact(spark, 5) == 3 and views() == before  # one of three batches, and two
+    assert files() < many
+    left = {p.name for p in path.glob("changelog/query_id=main/*")}
+    assert left == {"batch_id=-5", "batch_id=-3", "batch_id=3", "batch_id=4", "batch_id=5"}
+    sink(df.where("ingest_seq >= 150"), 6)
+    sink.flush(spark, 6)
+    annotated = annotate_lateness(df, SPEC)
+    assert same(sink.changelog(spark), windows_changelog(annotated, spec=SPEC))
+
+
 def test_flush_of_a_stream_without_batches(spark, tmp_path):
     ExactLateWindows(str(tmp_path / "out"), spec=SPEC).flush(spark, -1)
     assert not (tmp_path / "out").exists()
@@ -329,3 +366,33 @@ def test_stream_drops_redelivered_records(spark, tmp_path):
     writer = drop_redelivered_stream(stream, 60_000).writeStream.format("parquet")
     run(writer.option("path", out), str(tmp_path / "ck"))
     assert spark.read.parquet(out).count() == 2
+
+
+def test_ranges_of_numbers_equal_a_set():
+    rng = random.Random(3)
+    ranges, seen = np.zeros((0, 2), np.int64), set()
+    for _ in range(40):
+        numbers = np.array([rng.randrange(-60, 60) for _ in range(rng.randrange(6))], np.int64)
+        assert within(ranges, numbers).tolist() == [n in seen for n in numbers.tolist()]
+        ranges = merged(ranges, numbers)
+        seen |= set(numbers.tolist())
+        held = [n for low, high in ranges.tolist() for n in range(low, high + 1)]
+        assert held == sorted(seen)
+        assert all(b - 1 > a for a, b in zip(ranges[:-1, 1], ranges[1:, 0]))
+
+
+def test_no_copy_passes_however_late_and_state_is_as_large_as_the_gaps(spark, tmp_path, rocksdb):
+    rng = random.Random(6)
+    order = [(k, n) for k in ("A", "B", None) for n in range(40) if (k, n) != ("B", 17)]
+    rng.shuffle(order)
+    rows = [*order, *order[:50], ("A", None), ("A", None), *order]
+    df = spark.createDataFrame([(k, n, i) for i, (k, n) in enumerate(rows)], "sat_id string, n long, ingest_seq long")
+    for _ in feed(df, str(tmp_path / "in"), (70, 150, 200)):
+        passed = first_deliveries(replay(spark, str(tmp_path / "in"), df.schema), "n", block_numbers=32)
+        writer = passed.writeStream.outputMode("append").format("parquet")
+        run(writer.option("path", str(tmp_path / "out")), str(tmp_path / "ck"))
+    out = [(r.sat_id, r.n) for r in spark.read.schema(df.schema).parquet(str(tmp_path / "out")).collect()]
+    assert sorted(out, key=str) == sorted([*order, ("A", None), ("A", None)], key=str)
+    left = [tuple(r) for r in seen_ranges(spark, str(tmp_path / "ck")).collect()]
+    want = [(k, 0, 0, 31) for k in ("A", None)] + [(k, 1, 32, 39) for k in ("A", "B", None)]
+    assert sorted(left, key=str) == sorted([*want, ("B", 0, 0, 16), ("B", 0, 18, 31)], key=str)

@@ -21,8 +21,14 @@ from tidemark.session import settle
 TARGET_ROWS_CONF = "tidemark.running.targetRows"
 TARGET_ROWS_DEFAULT = 4_000_000
 
+# So many totals of chunks are scanned by one task, whatever the target.
+LEAST_TOTALS = 10_000
+
 CHUNK = "_chunk"
 _CARRIED = "_carried"
+_CHUNK_OF = "_chunk_of"
+_FIRST = "_first_of_chunk"
+_ROWS = "_rows_of_chunk"
 _MAX_CELLS = 4096
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -79,8 +85,10 @@ def split_hot_groups(
 
 
 def _cell_width(integral: bool, target: int) -> Column:
-    # Four cells per target-sized share leaves room for uneven spread.
-    cells = F.least(F.lit(_MAX_CELLS), F.ceil(F.col("_n") / F.lit(target)) * 4)
+    # Four cells per target-sized share leaves room for uneven spread; fewer where these
+    # would hold a row or two each.
+    finer = min(4, max(1, target // 4))
+    cells = F.least(F.lit(_MAX_CELLS), F.ceil(F.col("_n") / F.lit(target)) * finer)
     lo, hi = F.col("_lo").cast("double"), F.col("_hi").cast("double")
     # A whole-numbered width below the span, but at least 1, always separates lo from hi.
     # Divided before the subtraction, the span of any two doubles stays finite.
@@ -114,6 +122,7 @@ def running(
     target: int | None = None,
     at_most: int | None = None,
     sizes: DataFrame | None = None,
+    undivided: bool = False,
 ) -> DataFrame:
     """Add running ``sum``/``min``/``max`` columns: ``{out: (kind, column)}``.
 
@@ -121,12 +130,12 @@ def running(
     ``inclusive=False`` the current row is left out and a group's first row gets null.
     Where the caller knows more, it saves the pass that looks for large groups:
     ``at_most`` bounds the rows of ``df``, and ``sizes`` has a column ``n`` with a bound
-    for every group that might be large.
+    for every group that might be large. ``undivided`` scans every group whole.
     """
     keys = list(keys)
     if target is None:
         target = target_rows(df.sparkSession)
-    if (at_most is not None and at_most <= target) or (
+    if undivided or (at_most is not None and at_most <= target) or (
         sizes is not None and sizes.where(F.col("n") > target).isEmpty()
     ):
         rows, divided = df.withColumn(CHUNK, F.lit(None)), False
@@ -140,26 +149,38 @@ def running(
             {out: _COMBINE[kind](col).over(w) for out, (kind, col) in aggs.items()}
         )
 
-    before = (
-        Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    )
     columns = {col: kind for kind, col in aggs.values()}
     if len(columns) != len(set(aggs.values())):
         raise ValueError("one column cannot be combined in two ways; copy it first")
-    totals = rows.where(F.size(CHUNK) > 0).groupBy(*keys, CHUNK).agg(
-        *[_COMBINE[kind](col).alias(col) for col, kind in columns.items()]
+    totals = settle(
+        rows.where(F.size(CHUNK) > 0)
+        .groupBy(*keys, CHUNK)
+        .agg(
+            *[_COMBINE[kind](col).alias(col) for col, kind in columns.items()],
+            F.min(order).alias(_FIRST),
+            F.count(F.lit(1)).alias(_ROWS),
+        )
     )
     # A row holds the type of what it is combined into, so that dividing changes no result.
     held = {f.name: f.dataType for f in totals.schema if f.name in columns}
     rows = rows.withColumns({col: F.col(col).cast(kind) for col, kind in held.items()})
     wanted = df.select(*[_COMBINE[kind](col).alias(out) for out, (kind, col) in aggs.items()]).schema
-    carried = totals.select(
+    chunks, held_rows = totals.agg(F.count(F.lit(1)), F.sum(_ROWS)).first()
+    # Chunks follow each other like their first rows, so what came before each is a running
+    # aggregate again, over fewer rows. Where they are few, or no fewer, one scan has to do.
+    carried = running(
+        totals.withColumnRenamed(CHUNK, _CHUNK_OF),
+        keys,
+        _FIRST,
+        {f"_before_{col}": (kind, col) for col, kind in columns.items()},
+        inclusive=False,
+        target=target,
+        at_most=chunks,
+        undivided=chunks <= LEAST_TOTALS or 2 * chunks > held_rows,
+    ).select(
         *keys,
-        CHUNK,
-        *[
-            _COMBINE[kind](col).over(before).cast(held[col]).alias(col)
-            for col, kind in columns.items()
-        ],
+        F.col(_CHUNK_OF).alias(CHUNK),
+        *[F.col(f"_before_{col}").cast(held[col]).alias(col) for col in columns],
         F.lit(0).alias(_CARRIED),
     )
     within = (

@@ -442,4 +442,6 @@ CATALOG: dict[str, Query] = {
     "late_window_processor_old": streams.late_window_processor_old,
     "source_dedup": redelivered,
     "source_dedup_stream": streams.source_dedup_stream,
+    "first_delivery": streams.first_delivery,
+    "first_delivery_state": streams.first_delivery_state,
 }

@@ -475,4 +475,7 @@ ORACLES |= {
     max(seq // 3) FILTER (WHERE seq // 3 <= (SELECT (max(seq // 3) * 2 / 3)::DOUBLE // 1 FROM app)),
     CASE WHEN seq % 3 < 2 THEN max(seq // 3) // (seq % 3 + 2) END)::BIGINT AS committed FROM app GROUP BY seq % 3""",
     ),
+    "first_delivery": """SELECT event_id % 8 AS sender, event_id // 8 AS sample, 1::BIGINT AS n FROM events""",
+    "first_delivery_state": """SELECT event_id % 8 AS sender, event_id // 8 // 1000 AS number_block,
+  min(event_id // 8) AS low, max(event_id // 8) AS high FROM events GROUP BY ALL""",
 }

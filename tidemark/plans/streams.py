@@ -22,6 +22,7 @@ from tidemark.schema import STATS
 from tidemark.sources.files import replay
 from tidemark.streaming.exact import ExactLateWindows, start_exact
 from tidemark.streaming.native import drop_redelivered_stream, native_windows
+from tidemark.streaming.redelivery import first_deliveries, seen_ranges
 from tidemark.streaming.stateful import (
     DEAD,
     KIND,
@@ -260,3 +261,38 @@ def source_dedup_stream(inputs: Inputs) -> DataFrame:
         _run(writer.option("path", f"{base}/out"), f"{base}/checkpoint")
     stored = inputs.spark.read.schema(stream.schema).parquet(f"{base}/out")
     return stored.groupBy("record_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+# The telemetry as that of a few senders which number their samples without a gap.
+SENDERS = 8
+
+
+def _first_delivery_run(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Every third record delivered twice more: at once, and with the last slice."""
+    base = inputs.scratch("first")
+    rows = inputs.telemetry.withColumns(
+        {"sender": F.col("event_id") % SENDERS, "sample": F.expr(f"event_id div {SENDERS}")}
+    )
+    last = rows.agg(F.max("arrival_ms")).first()[0]
+    own = F.array("arrival_ms")
+    copies = F.when(F.col("event_id") % 3 == 0, F.array("arrival_ms", "arrival_ms", F.lit(last)))
+    rows = rows.withColumn("arrival_ms", F.explode(F.coalesce(copies, own)))
+    with rocksdb_state(inputs.spark):
+        for _ in inputs.arrive_in_slices(f"{base}/in", rows):
+            stream = replay(inputs.spark, f"{base}/in", rows.schema).select("sender", "sample")
+            passed = first_deliveries(stream, "sample", ["sender"], block_numbers=1_000)
+            writer = passed.writeStream.outputMode("append").format("parquet")
+            _run(writer.option("path", f"{base}/out"), f"{base}/checkpoint")
+    ranges = seen_ranges(inputs.spark, f"{base}/checkpoint", "sender long")
+    return inputs.spark.read.schema("sender long, sample long").parquet(f"{base}/out"), ranges
+
+
+def first_delivery(inputs: Inputs) -> DataFrame:
+    """Each sample with the number of times that it passed."""
+    passed, _ = _first_delivery_run(inputs)
+    return passed.groupBy("sender", "sample").agg(F.count(F.lit(1)).alias("n"))
+
+
+def first_delivery_state(inputs: Inputs) -> DataFrame:
+    """What is remembered in the end: one range per sender and block of numbers."""
+    return _first_delivery_run(inputs)[1]

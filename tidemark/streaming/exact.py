@@ -47,6 +47,7 @@ from tidemark.sinks.changelog import (
     commit_path,
     committed,
     commits,
+    compact,
     latest_view,
     of_query,
     read_batches,
@@ -237,6 +238,10 @@ class ExactLateWindows:
         names = ("records_in", "on_time", "late_accepted", "dead_lettered", "windows_fired", "window_updates")
         return log.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
 
+    def compact(self, spark: SparkSession, last_batch_id: int) -> int:
+        """Put all batches before the last into few files; readers see the same rows."""
+        return compact(spark, self.path, self.query_id, last_batch_id - 1)
+
     def state(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return spark.read.parquet(self._at("state", batch_id))
 

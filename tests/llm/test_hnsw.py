@@ -75,3 +75,17 @@ def test_links_are_flat_and_mutual_enough():
     assert [x.shape for x in graph.links] == [(600, 32), (38, 16)]
     assert all((x < 600).all() and x.dtype == np.int32 for x in graph.links)
     assert (graph.links[0][:, 0] >= 0).all()
+
+
+def test_search_is_widened_until_it_finds_enough():
+    """Of vectors with differing norms a walk of the usual width misses many."""
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((2_500, 48)) * rng.uniform(0.5, 2, (2_500, 1))
+    levels = np.floor(-np.log(1 - rng.random(len(vectors))) / np.log(hnsw.LINKS)).astype(np.uint8)
+    graph = hnsw.Graph(vectors, levels)
+    graph.build()
+    width = graph.width_for(vectors[rng.choice(len(vectors), 64, replace=False)])
+    q = vectors[rng.choice(len(vectors), 100, replace=False)]
+    exact = np.argsort(-(q @ vectors.T), axis=1)[:, :20]
+    share = lambda w: sum(np.isin(f, e).sum() for f, e in zip(graph.search(q, 20, w), exact)) / exact.size
+    assert width > hnsw.SEARCH_WIDTH and share(hnsw.SEARCH_WIDTH) < 0.9 <= share(width)

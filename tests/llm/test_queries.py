@@ -30,6 +30,9 @@ COLUMNS = {
     "op8": "doc_id start n_tokens ids_crc32",
     "op9": "doc_id n_tokens ids round_trip",
     "op10": "doc_id held_out lang_pred score",
+    "op11": "item_id rank doc_id score",
+    "op12": "doc_id n_lines n_dropped kept_sha256",
+    "op13": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
 }
 
 
@@ -44,7 +47,7 @@ def test_columns_and_rows(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     wanted = COLUMNS[name.split("_")[0]].split()
     assert df.columns[: len(wanted)] == wanted
-    assert df.count() == {"op5": 50, "op7": 500}.get(name.split("_")[0], 200)
+    assert df.count() == {"op5": 50, "op7": 500, "op11": 400, "op13": 34}.get(name.split("_")[0], 200)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -61,6 +64,36 @@ def test_models_on_held_out_documents(spark):
         assert share > 0.95, (name, share)
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls in every column, repeated rows, blank and very long texts, other columns, no rows."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    odd = docs.limit(1).select(F.explode(F.array(
+        *(F.struct(F.lit(i).cast("long").alias("doc_id"), F.lit(t).cast("string").alias("text")) for i, t in
+          ((900_001, None), (900_002, ""), (None, None), (900_003, "12 .. 34"), (900_004, "the word and the word " * 20_000)))
+    )).alias("r")).select("r.*", *(F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns[2:]))
+    few = docs.orderBy("doc_id").limit(60)
+    nameless = few.limit(3).withColumn("doc_id", F.lit(None).cast("long"))
+    rows = few.unionByName(odd.select(docs.columns)).unionByName(few.limit(5)).unionByName(nameless)
+    for c in ("ids", "n_tokens", "score", "print", "component", "mark", "_n"):
+        rows = rows.withColumn(c, F.lit("mine"))
+    others = {"labels": "doc_id", "benchmark": "item_id"}
+    for name, frame in (("some", rows), ("none", rows.limit(0))):
+        folder = str(tmp_path / name)
+        frame.write.parquet(f"{folder}/documents.parquet")
+        for table, key in others.items():
+            given = spark.read.parquet(f"{SF_DIR}/{table}.parquet")
+            blank = given.limit(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in given.schema))
+            given.unionByName(blank).unionByName(given.limit(2)).write.parquet(f"{folder}/{table}.parquet")
+        out = corpus_pipeline.run(spark, folder)
+        assert out.columns[: len(rows.columns)] == rows.columns
+        kept = [r.doc_id for r in out.select("doc_id").collect()]
+        named = [i for i in kept if i is not None]
+        assert len(named) == len(set(named)) and not {900_001, 900_002, 900_003} & set(named)
+        assert bool(named) == (name == "some")
+        # A copy without an id doesn't stay beside the one that has it.
+        assert None not in kept
+
+
 def test_stages_of_the_pipeline(spark):
     """Each stage against brute force, or its operator, on what the one before it kept."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")

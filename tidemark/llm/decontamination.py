@@ -8,7 +8,8 @@ verbatim length. Matches are kept where they can't be extended to the left, so t
 words are exactly those in any occurrence of a window.
 
 A window is ``window`` consecutive words of an item, or the whole item if it has fewer. The
-benchmark is sent to the tasks in slices of bounded size, which are searched one by one.
+benchmark is sent to the tasks in slices of bounded size, which are searched one by one; one
+of more than ``BENCHMARK_BYTES`` is refused.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ WINDOW = 10
 #: Benchmark words in one slice, and bytes of text in one shard, at most (or one item, one text).
 SLICE_BYTES = 8 << 20
 SHARD_BYTES = 8 << 20
+#: A benchmark of more bytes of text is refused: all of it goes to every executor.
+BENCHMARK_BYTES = 512 << 20
 
 # A word is a run of digits, letters and bytes from 0x80; A-Z count as a-z.
 _SPACED = bytearray(b" " * 128 + bytes(range(128, 256)))
@@ -185,6 +188,8 @@ def broadcast_slices(benchmark: DataFrame, item_id: str, text: str) -> list[Broa
     """The benchmark in slices of about ``SLICE_BYTES``; the driver holds one at a time."""
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).filter("t is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    if total > BENCHMARK_BYTES:
+        raise ValueError(f"a benchmark of {total} bytes; at most {BENCHMARK_BYTES} are sent out")
     n = -(-total // SLICE_BYTES)
     slot = F.pmod(F.xxhash64("i", "t"), F.lit(max(n, 1)))
     context = benchmark.sparkSession.sparkContext

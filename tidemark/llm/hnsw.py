@@ -31,6 +31,11 @@ from tidemark.llm.common import stored
 LINKS = 16
 BUILD_WIDTH = 80
 SEARCH_WIDTH = 128
+#: A shard's search is widened until it finds this share of the nearest of so many of its own
+#: vectors, by brute force over the whole shard; so many nearest each.
+RECALL = 0.96
+MEASURED = 64
+MEASURED_NEAREST = 20
 #: Candidates among which links are chosen.
 CHOICE = 48
 #: Vectors inserted, or searched for, at once.
@@ -197,8 +202,30 @@ class Graph:
             pass
         return found[:, :n]
 
+    def nearest_of_all(self, q: np.ndarray, n: int) -> np.ndarray:
+        """By brute force, to measure a search by."""
+        near = q @ self.points.T
+        n = min(n, near.shape[1])
+        found = np.argpartition(-near, n - 1, axis=1)[:, :n]
+        order = np.argsort(-np.take_along_axis(near, found, axis=1), axis=1, kind="stable")
+        return np.take_along_axis(found, order, axis=1)
+
+    def width_for(self, queries: np.ndarray, recall: float = RECALL) -> int:
+        """The least width, doubling, at which a search of ``queries`` has the given recall."""
+        q = np.hstack([queries, np.zeros((len(queries), 1), np.float32)]).astype(np.float32)
+        n = min(MEASURED_NEAREST, len(self.points))
+        exact = np.sort(self.nearest_of_all(q, n), axis=1)
+        width = SEARCH_WIDTH
+        while width < len(self.points):
+            found = self.search(queries, n, width)
+            hit = sum(np.isin(f, e).sum() for f, e in zip(found, exact, strict=True))
+            if hit >= recall * exact.size:
+                break
+            width *= 2
+        return width
+
 
-INDEX = "dim int, shard int, n int, ids array<long>, vectors binary, levels binary, entry int, links array<binary>"
+INDEX = "dim int, shard int, n int, ids array<long>, vectors binary, levels binary, entry int, width int, links array<binary>"
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -219,6 +246,7 @@ def build_index(nodes: DataFrame, shards: int, seed: int = 7) -> DataFrame:
         levels = np.floor(-np.log(1 - rng.random(len(vectors))) / math.log(LINKS)).astype(np.uint8)
         graph = Graph(vectors, levels)
         graph.build()
+        asked = rng.choice(len(vectors), min(MEASURED, len(vectors)), replace=False)
         row = {
             "dim": dim,
             "shard": shard,
@@ -227,6 +255,7 @@ def build_index(nodes: DataFrame, shards: int, seed: int = 7) -> DataFrame:
             "vectors": vectors.tobytes(),
             "levels": levels.tobytes(),
             "entry": graph.entry,
+            "width": graph.width_for(vectors[asked]),
             "links": [x.tobytes() for x in graph.links],
         }
         return pa.Table.from_pylist([row], _INDEX_ARROW)
@@ -244,6 +273,7 @@ _INDEX_ARROW = pa.schema(
         ("vectors", pa.binary()),
         ("levels", pa.binary()),
         ("entry", pa.int32()),
+        ("width", pa.int32()),
         ("links", pa.list_(pa.binary())),
     ]
 )
@@ -261,10 +291,10 @@ def load_graph(row: dict) -> tuple[Graph, np.ndarray, np.ndarray]:
     return graph, np.asarray(row["ids"], np.int64), vectors
 
 
-def search_index(index: DataFrame, queries: DataFrame, n: int, width: int = SEARCH_WIDTH) -> DataFrame:
+def search_index(index: DataFrame, queries: DataFrame, n: int, width: int | None = None) -> DataFrame:
     """``query, node, score`` of the ``n`` best of each shard for ``dim, query, vector``.
 
-    Queries go to every shard of their dimension, in blocks; a task holds one shard's graph
+    By default a shard is searched at the width that was measured when it was built. Queries go to every shard of their dimension, in blocks; a task holds one shard's graph
     and one block.
     """
     blocks = max(1, -(-queries.count() // QUERY_ROWS))
@@ -275,12 +305,13 @@ def search_index(index: DataFrame, queries: DataFrame, n: int, width: int = SEAR
     def of(graphs: pa.Table, block: pa.Table) -> pa.Table:
         if not graphs.num_rows or not block.num_rows:
             return _FOUND.empty_table()
-        graph, ids, vectors = load_graph(graphs.to_pylist()[0])
+        row = graphs.to_pylist()[0]
+        graph, ids, vectors = load_graph(row)
         q, names = _matrix(block["vector"], vectors.shape[1]), block["query"].to_numpy()
         out = []
         for at in range(0, len(q), BLOCK):
             part = q[at : at + BLOCK]
-            found = graph.search(part, min(n, len(ids)), width)
+            found = graph.search(part, min(n, len(ids)), width or row["width"])
             rows, _ = np.nonzero(found >= 0)
             at_ = found[found >= 0]
             score = (part[rows] * vectors[at_]).sum(axis=1)

@@ -88,3 +88,9 @@ def test_panels(spark):
     ]
     assert [r.sat_id for r in export_order(df).collect()] == ["A", "B"]
     assert [r.sat_id for r in fire_order(df).collect()] == ["B", "A"]
+
+
+def test_percentiles_beside_an_infinity(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "v double")
+    row = percentiles(df, "v", {"p50": 0.5, "p0": 0.0, "p100": 1.0}).first()
+    assert (row.p50, row.p0, row.p100) == (2.0, 1.0, float("inf"))

@@ -363,7 +363,7 @@ def windows_final(
         .agg(
             F.count_if(F.col(CLASS) == ON).alias("_on"),
             F.count_if(F.col(CLASS) == LATE).alias("_late"),
-            *channel_partials(channels),
+            *channel_partials(annotated.schema, channels),
         )
     )
     on, late = F.col("_on"), F.col("_late")
@@ -397,7 +397,7 @@ def emission_groups(
             F.max(POSITION).alias(POSITION),
             F.count_if(F.col(CLASS) == ON).alias("_on"),
             F.count_if(F.col(CLASS) == LATE).alias("_late"),
-            *channel_partials(channels),
+            *channel_partials(annotated.schema, channels),
         )
     )
 
@@ -483,7 +483,7 @@ def run_summary(
             F.count_if(F.col(CLASS) == ON).alias("_on"),
             F.count_if(F.col(CLASS) == LATE).alias("_late"),
             F.count_if(F.col(CLASS) == DEAD).alias("_dead"),
-            *channel_partials(needed, only=accepted),
+            *channel_partials(annotated.schema, needed, only=accepted),
         )
         .withColumns(
             {

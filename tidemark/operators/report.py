@@ -101,7 +101,8 @@ def percentiles(
         low = math.floor(place)
         high = min(low + 1, max(n - 1, 0))
         part = place - low
-        blended = at(low) * F.lit(1 - part) + at(high) * F.lit(part)
+        # A rank that is met exactly takes nothing of its neighbour, which may be infinite.
+        blended = at(low) * F.lit(1 - part) + at(high) * F.lit(part) if part else at(low)
         out.append(F.coalesce(blended, F.lit(0.0)).alias(name))
     return ranked.agg(*out)
 

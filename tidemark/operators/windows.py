@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import classify, is_anomaly, result_key, window_start
 from tidemark.schema import CHANNELS, RULES, STATS, Rule, WindowSpec
@@ -15,15 +16,19 @@ TIME = "event_ts_ms"
 START = "window_start_ms"
 
 
-def channel_partials(channels: Sequence[str], only: Column | None = None) -> list[Column]:
+def channel_partials(
+    schema: T.StructType, channels: Sequence[str], only: Column | None = None
+) -> list[Column]:
     """Mergeable per-channel aggregates; ``only`` restricts the rows that count.
 
-    A NaN reading is a missing one.
+    A NaN reading is a missing one. Only floating columns of ``schema`` can hold it.
     """
 
     def picked(c: str) -> Column:
-        there = ~F.isnan(c) if only is None else only & ~F.isnan(c)
-        return F.when(there, F.col(c))
+        there = only
+        if isinstance(schema[c].dataType, (T.FloatType, T.DoubleType)):
+            there = ~F.isnan(c) if only is None else only & ~F.isnan(c)
+        return F.col(c) if there is None else F.when(there, F.col(c))
 
     out = []
     for c in channels:
@@ -103,7 +108,7 @@ def telemetry_windows(
         df.where(F.col(time).isNotNull())
         .withColumn(START, window_start(F.col(time), spec.size_ms))
         .groupBy(*keys, START)
-        .agg(F.count(F.lit(1)).alias("_n"), *channel_partials(channels))
+        .agg(F.count(F.lit(1)).alias("_n"), *channel_partials(df.schema, channels))
     )
     zero = F.lit(0)
     return to_results(

@@ -12,6 +12,7 @@ from tidemark.files import exists
 from tidemark.operators.report import export_order
 from tidemark.operators.revisions import NATURAL_KEY, REVISION, keep_latest
 from tidemark.operators.windows import KEYS, START
+from tidemark.session import broadcast_rows
 
 BUCKET = "key_bucket"
 DAY = "window_day"
@@ -139,17 +140,14 @@ def upsert(
             return 0
         rows = incoming
         if exists(spark, path):
-            # One row per partition folder, which the file listing holds on the driver too.
-            touched = F.broadcast(incoming.select(*parts).distinct())
-            held = scan(spark, path, schema).join(touched, parts, "left_semi")
+            held = _within(scan(spark, path, schema), incoming, parts)
             held = held.select(*keys, F.col(revision).alias("_held"))
             known = incoming.join(held, keys, "left")
             newer = known.where(F.col("_held").isNull() | (F.col(revision) > F.col("_held")))
             newer = newer.select(*schema.names).persist()
             if newer.isEmpty():
                 return n
-            touched = F.broadcast(newer.select(*parts).distinct())
-            stored = scan(spark, path, schema).join(touched, parts, "left_semi")
+            stored = _within(scan(spark, path, schema), newer, parts)
             kept = stored.join(newer.select(*keys), keys, "left_anti")
             rows = kept.unionByName(newer)
         (
@@ -165,6 +163,14 @@ def upsert(
         incoming.unpersist()
 
 
+def _within(table: DataFrame, batch: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """The rows of the partitions that a cached batch touches; folders prune if these are few."""
+    touched = batch.select(*parts).distinct()
+    if touched.count() <= broadcast_rows(table.sparkSession):
+        touched = F.broadcast(touched)
+    return table.join(touched, list(parts), "left_semi")
+
+
 def export_json(results: DataFrame, path: str, keys: Sequence[str] = KEYS) -> None:
     """Rows sorted by key and window as JSON lines; part files continue each other."""
     export_order(results, keys).write.mode("overwrite").json(path)

@@ -40,7 +40,7 @@ def native_windows(
     merged = (
         with_event_time(df, spec.delay_ms + spec.lateness_ms, time)
         .groupBy(*keys, F.window(EVENT_TIME, f"{spec.size_ms} milliseconds").alias("_w"))
-        .agg(F.count(F.lit(1)).alias("_n"), *channel_partials(channels))
+        .agg(F.count(F.lit(1)).alias("_n"), *channel_partials(df.schema, channels))
         .withColumn(START, F.unix_millis("_w.start"))
     )
     zero = F.lit(0)

@@ -15,6 +15,8 @@ from tidemark.session import scratch_dir
 #: Arrow batches handed to Python hold at most so many rows and bytes of text.
 BATCH_ROWS = 2_000
 BATCH_BYTES = 8 << 20
+#: The same where a worker makes many times as much of its batch, or several work at once.
+SMALL_BATCH_BYTES = 2 << 20
 #: Bytes of text that are taken apart into words at once.
 PART_BYTES = 2 << 20
 
@@ -23,10 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Keep Arrow batches small, whatever the length of the texts in them."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import as_lists, bounded_batches, stored, texts, unlike
+from tidemark.llm.common import SMALL_BATCH_BYTES, as_lists, bounded_batches, stored, texts, unlike
 from tidemark.llm.components import components
 
 SHINGLE = 5
@@ -374,7 +374,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     whatever their texts, and come out one by one. An empty table gives no rows. Columns
     that are not named are not read.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     out = classified(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     component = F.when(F.col("n_shingles") > 0, F.col("least_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
@@ -390,7 +390,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     an id one does. Where no row of a component has an id, one of its rows stays; which of
     several with the same id is not fixed. An empty table gives no rows.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     rows = stored(classified(docs.select("doc_id", "text")), "classified")
     again = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null")
     again = stored(again.select(F.col("doc_id").alias("_again")), "repeated-ids")

@@ -28,13 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import PART_BYTES, as_lists, bounded_batches, by_bytes, texts, unlike
-from tidemark.llm.token_counts import REMEMBERED, Remembered
+from tidemark.llm.common import SMALL_BATCH_BYTES, as_lists, bounded_batches, by_bytes, stored, texts, unlike
+from tidemark.llm.token_counts import Remembered
 
 SPACE = "▁"
 #: An unknown character scores so much less than the lowest piece.
 UNKNOWN_PENALTY = 10.0
 KEEP_CHARS = 48
+#: Words remembered per Python worker, about 200 bytes each.
+REMEMBERED = 200_000
+#: Bytes of text that are taken apart into words at once.
+PART_BYTES = 1 << 20
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
 _WORDS_AND_LINES = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 
@@ -209,7 +213,7 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     empty one has no ids. Repeated rows and null ids of documents are rows like any other;
     columns that are not named are not read. An empty table gives no rows.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("ids", encode_pieces(F.col("text"), path))
     rows = rows.withColumn("decoded", decode_pieces(F.col("ids"), path))
@@ -223,7 +227,7 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
 
 def with_pieces(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` and ``n_tokens`` added, under free names where those are taken."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     ids, n_tokens = unlike(docs, "ids"), unlike(docs, "n_tokens")
     encoded = docs.withColumn(ids, encode_pieces(F.col(text), path))
     return encoded.withColumn(n_tokens, F.coalesce(F.size(ids), F.lit(0)).cast("long"))
@@ -232,10 +236,11 @@ def with_pieces(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 def with_round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids``, ``n_tokens`` and, decoded from the ids, ``round_trip`` added.
 
-    As ``encode_documents`` has them, under free names where those are taken.
+    As ``encode_documents`` has them, under free names where those are taken. Ids are written
+    before they are decoded, so that a task needs one Python worker at a time.
     """
     ids, round_trip = unlike(docs, "ids"), unlike(docs, "round_trip")
-    rows = with_pieces(docs, path, text)
+    rows = stored(with_pieces(docs, path, text), "pieces")
     decoded = unlike(rows, "decoded")
     rows = rows.withColumn(decoded, decode_pieces(F.col(ids), path))
     return rows.withColumn(round_trip, same_text(F.col(text), F.col(decoded))).drop(decoded)

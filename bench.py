@@ -31,6 +31,7 @@ HEADLINE = {
     "sink_outcome_counts": "events",
     "dead_letter": "events",
     "lake_upsert": "events",
+    "serving_upsert": "events",
     "native_windows_final": "events",
     "late_windows_exact": "events",
     "late_window_processor": "events",

@@ -286,6 +286,8 @@ FROM events GROUP BY 1""",
   CAST(count(*) FILTER (WHERE outcome = 'ignored_stale') AS BIGINT) AS ignored_stale FROM outc""",
     ),
     "lake_upsert": _final(),
+    "serving_upsert": _final(),
+    "serving_lookup": _final("SELECT * FROM fin WHERE revision >= 1"),
     "delete_by_predicate": _final("SELECT * FROM fin WHERE is_anomaly = 0"),
     "append_table": _final(),
     "load_or_create": _final(),

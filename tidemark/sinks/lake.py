@@ -91,8 +91,11 @@ def bucketed(df: DataFrame, buckets: int, keys: Sequence[str] = KEYS) -> DataFra
 
 def laid_out(df: DataFrame, buckets: int, keys: Sequence[str] = KEYS) -> DataFrame:
     """Add partition columns by day and key, so that a refresh touches the days it changes."""
-    day = F.floor(F.col(START) / _DAY_MS).cast("int")
-    return bucketed(df, buckets, keys).withColumn(DAY, day)
+    return bucketed(df, buckets, keys).withColumn(DAY, day_of(F.col(START)))
+
+
+def day_of(start):
+    return F.floor(start / _DAY_MS).cast("int")
 
 
 def bucket_of(buckets: int, *key):

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -102,31 +103,31 @@ class Pieces(Written):
         n = len(word)
         # By end position: best score, where its last piece begins, and that piece.
         best, begins, last = [0.0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
-        done = 0  # positions up to here are settled
-
-        def settle(to: int) -> None:
-            """Fall back to an unknown character where no piece ends."""
-            for end in range(done + 1, to + 1):
-                if last[end] < 0:
-                    best[end], begins[end] = best[end - 1] + self.unknown_score, end - 1
-
+        unknown_score, end = self.unknown_score, 0
         for at, (length, score, i) in self.automaton.iter(word):
-            end = at + 1
-            if end - 1 > done:
-                settle(end - 1)
-                done = end - 1
-            total = best[end - length] + score
-            if last[end] < 0:
+            if at >= end:
+                # Fall back to an unknown character where no piece ends.
+                while end < at:
+                    end += 1
+                    best[end], begins[end] = best[end - 1] + unknown_score, end - 1
+                end = at + 1
+                begin = end - length
+                total = best[begin] + score
                 # The longest piece that ends here comes first. The character alone may be
                 # unknown; where it is a piece, that piece comes later and scores more.
-                unknown = best[end - 1] + self.unknown_score
-                if length == 1 or total >= unknown:
-                    best[end], begins[end], last[end] = total, end - length, i
+                if length == 1 or total >= best[at] + unknown_score:
+                    best[end], begins[end], last[end] = total, begin, i
                 else:
-                    best[end], begins[end], last[end] = unknown, end - 1, self.unknown_id
-            elif total > best[end] or (total == best[end] and end - length < begins[end]):
-                best[end], begins[end], last[end] = total, end - length, i
-        settle(n)
+                    best[end], begins[end] = best[at] + unknown_score, at
+                    last[end] = self.unknown_id
+            else:
+                begin = end - length
+                total = best[begin] + score
+                if total > best[end] or (total == best[end] and begin < begins[end]):
+                    best[end], begins[end], last[end] = total, begin, i
+        while end < n:
+            end += 1
+            best[end], begins[end] = best[end - 1] + unknown_score, end - 1
         ids, end = [], n
         while end:
             begin, i = begins[end], last[end]
@@ -164,7 +165,8 @@ def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | N
             used = set().union(*words)
             fresh = sorted(known.without(used))
             for word in fresh:
-                known[word] = np.asarray(pieces.segment(word), "<i4").tobytes()
+                ids = pieces.segment(word)
+                known[word] = struct.pack(f"<{len(ids)}i", *ids)
             out += [b"".join(map(known.__getitem__, w)) for w in words]
             known.trim([w for w in fresh if len(w) > KEEP_CHARS], used)
         return out

@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,7 @@ from tidemark.llm.common import SMALL_BATCH_BYTES, as_lists, bounded_batches, by
 from tidemark.llm.token_counts import Remembered
 
 SPACE = "▁"
+MARK = SPACE.encode()
 #: An unknown character scores so much less than the lowest piece.
 UNKNOWN_PENALTY = 10.0
 KEEP_CHARS = 48
@@ -57,11 +59,44 @@ class Written:
             for i, p in zip(ids, map(model.id_to_piece, ids))
         ]
 
+        plain = [w.replace(MARK, b" ") for w in self.written]
+        front = [w.removeprefix(MARK).replace(MARK, b" ") for w in self.written]
+        #: Pieces with spaces for marks, and after them the same as first pieces of a text.
+        self.spaced = pa.array(plain + front, pa.large_binary())
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids: byte pieces joined to characters, the mark in front dropped."""
         text = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace")
         return text.removeprefix(SPACE).replace(SPACE, " ")
 
+    def decode_all(self, lists: pa.Array) -> pa.Array:
+        """The text of each list of ids, empty for a null one; all lists at once.
+
+        One by one where bytes pieces form a mark, or no character.
+        """
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        ids = flat.astype(np.int64)
+        ids[bounds[:-1][lengths > 0]] += len(self.written)
+        taken = self.spaced.take(pa.array(ids))
+        _, ends, data = taken.buffers()
+        if len(ids) and data is not None:
+            cuts = np.frombuffer(ends, np.int64, len(ids) + 1)[bounds]
+            text = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(cuts), data)
+            if MARK not in data.to_pybytes() and _is_text(text):
+                return text.cast(pa.string())
+        one_by_one = (self.decode(flat[a:b].tolist()) for a, b in zip(bounds, bounds[1:]))
+        return pa.array(one_by_one, pa.string())
+
+
+def _is_text(array: pa.Array) -> bool:
+    try:
+        array.validate(full=True)
+    except pa.ArrowInvalid:
+        return False
+    return True
+
 
 class Pieces(Written):
     """Pieces of a model file and the automaton over them, for both directions."""
@@ -194,10 +229,8 @@ def decode_pieces(ids: Column, path: str) -> Column:
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = written(path)
         for batch in batches:
-            flat = batch.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            out = [pieces.decode(flat[a:b].tolist()) for a, b in zip([0, *ends[:-1]], ends, strict=True)] if len(ends) else []
-            yield pa.array(out, pa.string(), mask=batch.is_null().to_numpy(zero_copy_only=False))
+            out = pieces.decode_all(batch)
+            yield pc.if_else(batch.is_null(), pa.scalar(None, pa.string()), out)
 
     return text(ids)
 

@@ -396,3 +396,24 @@ def test_no_copy_passes_however_late_and_state_is_as_large_as_the_gaps(spark, tm
     left = [tuple(r) for r in seen_ranges(spark, str(tmp_path / "ck")).collect()]
     want = [(k, 0, 0, 31) for k in ("A", None)] + [(k, 1, 32, 39) for k in ("A", "B", None)]
     assert sorted(left, key=str) == sorted([*want, ("B", 0, 0, 16), ("B", 0, 18, 31)], key=str)
+
+
+def test_state_is_kept_by_share_not_by_key(spark, tmp_path, rocksdb):
+    """As many reads and writes of state as there are shares, however many keys there are."""
+    keys = [None, *range(40)]
+    rows = [(k, SHIFT + t * 1_000, t, float(t)) for t in (0, 3, 60) for k in keys]
+    schema = "sat long, event_ts_ms long, ingest_seq long, x double"
+    df = spark.createDataFrame(rows, schema)
+    for _ in feed(df, str(tmp_path / "in"), (50,)):
+        stream = replay(spark, str(tmp_path / "in"), df.schema)
+        out = late_windows_stream(stream, keys=["sat"], channels=["x"], spec=SPEC, shares=3)
+        writer = out.writeStream.outputMode("append").foreachBatch(per_batch(tmp_path / "out"))
+        run(writer, str(tmp_path / "ck"))
+    held = spark.read.format("statestore").option("stateVarName", "open").load(str(tmp_path / "ck"))
+    assert 1 <= held.count() <= 3
+    left = open_windows(spark, str(tmp_path / "ck"), ["sat"], ["x"])
+    assert left.schema["sat"].dataType == df.schema["sat"].dataType
+    emitted = spark.read.parquet(str(tmp_path / "out"))
+    fired = emitted.where(F.col(KIND) == RESULT).select("sat", "_on", "x_sum", "x_min", "x_max")
+    assert sorted(map(tuple, fired.collect()), key=str) == sorted([(k, 2, 3.0, 0.0, 3.0) for k in keys], key=str)
+    assert sorted((r.sat for r in left.collect()), key=str) == sorted(keys, key=str)

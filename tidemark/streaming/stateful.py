@@ -38,29 +38,85 @@ OUTSIDE = "outside_range"  # a leading underscore would not reach pandas
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
-KIND, SALT = "kind", "salt"
+KIND, SALT, KEY = "kind", "salt", "key_json"
 RESULT, DEAD = "result", "dead"
+#: Shares of the keys; the open windows of one are a task's to hold.
+SHARES = 512
 _STATE = "open"
-_STATE_DDL = (
-    "due_ms bigint, windows array<struct<start: bigint, on_count: bigint, late_count: bigint, "
-    "fired: boolean, sums: array<double>, counts: array<bigint>, mins: array<double>, "
-    "maxs: array<double>>>"
-)
+_FOLD_ROWS = 1 << 18
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
+# Keys as JSON come back as they were.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def _state_type(key_type: T.StructType) -> T.StructType:
+    """A share's state: a list per property of its windows, and per channel within those of
+    values. ``key_type`` is always null; its type says what the keys are in JSON of."""
+    longs, doubles = T.ArrayType(T.LongType()), T.ArrayType(T.DoubleType())
+    kinds = {
+        "due_ms": T.LongType(),
+        "key_type": key_type,
+        "keys": T.ArrayType(T.StringType()),
+        "starts": longs,
+        "on_counts": longs,
+        "late_counts": longs,
+        "fired": T.ArrayType(T.BooleanType()),
+        "sums": T.ArrayType(doubles),
+        "counts": T.ArrayType(longs),
+        "mins": T.ArrayType(doubles),
+        "maxs": T.ArrayType(doubles),
+    }
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
 
 
 @dataclass
 class _Open:
-    """One window that can still change, with one entry per channel in each list."""
-
-    start: int
-    on: int
-    late: int
-    fired: bool
-    sums: list
-    counts: list
-    mins: list
-    maxs: list
+    """Windows that can still change, a row each; statistics have a column per channel."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    on: np.ndarray
+    late: np.ndarray
+    fired: np.ndarray
+    sums: np.ndarray
+    counts: np.ndarray
+    mins: np.ndarray
+    maxs: np.ndarray
+    changed: np.ndarray  # by a late record of this batch
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def where(self, rows: np.ndarray) -> _Open:
+        return _Open(*[part[rows] for part in vars(self).values()])
+
+
+def _merged(many: Sequence[_Open]) -> _Open:
+    """One row for each key and start of several lists."""
+    w = _Open(*[np.concatenate(parts) for parts in zip(*[vars(m).values() for m in many])])
+    if not len(w):
+        return w
+    key, _ = pd.factorize(w.keys)
+    order = np.lexsort((w.starts, key))
+    w, key = w.where(order), key[order]
+    new = (key[1:] != key[:-1]) | (w.starts[1:] != w.starts[:-1])
+    first = np.flatnonzero(np.append(True, new))
+
+    def each(combine: np.ufunc, part: np.ndarray) -> np.ndarray:
+        return combine.reduceat(part, first, axis=0)
+
+    return _Open(
+        w.keys[first],
+        w.starts[first],
+        each(np.add, w.on),
+        each(np.add, w.late),
+        each(np.logical_or, w.fired),
+        each(np.add, w.sums),
+        each(np.add, w.counts),
+        each(np.minimum, w.mins),
+        each(np.maximum, w.maxs),
+        each(np.logical_or, w.changed),
+    )
 
 
 @contextmanager
@@ -78,35 +134,35 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
 
 
 class LateWindowProcessor(StatefulProcessor):
-    """The open windows of one key (or one salted share of it), and its next deadline.
+    """The open windows of one share of the keys, and its next deadline.
 
-    State is read and written once per key and batch. It holds the windows from the
-    watermark's lateness bound onwards, a handful per key however long the stream runs.
-    Within a batch the watermark stands still, so a record's class depends on its window
-    only, and all records of a window merge into one update.
+    State is read and written once per share and batch, however many keys are in it. It holds
+    the windows from the watermark's lateness bound onwards, a handful per key however long
+    the stream runs. Within a batch the watermark stands still, so a record's class depends
+    on its window only, and all records of a window merge into one update.
     """
 
     def __init__(
         self,
         spec: WindowSpec,
         channels: Sequence[str],
-        group: Sequence[str],
+        key_type: T.StructType,
         output: Sequence[str],
     ) -> None:
         self.spec = spec
         self.channels = list(channels)
-        self.group = list(group)
+        self.key_type = key_type
         self.output = list(output)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState(_STATE, _STATE_DDL)
+        self.state = handle.getValueState(_STATE, _state_type(self.key_type))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         reached = self._reached(timerValues)
         due, held = self._load()
-        emitted = self._settle(held, reached)
-        updated: set[int] = set()
+        fired, held = self._settle(held, reached)
+        came = []
         for batch in rows:
             dead = batch[OUTSIDE].to_numpy()
             if reached is not None:
@@ -115,18 +171,23 @@ class LateWindowProcessor(StatefulProcessor):
             if dead.any():
                 yield batch[dead].assign(**{KIND: DEAD}).reindex(columns=self.output)
                 batch = batch[~dead]
-            updated |= self._fold(held, batch, reached)
-        emitted += [held[start] for start in sorted(updated)]
+            if len(batch):
+                came.append(self._windows(batch, reached))
+            if sum(map(len, came)) > _FOLD_ROWS:
+                held, came = _merged([held, *came]), []
+        if came:
+            held = _merged([held, *came])
         self._store(due, held)
-        if emitted:
-            yield self._results(key, emitted)
+        for emitted in (fired, held.where(held.changed)):
+            if len(emitted):
+                yield self._results(key, emitted)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         due, held = self._load()
-        emitted = self._settle(held, self._reached(timerValues))
+        fired, held = self._settle(held, self._reached(timerValues))
         self._store(None if due == expiredTimerInfo.getExpiryTimeInMs() else due, held)
-        if emitted:
-            yield self._results(key, emitted)
+        if len(fired):
+            yield self._results(key, fired)
 
     def close(self) -> None:
         pass
@@ -136,96 +197,71 @@ class LateWindowProcessor(StatefulProcessor):
         # Spark's watermark is the largest event time, ours trails it by the delay.
         return spark_ms - self.spec.delay_ms if spark_ms > 0 else None
 
-    def _load(self) -> tuple[int | None, dict[int, _Open]]:
-        value = self.state.get()
-        if value is None:
-            return None, {}
-        due, windows = value
-        return due, {w[0]: _Open(*w[:4], *[list(part) for part in w[4:]]) for w in windows}
+    def _load(self) -> tuple[int | None, _Open]:
+        due, _, keys, starts, on, late, fired, *stats = self.state.get() or (None, None, *[[]] * 9)
+        n, kinds = len(starts), (np.float64, np.int64, np.float64, np.float64)
+        return due, _Open(
+            np.array(keys, object),
+            *[np.array(part, np.int64) for part in (starts, on, late)],
+            np.array(fired, bool),
+            *[np.array(part, kind).reshape(-1, n).T if n else np.zeros((0, len(self.channels)), kind)
+              for part, kind in zip(stats, kinds)],
+            np.zeros(n, bool),
+        )
 
-    def _store(self, due: int | None, held: dict[int, _Open]) -> None:
+    def _store(self, due: int | None, held: _Open) -> None:
         """Save the windows; set a timer unless an earlier one is already waiting."""
-        if not held:
+        if not len(held):
             self.state.clear()
             return
-        first = min(self._deadline(w) for w in held.values()) + self.spec.delay_ms
+        deadlines = held.starts + self.spec.size_ms + np.where(held.fired, self.spec.lateness_ms, 0)
+        first = int(deadlines.min()) + self.spec.delay_ms
         if due is None or first < due:
             self.handle.registerTimer(first)
             due = first
-        self.state.update((due, [tuple(vars(w).values()) for w in held.values()]))
+        parts = (held.keys, held.starts, held.on, held.late, held.fired)
+        stats = (held.sums, held.counts, held.mins, held.maxs)
+        self.state.update((due, None, *[p.tolist() for p in parts], *[p.T.tolist() for p in stats]))
 
-    def _deadline(self, w: _Open) -> int:
-        return w.start + self.spec.size_ms + (self.spec.lateness_ms if w.fired else 0)
-
-    def _settle(self, held: dict[int, _Open], reached: int | None) -> list[_Open]:
-        """Fire what is due, in window order, and let go of what is over.
+    def _settle(self, held: _Open, reached: int | None) -> tuple[_Open, _Open]:
+        """The windows that are due, fired, and those that are not over.
 
         Records of a batch come before its timers, so they call this first.
         """
         if reached is None:
-            return []
-        fired = []
-        for start in sorted(held):
-            w = held[start]
-            end = start + self.spec.size_ms
-            if not w.fired and end <= reached:
-                w.fired = True
-                fired.append(replace(w, sums=[*w.sums], counts=[*w.counts], mins=[*w.mins],
-                                     maxs=[*w.maxs]))
-            if end + self.spec.lateness_ms <= reached:
-                del held[start]
-        return fired
-
-    def _fold(self, held: dict[int, _Open], batch: pd.DataFrame, reached: int | None) -> set[int]:
-        """Add records to their windows; returns the windows that late records changed."""
-        changed: set[int] = set()
-        if batch.empty:
-            return changed
-        # All channels of all windows of the batch in one pass over its values.
-        starts, at = np.unique(batch[START].to_numpy(np.int64), return_inverse=True)
-        order = np.argsort(at, kind="stable")
-        first = np.searchsorted(at[order], np.arange(len(starts)))
-        values = batch[self.channels].to_numpy(np.float64)[order]
+            return held.where(np.zeros(len(held), bool)), held
+        ends = held.starts + self.spec.size_ms
+        due = ~held.fired & (ends <= reached)
+        held = replace(held, fired=held.fired | due)
+        return held.where(due), held.where(ends + self.spec.lateness_ms > reached)
+
+    def _windows(self, batch: pd.DataFrame, reached: int | None) -> _Open:
+        """The windows of records, all channels in one pass over their values."""
+        starts = batch[START].to_numpy(np.int64)
+        late = np.zeros(len(starts), bool)
+        if reached is not None:
+            late = starts + self.spec.size_ms <= reached
+        values = batch[self.channels].to_numpy(np.float64)
         known = ~np.isnan(values)
-        rows = np.diff(np.append(first, len(order))).tolist()
-        counts = np.add.reduceat(known, first, axis=0, dtype=np.int64).tolist()
-        sums = np.add.reduceat(np.where(known, values, 0.0), first, axis=0).tolist()
-        mins = np.minimum.reduceat(np.where(known, values, np.inf), first, axis=0).tolist()
-        maxs = np.maximum.reduceat(np.where(known, values, -np.inf), first, axis=0).tolist()
-        for row, start in enumerate(starts.tolist()):
-            late = reached is not None and start + self.spec.size_ms <= reached
-            w = held.get(start)
-            if w is None:
-                width = len(self.channels)
-                w = _Open(start, 0, 0, late, *[[None] * width for _ in range(4)])
-                w.counts = [0] * width
-                held[start] = w
-            if late:
-                w.late += rows[row]
-                changed.add(start)
-            else:
-                w.on += rows[row]
-            for i, n in enumerate(counts[row]):
-                if n:
-                    had = w.counts[i] > 0
-                    w.sums[i] = w.sums[i] + sums[row][i] if had else sums[row][i]
-                    w.mins[i] = min(w.mins[i], mins[row][i]) if had else mins[row][i]
-                    w.maxs[i] = max(w.maxs[i], maxs[row][i]) if had else maxs[row][i]
-                    w.counts[i] += n
-        return changed
-
-    def _results(self, key, windows: list[_Open]) -> pd.DataFrame:
-        columns = {c: [k] * len(windows) for c, k in zip(self.group, key)}
-        columns[START] = [w.start for w in windows]
-        columns[KIND] = [RESULT] * len(windows)
-        columns["_on"] = [w.on for w in windows]
-        columns["_late"] = [w.late for w in windows]
+        stats = (
+            np.where(known, values, 0.0),
+            known.astype(np.int64),
+            np.where(known, values, np.inf),
+            np.where(known, values, -np.inf),
+        )
+        counts = ((~late).astype(np.int64), late.astype(np.int64))
+        return _merged([_Open(batch[KEY].to_numpy(object), starts, *counts, late, *stats, late)])
+
+    def _results(self, key, windows: _Open) -> pd.DataFrame:
+        columns = {KEY: windows.keys, START: windows.starts, SALT: key[0], KIND: RESULT}
+        columns |= {"_on": windows.on, "_late": windows.late}
         for i, c in enumerate(self.channels):
-            columns[f"{c}_sum"] = [w.sums[i] for w in windows]
-            columns[f"{c}_cnt"] = [w.counts[i] for w in windows]
-            columns[f"{c}_min"] = [w.mins[i] for w in windows]
-            columns[f"{c}_max"] = [w.maxs[i] for w in windows]
-        return pd.DataFrame(columns).reindex(columns=self.output)
+            counts = windows.counts[:, i]
+            columns[f"{c}_cnt"] = counts
+            for part in ("sum", "min", "max"):
+                values = getattr(windows, f"{part}s")[:, i]
+                columns[f"{c}_{part}"] = np.where(counts > 0, values, np.nan)
+        return pd.DataFrame({c: columns.get(c) for c in self.output})
 
 
 def late_windows_stream(
@@ -237,24 +273,26 @@ def late_windows_stream(
     time: str = TIME,
     spread: str | None = None,
     salts: int = 1,
+    shares: int = SHARES,
 ) -> DataFrame:
     """Rows of kind ``result`` (a window's partial statistics so far) and ``dead`` (raw).
 
-    Where one key may take a large share of a micro-batch, ``salts`` > 1 divides it by a
-    hash of column ``spread``; the parts fire by the same watermark and
-    :func:`window_results` puts them together. Use append mode, and start the query
-    within :func:`rocksdb_state`.
+    The keys are dealt into ``shares``, whose windows are worked on together: choose as many
+    that the open windows of one fit a task, and keep to it for a checkpoint. Where one key
+    may take a large share of a micro-batch, ``salts`` > 1 divides it by a hash of column
+    ``spread``; the parts fire by the same watermark and :func:`window_results` puts them
+    together. Use append mode, and start the query within :func:`rocksdb_state`.
     """
-    salt = F.lit(0) if salts == 1 else F.pmod(F.xxhash64(spread or time), F.lit(salts))
+    part = F.lit(0) if salts == 1 else F.pmod(F.xxhash64(spread or time), F.lit(salts))
+    salt = F.pmod(F.xxhash64(*keys, part), F.lit(shares))
     inside = F.coalesce(F.col(time).between(0, LAST_MS), F.lit(False))
     moved = event_time(F.when(inside, F.col(time)).otherwise(0) + SHIFT_MS)
     placed = (
-        df.withColumns({EVENT_TIME: moved, OUTSIDE: ~inside})
+        df.withColumns({EVENT_TIME: moved, OUTSIDE: ~inside, KEY: F.to_json(F.struct(*keys), _JSON)})
         .withWatermark(EVENT_TIME, f"{SHIFT_MS} milliseconds")
         .withColumns({c: F.col(c).cast("double") for c in channels})
         .withColumns({START: window_start(F.col(time), spec.size_ms), SALT: salt.cast("int")})
     )
-    group = [*keys, SALT]
     fields = [T.StructField(f.name, f.dataType) for f in placed.schema if f.name not in (EVENT_TIME, OUTSIDE)]
     fields += [T.StructField(n, T.LongType()) for n in ("_on", "_late")]
     for c, kind in partial_kinds(channels).items():
@@ -262,13 +300,19 @@ def late_windows_stream(
         fields.append(T.StructField(c, T.LongType() if counted else T.DoubleType()))
     fields.append(T.StructField(KIND, T.StringType()))
     schema = T.StructType(fields)
-    processor = LateWindowProcessor(spec, channels, group, schema.names)
-    return placed.groupBy(*group).transformWithStateInPandas(
+    key_type = T.StructType([T.StructField(k, placed.schema[k].dataType) for k in keys])
+    processor = LateWindowProcessor(spec, channels, key_type, schema.names)
+    out = placed.groupBy(SALT).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=schema,
         outputMode="Append",
         timeMode="EventTime",
     )
+    of_window = F.from_json(KEY, key_type, _JSON)
+    is_result = F.col(KIND) == RESULT
+    return out.withColumns(
+        {k: F.when(is_result, of_window[k]).otherwise(F.col(k)) for k in keys}
+    ).drop(KEY)
 
 
 def window_results(
@@ -315,27 +359,30 @@ def open_windows(
 
     Appended to the emitted rows they end the input: every record is then accounted for.
     """
-    stored = (
-        spark.read.format("statestore")
-        .option("stateVarName", _STATE)
-        .load(checkpoint)
-        .select(
-            *[F.col(f"key.{k}").alias(k) for k in (*keys, SALT)],
-            F.explode("value.windows").alias("w"),
-        )
-        .where(~F.col("w.fired"))
-    )
+    stored = spark.read.format("statestore").option("stateVarName", _STATE).load(checkpoint)
+    key_type = stored.schema["value"].dataType["key_type"].dataType
+    lists = {KEY: "keys", START: "starts", "_on": "on_counts", "_late": "late_counts", "_fired": "fired"}
+    lists = {name: F.col(f"value.{held}") for name, held in lists.items()}
     parts = {"sum": "sums", "cnt": "counts", "min": "mins", "max": "maxs"}
-    return stored.select(
-        *keys,
+    for i, c in enumerate(channels):
+        lists |= {f"{c}_{part}": F.col(f"value.{held}")[i] for part, held in parts.items()}
+    windows = (
+        stored.select(F.col(f"key.{SALT}").alias(SALT), *[v.alias(name) for name, v in lists.items()])
+        .select(SALT, F.inline(F.arrays_zip(*lists)))
+        .where(~F.col("_fired"))
+        .withColumn("_key", F.from_json(KEY, key_type, _JSON))
+    )
+    known = {
+        f"{c}_{part}": F.when(F.col(f"{c}_cnt") > 0, F.col(f"{c}_{part}"))
+        for c in channels
+        for part in ("sum", "min", "max")
+    }
+    return windows.withColumns(known).select(
+        *[F.col("_key")[k].alias(k) for k in keys],
         SALT,
-        F.col("w.start").alias(START),
+        START,
         F.lit(RESULT).alias(KIND),
-        F.col("w.on_count").alias("_on"),
-        F.col("w.late_count").alias("_late"),
-        *[
-            F.col(f"w.{held}")[i].alias(f"{c}_{part}")
-            for i, c in enumerate(channels)
-            for part, held in parts.items()
-        ],
+        "_on",
+        "_late",
+        *[f"{c}_{part}" for c in channels for part in parts],
     )

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import running as running_module
 from tidemark.operators.running import CHUNK, running, split_hot_groups
 
 
@@ -115,3 +116,10 @@ def test_chunk_totals_are_scanned_in_chunks_themselves(spark, monkeypatch, keys)
     out = running(plain, keys, "at", {"s": ("sum", "v"), "m": ("max", "v2")}, target=8)
     assert {r["at"]: (r.s, r.m) for r in out.collect()} == want
     assert len(levels) >= 3 and levels == sorted(levels, reverse=True)
+
+
+def test_wide_rows_make_smaller_chunks(spark):
+    narrow = spark.range(1)
+    wide = narrow.withColumns({f"c{i}": F.lit(i) for i in range(30)})
+    assert running_module.fitting_rows(narrow, 1) == running_module.TARGET_ROWS_DEFAULT
+    assert 16 * 32 * running_module.fitting_rows(wide, 1) <= running_module.TARGET_BYTES

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import classify, is_anomaly, position, window_start
 from tidemark.operators.lookup import lookup_join
-from tidemark.operators.running import running
+from tidemark.operators.running import fitting_rows, running
 from tidemark.operators.windows import (
     KEYS,
     START,
@@ -260,8 +260,11 @@ def partition_watermarks(
     seen = seen or Sources({})
     arrival = arrival or order[0]
     named = df.withColumns({POSITION: position(order), "_source": source_name(source)})
-    last = named.groupBy("_source").agg(F.max(time).alias("ms"), F.max(arrival).alias("at"))
-    found = {r["_source"]: (r["ms"], r["at"]) for r in last.limit(MAX_SOURCES + 1).collect()}
+    last = named.groupBy("_source").agg(
+        F.max(time).alias("ms"), F.max(arrival).alias("at"), F.count(F.lit(1)).alias("n")
+    )
+    last = last.limit(MAX_SOURCES + 1).collect()
+    found, rows = {r["_source"]: (r["ms"], r["at"]) for r in last}, sum(r["n"] for r in last)
     reached = dict(seen.reached)
     for name, new in found.items():
         pairs = zip(reached.get(name, (None, None)), new)
@@ -277,7 +280,8 @@ def partition_watermarks(
         | {f"_at{i}": F.when(own, F.col(arrival)) for i, own in of.items()}
     )
     columns = [f"_{kind}_{i}" for kind in ("ms", "at") for i in range(len(names))]
-    scanned = running(named, [], POSITION, {f"_up{c}": ("max", c) for c in columns}, target=target)
+    ups = {f"_up{c}": ("max", c) for c in columns}
+    scanned = running(named, [], POSITION, ups, target=target, at_most=rows)
 
     def upto(kind: str, i: int, name: str) -> Column:
         before = seen.reached.get(name, (None, None))[kind == "at"]
@@ -292,7 +296,10 @@ def partition_watermarks(
         tops.append(top)
     merged = scanned.withColumn("_merged", F.least(*tops, F.lit(None).cast("long")))
     merged = merged.drop(*columns, *(f"_up{c}" for c in columns), "_source")
-    met = running(merged, [], POSITION, {"_met": ("max", "_merged")}, inclusive=False, target=target)
+    if rows > (target or fitting_rows(merged, 1)):
+        merged = settle(merged)  # dividing it reads it several times
+    ups = {"_met": ("max", "_merged")}
+    met = running(merged, [], POSITION, ups, inclusive=False, target=target, at_most=rows)
     top = F.col("_met") if seen.top_ms is None else F.greatest("_met", F.lit(seen.top_ms))
     after = merged.agg(F.max("_merged")).first()[0]
     known = [ms for ms in (seen.top_ms, after) if ms is not None]

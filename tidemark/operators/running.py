@@ -21,6 +21,9 @@ from tidemark.session import settle
 TARGET_ROWS_CONF = "tidemark.running.targetRows"
 TARGET_ROWS_DEFAULT = 4_000_000
 
+# What a task may sort and hold of a group that it scans; by this wide rows make smaller chunks.
+TARGET_BYTES = 256 << 20
+
 # So many totals of chunks are scanned by one task, whatever the target.
 LEAST_TOTALS = 10_000
 
@@ -37,6 +40,16 @@ def target_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(TARGET_ROWS_CONF, str(TARGET_ROWS_DEFAULT)))
 
 
+def fitting_rows(df: DataFrame, aggs: int) -> int:
+    """Rows of a chunk of ``df`` with so many running columns: the target, or what fits a task."""
+    wide = sum(
+        1 if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.TimestampType, T.DateType)) else 4
+        for f in df.schema
+    )
+    # A value is in the row that is sorted and in the one that comes out.
+    return min(target_rows(df.sparkSession), max(1, TARGET_BYTES // (16 * (wide + aggs))))
+
+
 def split_hot_groups(
     df: DataFrame, keys: Sequence[str], order: str, target: int
 ) -> tuple[DataFrame, bool]:
@@ -134,7 +147,7 @@ def running(
     """
     keys = list(keys)
     if target is None:
-        target = target_rows(df.sparkSession)
+        target = fitting_rows(df, len(aggs))
     if undivided or (at_most is not None and at_most <= target) or (
         sizes is not None and sizes.where(F.col("n") > target).isEmpty()
     ):

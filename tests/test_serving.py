@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.telemetry import disordered, frame
+from tidemark.plans import catalog
+from tidemark.plans.inputs import Inputs
 from tidemark.operators.lateness import annotate_lateness, windows_changelog, windows_final
 from tidemark.schema import WindowSpec, result_schema
 from tidemark.sinks import lake, serving
@@ -154,3 +156,11 @@ def test_a_null_key_is_refused_and_other_columns_may_be_more(spark, tmp_path, fi
     with pytest.raises(Exception, match="null in required column sat_id"):
         serving.upsert(bad, name)
     assert same(spark.table(name), final)
+
+
+def test_buckets_follow_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "SERVING_BUCKET_ROWS", 2)
+    inputs = Inputs(spark, str(tmp_path))
+    for rows, buckets in ((0, 2), (3, 2), (7, 4)):
+        name = catalog._serving_table(inputs, (), rows)
+        assert serving._layout(spark, name)[1] == buckets

@@ -63,6 +63,8 @@ from tidemark.sinks import lake, serving
 from tidemark.sources.kafka import decode_json, kafka_payload
 
 NATURAL_KEY = (*KEYS, START)
+# A bucket of a serving table is compared, sorted and folded in by one task.
+SERVING_BUCKET_ROWS = 500_000
 _TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 Query = Callable[[Inputs], DataFrame]
@@ -187,9 +189,10 @@ def lake_upsert(x: Inputs) -> DataFrame:
     return lake.scan(x.spark, path, x.schema)
 
 
-def _serving_table(x: Inputs, batches) -> str:
-    name = f"serving_{uuid.uuid4().hex}"
-    serving.ensure(x.spark, name, x.schema, x.scratch("serving"), buckets=2, keys=NATURAL_KEY)
+def _serving_table(x: Inputs, batches, rows: int) -> str:
+    """A table of as many buckets as ``rows``, the most that a batch has, need."""
+    name, buckets = f"serving_{uuid.uuid4().hex}", max(2, -(-rows // SERVING_BUCKET_ROWS))
+    serving.ensure(x.spark, name, x.schema, x.scratch("serving"), buckets=buckets, keys=NATURAL_KEY)
     for batch in batches:
         serving.upsert(batch, name)
     return name
@@ -201,13 +204,13 @@ def serving_upsert(x: Inputs) -> DataFrame:
     x.changelog.write.parquet(log)
     stored = x.spark.read.schema(x.changelog.schema).parquet(log)
     first = stored.where(F.col("revision") == 0)
-    return x.spark.table(_serving_table(x, (first, stored, first))).select(*x.schema.names)
+    return x.spark.table(_serving_table(x, (first, stored, first), stored.count())).select(*x.schema.names)
 
 
 def serving_lookup(x: Inputs) -> DataFrame:
     """The windows that were emitted again, looked up in the serving table by their keys."""
     again = x.changelog.where(F.col("revision") >= 1).select(*NATURAL_KEY)
-    return serving.lookup(again, _serving_table(x, (x.final,))).select(*x.schema.names)
+    return serving.lookup(again, _serving_table(x, (x.final,), x.final.count())).select(*x.schema.names)
 
 
 def export_sorted_json(x: Inputs) -> DataFrame:

@@ -61,6 +61,18 @@ def test_ids_are_the_librarys(remembered):
     assert encode([t.encode() for t in ALL]) == want
 
 
+def test_segments_are_learnt_where_they_are_looked_up():
+    asked, long_one = [], "x" * 100
+    known = token_files.Segments(3, lambda s: asked.append(s) or s.encode())
+    assert b"".join(map(known.__getitem__, ["a", "b", "a", long_one])) == b"aba" + long_one.encode()
+    assert asked == ["a", "b", long_one]
+    known.trim_after(lambda: pytest.fail("nothing has to go"))
+    assert list(known) == ["a", "b"] and not known.long_ones
+    assert [known[s] for s in "acd"] == [b"a", b"c", b"d"]
+    known.trim_after(lambda: {"a"})
+    assert list(known) == ["a", "d"]
+
+
 def test_count_query_columns(docs):
     df = docs((1, "one two"), (None, "three"), (2, None), (1, "one two")).withColumn("n_tokens", F.lit("mine"))
     rows = token_counts.token_counts(df, COUNTS, 1).collect()

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import PART_BYTES, as_lists, bounded_batches, by_bytes, texts
-from tidemark.llm.token_counts import CALL_BYTES, KEEP_BYTES, Remembered, load
+from tidemark.llm.token_counts import KEEP_BYTES, Remembered, load
 
 #: A single space or line break between two other characters: this kind of tokenizer starts
 #: a new piece before such a space, and both before and after such a line break.
@@ -69,63 +69,81 @@ def byte_alphabet() -> dict[int, int]:
     return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
 
 
+class Segments(Remembered):
+    """What segments are encoded to; one that isn't known is learnt where it is looked up."""
+
+    def __init__(self, limit: int, learn: Callable[[str], bytes]):
+        super().__init__(limit)
+        self.learn, self.long_ones = learn, []
+
+    def __missing__(self, segment: str) -> bytes:
+        found = self[segment] = self.learn(segment)
+        if len(segment) > KEEP_BYTES:
+            self.long_ones.append(segment)
+        return found
+
+    def trim_after(self, used: Callable[[], set[str]]) -> None:
+        """``trim``; what the batch used is gathered only where some must go."""
+        self.trim(self.long_ones, used() if len(self) > self.limit else set())
+        self.long_ones = []
+
+
 @functools.lru_cache(2)
 def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | None]], list[bytes]]:
     """A function from texts to their ids as little-endian unsigned 32-bit integers.
 
-    A text is cut where its pieces are independent; each distinct segment is encoded once.
-    Segments of a word and marks go to the tokenizer's model directly, as the two pieces
+    A text is cut where its pieces are independent; a segment that is remembered isn't encoded
+    again. Segments of a word and marks go to the tokenizer's model directly, as the two pieces
     they are, all others through its whole encoding. Kept between the tasks of a worker.
     """
     tokenizer, alphabet = load(path), byte_alphabet()
-    model = tokenizer.model
-    plain, spaced = Remembered(remembered // 4), Remembered(remembered)
+    tokenize = tokenizer.model.tokenize
+    blank = chr(alphabet[ord(" ")])
     marks: dict[str, bytes] = {"": b""}
 
     def packed(ids: list[int]) -> bytes:
-        return array("I", ids).tobytes()
+        return ids[0].to_bytes(4, "little") if len(ids) == 1 else array("I", ids).tobytes()
+
+    def piece(before: str, text: str) -> bytes:
+        # Letters and marks of ASCII stand for themselves.
+        written = text if text.isascii() else text.encode().decode("latin-1").translate(alphabet)
+        return packed([t.id for t in tokenize(before + written)])
 
-    def piece(text: str) -> bytes:
-        return packed([t.id for t in model.tokenize(text.encode().decode("latin-1").translate(alphabet))])
+    def learner(before: str) -> Callable[[str], bytes]:
+        first = blank if before else ""
 
-    def learn(fresh: set[str], known: Remembered, before: str) -> list[str]:
-        others = []
-        fresh = known.without(fresh)
-        for segment in fresh:
+        def learn(segment: str) -> bytes:
+            if segment.isascii() and segment.isalpha():  # most are, and need no closer look
+                return piece(first, segment)
             if not (simple := SIMPLE.fullmatch(segment)):
-                others.append(segment)
-                continue
+                return packed(tokenizer.encode(before + segment, add_special_tokens=False).ids)
             word, after = simple.groups()
+            if not after:
+                return piece(first, word)
             tail = marks.get(after)
             if tail is None:
-                tail = piece(after)
+                tail = piece("", after)
                 if len(after) < 4:  # few enough to keep them all
                     marks[after] = tail
-            head = known.get(word)
-            if head is None:
-                head = known[word] = piece(before + word)
-            known[segment] = head + tail
-        for call in by_bytes(sorted(others), CALL_BYTES):
-            encoded = tokenizer.encode_batch_fast([before + s for s in call], add_special_tokens=False)
-            known.update((s, packed(e.ids)) for s, e in zip(call, encoded, strict=True))
-        return [s for s in fresh if len(s) > KEEP_BYTES]
+            return (known[before][word] if len(word) <= KEEP_BYTES else piece(first, word)) + tail
+
+        return learn
 
+    known = {before: Segments(size, learner(before)) for before, size in (("", remembered // 4), (" ", remembered))}
+    plain, spaced = known[""], known[" "]
     newline = packed(tokenizer.encode("\n", add_special_tokens=False).ids)
 
     def encode(batch: list[bytes | None]) -> list[bytes]:
         out: list[bytes] = []
+        get = spaced.__getitem__
         for part in by_bytes((t or b"" for t in batch), PART_BYTES):
             lines = [_lines(t.decode()) for t in part]
-            firsts = {first for text in lines for first, _ in text}
-            rest: set[str] = set().union(*(words for text in lines for _, words in text))
-            long_plain, long_spaced = learn(firsts, plain, ""), learn(rest, spaced, " ")
-            get = spaced.__getitem__
             out += [
                 newline.join([plain[first] + b"".join(map(get, words)) for first, words in text])
                 for text in lines
             ]
-            plain.trim(long_plain, firsts)
-            spaced.trim(long_spaced, rest)
+            plain.trim_after(lambda: {first for text in lines for first, _ in text})
+            spaced.trim_after(lambda: set().union(*(words for text in lines for _, words in text)))
         return out
 
     return encode

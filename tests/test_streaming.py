@@ -56,6 +56,26 @@ def feed(df, folder, cuts):
         yield
 
 
+def test_carried_windows_take_no_exchange_of_their_own(spark, tmp_path):
+    sink = ExactLateWindows(str(tmp_path), spec=SPEC)
+    annotated = annotate_lateness(frame(spark, RECORDS, SHIFT), SPEC)
+    groups = sink._with_state(annotated, None)
+    state = sink._kept(groups, None)
+    both = sink._with_state(annotated, state.localCheckpoint())
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    # Each window comes once from the records and once from the state.
+    on = groups.where("_late_at is null").select("sat_id", "window_start_ms", "_on", "snr_db_sum")
+    added = on.join(state.select("sat_id", "window_start_ms", *(F.col(c).alias(f"{c}_2") for c in ("_on", "snr_db_sum"))), ["sat_id", "window_start_ms"], "full")
+    total = [(F.coalesce(c, F.lit(0)) + F.coalesce(f"{c}_2", F.lit(0))).alias(c) for c in ("_on", "snr_db_sum")]
+    got = both.where("_late_at is null").select("sat_id", "window_start_ms", "_on", "snr_db_sum")
+    assert same(got, added.select("sat_id", "window_start_ms", *total))
+    # Only windows with late records can have more than one row.
+    sizes = {tuple(r)[:2]: r.n for r in sink._sizes(groups).collect()}
+    rows = groups.groupBy("sat_id", "window_start_ms").count().collect()
+    assert sizes and all(r["count"] <= sizes.get(tuple(r)[:2], 1) for r in rows)
+
+
 def per_batch(path):
     return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

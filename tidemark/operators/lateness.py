@@ -26,6 +26,7 @@ from tidemark.operators.windows import (
     TIME,
     channel_partials,
     partial_kinds,
+    record_partials,
     to_results,
 )
 from tidemark.schema import CHANNELS, RULES, Rule, WindowSpec
@@ -41,6 +42,7 @@ WATERMARK = "watermark_ms"
 # A source's partitions are columns of the scan that merges their watermarks.
 MAX_SOURCES = 512
 
+_COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 _FIRES = "_fires_at"
 _DIES = "_dies_at"
 
@@ -390,16 +392,25 @@ def emission_groups(
     annotated: DataFrame,
     keys: Sequence[str],
     channels: Sequence[str],
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """Accepted records reduced to the rows that can cause an emission.
 
     All on-time records of a window become one row; every late record stays its own
     row, because each causes an update. ``arrival_pos`` orders them, as on-time
-    records of a window always precede its late ones.
+    records of a window always precede its late ones. ``carried`` are aggregated rows of
+    windows, each of which joins the on-time records of its window.
     """
+    accepted = annotated.where(F.col(CLASS) != DEAD)
+    late_at = F.when(F.col(CLASS) == LATE, F.col(POSITION)).alias("_late_at")
+    if carried is not None:
+        # Records in the form of carried rows, so that one aggregation takes both.
+        on, late = ((F.col(CLASS) == c).cast("long") for c in (ON, LATE))
+        partials = record_partials(annotated.schema, channels)
+        rows = accepted.select(*keys, START, late_at, POSITION, on.alias("_on"), late.alias("_late"), *partials)
+        return combined(rows.unionByName(carried, allowMissingColumns=True), [*keys, START, "_late_at"], channels)
     return (
-        annotated.where(F.col(CLASS) != DEAD)
-        .groupBy(*keys, START, F.when(F.col(CLASS) == LATE, F.col(POSITION)).alias("_late_at"))
+        accepted.groupBy(*keys, START, late_at)
         .agg(
             F.max(POSITION).alias(POSITION),
             F.count_if(F.col(CLASS) == ON).alias("_on"),
@@ -409,6 +420,12 @@ def emission_groups(
     )
 
 
+def combined(rows: DataFrame, by: Sequence[str], channels: Sequence[str]) -> DataFrame:
+    """Aggregated rows put together: one for each value of ``by``."""
+    kinds = {POSITION: "max", "_on": "sum", "_late": "sum", **partial_kinds(channels)}
+    return rows.groupBy(*by).agg(*[_COMBINE[kind](c).alias(c) for c, kind in kinds.items()])
+
+
 def emissions(
     groups: DataFrame,
     *,

@@ -24,23 +24,35 @@ def channel_partials(
     A NaN reading is a missing one. Only floating columns of ``schema`` can hold it.
     """
 
-    def picked(c: str) -> Column:
-        there = only
-        if isinstance(schema[c].dataType, (T.FloatType, T.DoubleType)):
-            there = ~F.isnan(c) if only is None else only & ~F.isnan(c)
-        return F.col(c) if there is None else F.when(there, F.col(c))
-
     out = []
     for c in channels:
+        picked = _picked(schema, c, only)
         out += [
-            F.sum(picked(c)).alias(f"{c}_sum"),
-            F.count(picked(c)).alias(f"{c}_cnt"),
-            F.min(picked(c)).alias(f"{c}_min"),
-            F.max(picked(c)).alias(f"{c}_max"),
+            F.sum(picked).alias(f"{c}_sum"),
+            F.count(picked).alias(f"{c}_cnt"),
+            F.min(picked).alias(f"{c}_min"),
+            F.max(picked).alias(f"{c}_max"),
         ]
     return out
 
 
+def record_partials(schema: T.StructType, channels: Sequence[str]) -> list[Column]:
+    """What :func:`channel_partials` are of a record alone."""
+    out = []
+    for c in channels:
+        picked = _picked(schema, c)
+        counted = picked.isNotNull().cast("long")
+        out += [picked.alias(f"{c}_sum"), counted.alias(f"{c}_cnt"), picked.alias(f"{c}_min"), picked.alias(f"{c}_max")]
+    return out
+
+
+def _picked(schema: T.StructType, c: str, only: Column | None = None) -> Column:
+    there = only
+    if isinstance(schema[c].dataType, (T.FloatType, T.DoubleType)):
+        there = ~F.isnan(c) if only is None else only & ~F.isnan(c)
+    return F.col(c) if there is None else F.when(there, F.col(c))
+
+
 def partial_kinds(channels: Sequence[str]) -> dict[str, str]:
     """How each column of :func:`channel_partials` merges with another of its kind."""
     kinds = {}

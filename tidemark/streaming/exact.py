@@ -33,13 +33,14 @@ from tidemark.operators.lateness import (
     classify_arrivals,
     classify_by_watermark,
     closing_positions,
+    combined,
     dead_letters,
     emission_groups,
     emissions,
     partition_watermarks,
     source_name,
 )
-from tidemark.operators.windows import KEYS, START, TIME, partial_kinds
+from tidemark.operators.windows import KEYS, START, TIME
 from tidemark.schema import CHANNELS, RULES, Rule, WindowSpec
 from tidemark.sinks.changelog import (
     batch_path,
@@ -55,8 +56,6 @@ from tidemark.sinks.changelog import (
     write_batch,
 )
 
-_COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
-
 
 @dataclass(frozen=True)
 class ExactLateWindows:
@@ -283,18 +282,14 @@ class ExactLateWindows:
     def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
         write_batch(df, f"{self.path}/{table}", self.query_id, batch_id)
 
-    def _merged(self, df: DataFrame, *by: str) -> DataFrame:
-        kinds = {POSITION: "max", "_on": "sum", "_late": "sum", **partial_kinds(self.channels)}
-        return df.groupBy(*self.keys, START, *by).agg(
-            *[_COMBINE[kind](c).alias(c) for c, kind in kinds.items()]
-        )
-
     def _with_state(self, annotated: DataFrame, state: DataFrame | None) -> DataFrame:
-        groups = emission_groups(annotated, self.keys, self.channels)
-        if state is None:
-            return groups
-        # Carried windows join their on-time rows: one aggregated row ahead of late ones.
-        return self._merged(groups.unionByName(state, allowMissingColumns=True), "_late_at")
+        """Carried windows join their on-time rows: one aggregated row ahead of late ones."""
+        return emission_groups(annotated, self.keys, self.channels, state)
+
+    def _sizes(self, groups: DataFrame) -> DataFrame:
+        """Windows with late records and their rows: each of these, and one for all others."""
+        late = groups.where(F.col("_late_at").isNotNull())
+        return late.groupBy(*self.keys, START).agg((F.count(F.lit(1)) + 1).alias("n"))
 
     def _emitted(
         self, groups: DataFrame, seen_ms: int | None, now_ms: int | None, rows: int | None = None
@@ -313,11 +308,11 @@ class ExactLateWindows:
             rules=self.rules,
             fired=fires,
             at_most=rows,
-            sizes=groups.groupBy(*self.keys, START).agg(F.count(F.lit(1)).alias("n")),
+            sizes=self._sizes(groups),
         )
 
     def _kept(self, groups: DataFrame, now_ms: int | None) -> DataFrame:
-        windows = self._merged(groups)
+        windows = combined(groups, [*self.keys, START], self.channels)
         if now_ms is None:
             return windows
         horizon = now_ms - self.spec.delay_ms - self.spec.lateness_ms

@@ -177,3 +177,16 @@ def test_star_steps_equal_union_find(spark, seed):
     linked = {n for e in edges if e[0] != e[1] for n in e}
     assert got == closure(linked, [e for e in edges if e[0] != e[1]])
     assert components(df.limit(0)).count() == 0
+
+
+def test_few_ids_are_sent_to_the_texts(spark, docs):
+    text = " ".join(map(str, range(30)))
+    df = docs((1, text), (2, text), (3, "another text"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = nd.keep_one(df)
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -180,3 +180,8 @@ def test_encode_documents_handles_nulls(docs):
     ]
     assert set(sp.with_pieces(df, PIECES).columns) == {*df.columns, "ids_0", "n_tokens"}
     assert sp.encode_documents(df.limit(0), PIECES).count() == 0
+
+
+def test_what_decoding_takes_is_loaded_once():
+    assert sp.load(PIECES).written is sp.written(PIECES).written
+    assert "written" not in vars(sp.load(PIECES))

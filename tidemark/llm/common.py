@@ -25,9 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES, rows: int = BATCH_ROWS) -> None:
     """Keep Arrow batches small, whatever the length of the texts in them."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 

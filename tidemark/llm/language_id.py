@@ -25,6 +25,8 @@ from tidemark.llm.common import bounded_batches, stored, texts
 UNDETERMINED = "und"
 #: Hash buckets of character n-grams.
 BUCKETS = 1024
+#: Rows of a batch: their vectors, of 8 kB each, are held several times over.
+VECTOR_ROWS = 256
 #: Bytes of a text whose n-grams are counted at once.
 BLOCK = 1 << 18
 #: About the largest number of documents per language that the machines are fitted on, by
@@ -215,7 +217,7 @@ def identify(
     Repeated rows are rows like any other; an empty table gives no rows. Columns that are
     not named are not read.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, rows=VECTOR_ROWS)
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(text).alias("text"),
@@ -234,6 +236,6 @@ def keep_identified(docs: DataFrame, learn_from: Column, min_score: float = MIN_
     ``und`` has score 0. Where only one language teaches there is nothing to tell apart, and
     every text with a letter scores 1.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, rows=VECTOR_ROWS)
     model = fit(docs.filter(learn_from).select("doc_id", "text", "lang"))
     return docs.filter(predict(F.col("text"), model)["score"] >= min_score)

@@ -23,7 +23,7 @@ A linked pair at the threshold shares no band with a chance of (1 - 0.75^5)^40,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -270,6 +270,13 @@ def _undecided(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(rows.join(several, ["band", "key"], "left_semi"), "mixed-buckets")
 
 
+def _sent(rows: DataFrame, ids: str) -> Callable[[DataFrame], DataFrame]:
+    """How to join texts to stored ``rows`` by ``ids``: sent to them, or an exchange where there are too many."""
+    size = F.coalesce(F.sum(F.coalesce(F.octet_length(F.col(ids).cast("string")), F.lit(0)) + 40), F.lit(0))
+    n, total = rows.agg(F.count(F.lit(1)), size).first()
+    return F.broadcast if n <= BROADCAST_IDS and total <= BROADCAST_BYTES else lambda df: df
+
+
 @dataclass(frozen=True)
 class Texts:
     """Documents, and the classes of their sets: ``node, print, least, n_shingles, signature, keys``."""
@@ -281,9 +288,7 @@ class Texts:
     def sets(self, nodes: DataFrame) -> DataFrame:
         """``node, shingles`` of some classes. Texts stay where they are if the ids are few enough."""
         wanted = stored(self.classes.join(nodes.toDF("node").distinct(), "node").select("node", "print", "least"), "wanted")
-        size = F.coalesce(F.sum(F.coalesce(F.octet_length(F.col("least").cast("string")), F.lit(0)) + 40), F.lit(0))
-        n, total = wanted.agg(F.count(F.lit(1)), size).first()
-        sent = F.broadcast if n <= BROADCAST_IDS and total <= BROADCAST_BYTES else lambda df: df
+        sent = _sent(wanted, "least")
         of_ids = self.docs.join(sent(wanted.select("least")), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
         sets = shingle_sets(of_ids).join(sent(wanted.select("node", "print")), "print").select("node", "shingles")
         if self.repeats:
@@ -395,7 +400,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     again = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null")
     again = stored(again.select(F.col("doc_id").alias("_again")), "repeated-ids")
     winner = F.when(F.col("n_shingles") > 0, F.col("doc_id").eqNullSafe(F.col("least_id"))).otherwise(True)
-    gone = rows.filter(~winner).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = stored(rows.filter(~winner).select(F.col("doc_id").alias("_gone")).distinct(), "gone-ids")
+    # Left to Spark's estimate, all texts would be exchanged from some 20,000 ids on.
+    gone, again = _sent(gone, "_gone")(gone), _sent(again, "_again")(again)
     single = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
     if again.isEmpty():
         return single.select(*docs.columns)

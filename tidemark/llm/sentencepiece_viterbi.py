@@ -41,7 +41,7 @@ KEEP_CHARS = 48
 #: Words remembered per Python worker, about 200 bytes each.
 REMEMBERED = 200_000
 #: Bytes of text that are taken apart into words at once.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
 _WORDS_AND_LINES = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 
@@ -52,7 +52,7 @@ class Written:
     def __init__(self, path: str):
         import sentencepiece
 
-        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = range(model.get_piece_size())
         self.written = [
             b"" if model.is_control(i) else bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.encode()
@@ -98,19 +98,22 @@ def _is_text(array: pa.Array) -> bool:
     return True
 
 
-class Pieces(Written):
-    """Pieces of a model file and the automaton over them, for both directions."""
+class Pieces:
+    """Pieces of a model file and the automaton over them, for both directions.
+
+    What decoding takes is loaded when it is asked for, once in a process.
+    """
 
     def __init__(self, path: str):
-        super().__init__(path)
-        model = self.model
-        size = model.get_piece_size()
-        self.piece = [model.id_to_piece(i) for i in range(size)]
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.path, pieces = path, [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.unknown_id = model.unk_id()
         self.bytes_ = {}
         self.automaton = ahocorasick.Automaton()
         lowest = 0.0
-        for i, piece in enumerate(self.piece):
+        for i, piece in enumerate(pieces):
             if model.is_byte(i):
                 self.bytes_[int(piece[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
@@ -120,9 +123,9 @@ class Pieces(Written):
         self.automaton.make_automaton()
         self.unknown_score = lowest - UNKNOWN_PENALTY
         #: Words may be segmented apart only if no piece goes on over the start of a word.
-        self.by_words = not any(SPACE in p.lstrip(SPACE) for p in self.piece)
+        self.by_words = not any(SPACE in p.lstrip(SPACE) for p in pieces)
         #: Nor if none holds a line break, which then stands alone too.
-        self.by_lines = not any("\n" in p for p in self.piece)
+        self.by_lines = not any("\n" in p for p in pieces)
 
     def words(self, text: str) -> list[str]:
         """Parts of ``text``, spaces as marks and one in front, that segment on their own."""
@@ -133,6 +136,13 @@ class Pieces(Written):
             return [marked]
         return (_WORDS_AND_LINES if self.by_lines else _WORDS).findall(marked)
 
+    @property
+    def written(self) -> list[bytes]:
+        return written(self.path).written
+
+    def decode(self, ids: list[int]) -> str:
+        return written(self.path).decode(ids)
+
     def segment(self, word: str) -> list[int]:
         """The ids of the best segmentation of ``word``, where spaces are marks already."""
         n = len(word)

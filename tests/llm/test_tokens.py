@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,33 @@ def test_segments_are_learnt_where_they_are_looked_up():
     assert list(known) == ["a", "d"]
 
 
+def test_distinct_segments_are_looked_up_once(monkeypatch):
+    asked = []
+
+    class Watched(token_files.Segments):
+        def __getitem__(self, segment):
+            asked.append(segment)
+            return super().__getitem__(segment)
+
+    monkeypatch.setattr(token_files, "Segments", Watched)
+    encode = token_files.encoder.__wrapped__(FILES, 300_000)
+    text = "one two two\none two " + "one two " * 500 + "end"
+    ids = np.asarray(token_counts.load(FILES).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert encode([text.encode(), None, text.encode()]) == [ids, b"", ids]
+    assert len(asked) <= 5
+
+
+def test_segments_of_a_column_are_those_of_each_text():
+    blanks = [chr(c) for c in range(0x3100) if chr(c).isspace() or chr(c) in "\u180e\u200b\u2060\x00"]
+    odd = [t for b in blanks for t in (f"a{b}b c\nd", f"{b}a b", f"a b{b}", f"a {b}b", f"a\n{b}b")]
+    for texts in (ALL + odd, ["a b\nc"], ["a  b"], [""], []):
+        found = token_files.segments(pa.array(texts, pa.large_string())).to_pylist()
+        assert found == [token_files._cut(t) for t in texts]
+    encode, tokenizer = token_files.encoder(FILES), token_counts.load(FILES)
+    want = [np.asarray(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
+    assert encode([t.encode() for t in odd]) == want
+
+
 def test_count_query_columns(docs):
     df = docs((1, "one two"), (None, "three"), (2, None), (1, "one two")).withColumn("n_tokens", F.lit("mine"))
     rows = token_counts.token_counts(df, COUNTS, 1).collect()

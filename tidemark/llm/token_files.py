@@ -20,42 +20,58 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import PART_BYTES, as_lists, bounded_batches, by_bytes, texts
+from tidemark.llm.common import as_lists, bounded_batches, by_bytes, texts
 from tidemark.llm.token_counts import KEEP_BYTES, Remembered, load
 
 #: A single space or line break between two other characters: this kind of tokenizer starts
-#: a new piece before such a space, and both before and after such a line break.
-LINE = re.compile(r"(?<=\S)\n(?=\S)")
-WORD = re.compile(r"(?<=\S) (?=\S)")
+#: a new piece before such a space, and both before and after such a line break. (The
+#: blank comes first in the pattern, as a search for a given character is a fast one.)
+LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
+WORD = re.compile(r" (?<=\S )(?=\S)")
 
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1_000
+#: Bytes of text in an Arrow batch, and taken apart at once: the more, the fewer distinct segments.
+TEXT_BYTES = 4 << 20
 #: Segments remembered per Python worker, about 200 bytes each.
 REMEMBERED = 600_000
 #: Rows per file at most.
 FILE_ROWS = 200_000
 
 
-#: Where these don't occur, every blank or line break is such a one.
-_OTHERWISE = (
-    "  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000",
-    *map(chr, range(0x2000, 0x200B)),
-)
+#: Where a text holds none of these, every blank and line break is such a one.
+OTHERWISE = (
+    r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"|[ \n][ \n]|\A[ \n]|[ \n]\z"
+)
 
 
-def _lines(text: str) -> list[tuple[str, list[str]]]:
-    """Segments of a text: by line, the first, and those that follow a single blank."""
-    if text.strip() == text and not any(x in text for x in _OTHERWISE):
-        cut = (line.partition(" ") for line in text.split("\n"))
-        return [(first, rest.split(" ") if blank else []) for first, blank, rest in cut]
-    cut = (WORD.split(line) for line in LINE.split(text))
-    return [(words[0], words[1:]) for words in cut]
+def _cut(text: str) -> list[str]:
+    """Segments of any text; those that begin a line have a line break before them."""
+    lines = (WORD.split(line) for line in LINE.split(text))
+    return [segment for first, *words in lines for segment in ("\n" + first, *words)]
+
+
+def segments(column: pa.LargeStringArray) -> pa.ListArray:
+    """``_cut`` of each text; of those without other white space, in one pass over the column."""
+    otherwise = pc.match_substring_regex(column, OTHERWISE)
+    usual = column.filter(pc.invert(otherwise))
+    marked = pc.replace_substring(usual, "\n", " \n")
+    empty, newline = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
+    found = pc.split_pattern(pc.binary_join_element_wise(newline, marked, empty), " ")
+    if len(usual) == len(column):
+        return found
+    by_hand = pa.array(map(_cut, column.filter(otherwise).to_pylist()), found.type)
+    is_other = otherwise.to_numpy(zero_copy_only=False)
+    places = np.where(is_other, len(usual) + np.cumsum(is_other), np.cumsum(~is_other)) - 1
+    return pa.concat_arrays([found, by_hand]).take(pa.array(places))
 
 
 #: A word and the marks after it, which this kind of tokenizer takes apart just there.
@@ -92,58 +108,59 @@ class Segments(Remembered):
 def encoder(path: str, remembered: int = REMEMBERED) -> Callable[[list[bytes | None]], list[bytes]]:
     """A function from texts to their ids as little-endian unsigned 32-bit integers.
 
-    A text is cut where its pieces are independent; a segment that is remembered isn't encoded
-    again. Segments of a word and marks go to the tokenizer's model directly, as the two pieces
-    they are, all others through its whole encoding. Kept between the tasks of a worker.
+    A text is cut where its pieces are independent; each distinct segment of a part is looked
+    up once, and one that is remembered isn't encoded again. Segments of a word and marks go to
+    the tokenizer's model directly, as the two pieces they are, all others through its whole
+    encoding. Kept between the tasks of a worker.
     """
     tokenizer, alphabet = load(path), byte_alphabet()
     tokenize = tokenizer.model.tokenize
     blank = chr(alphabet[ord(" ")])
-    marks: dict[str, bytes] = {"": b""}
+    marks: dict[str, bytes] = {}
 
     def packed(ids: list[int]) -> bytes:
         return ids[0].to_bytes(4, "little") if len(ids) == 1 else array("I", ids).tobytes()
 
     def piece(before: str, text: str) -> bytes:
-        # Letters and marks of ASCII stand for themselves.
-        written = text if text.isascii() else text.encode().decode("latin-1").translate(alphabet)
-        return packed([t.id for t in tokenize(before + written)])
-
-    def learner(before: str) -> Callable[[str], bytes]:
-        first = blank if before else ""
-
-        def learn(segment: str) -> bytes:
-            if segment.isascii() and segment.isalpha():  # most are, and need no closer look
-                return piece(first, segment)
-            if not (simple := SIMPLE.fullmatch(segment)):
-                return packed(tokenizer.encode(before + segment, add_special_tokens=False).ids)
-            word, after = simple.groups()
-            if not after:
-                return piece(first, word)
-            tail = marks.get(after)
-            if tail is None:
-                tail = piece("", after)
-                if len(after) < 4:  # few enough to keep them all
-                    marks[after] = tail
-            return (known[before][word] if len(word) <= KEEP_BYTES else piece(first, word)) + tail
-
-        return learn
-
-    known = {before: Segments(size, learner(before)) for before, size in (("", remembered // 4), (" ", remembered))}
-    plain, spaced = known[""], known[" "]
-    newline = packed(tokenizer.encode("\n", add_special_tokens=False).ids)
+        return packed([t.id for t in tokenize(before + text.encode().decode("latin-1").translate(alphabet))])
+
+    def encoded(text: str) -> bytes:
+        return packed(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    newline = encoded("\n")
+
+    def learn(segment: str) -> bytes:
+        if segment.isascii() and segment.isalpha():  # most are, and are written as they are
+            return packed([t.id for t in tokenize(blank + segment)])
+        if segment.startswith("\n"):
+            start, before, first, text = newline, "", "", segment[1:]
+        else:
+            start, before, first, text = b"", " ", blank, segment
+        if not (simple := SIMPLE.fullmatch(text)):
+            return start + encoded(before + text)
+        word, after = simple.groups()
+        if not after:
+            return start + piece(first, word)
+        tail = marks.get(after)
+        if tail is None:
+            tail = piece("", after)
+            if len(after) < 4:  # few enough to keep them all
+                marks[after] = tail
+        return (known[segment[: -len(after)]] if len(word) < KEEP_BYTES else start + piece(first, word)) + tail
+
+    known = Segments(remembered, learn)
 
     def encode(batch: list[bytes | None]) -> list[bytes]:
         out: list[bytes] = []
-        get = spaced.__getitem__
-        for part in by_bytes((t or b"" for t in batch), PART_BYTES):
-            lines = [_lines(t.decode()) for t in part]
-            out += [
-                newline.join([plain[first] + b"".join(map(get, words)) for first, words in text])
-                for text in lines
-            ]
-            plain.trim_after(lambda: {first for text in lines for first, _ in text})
-            spaced.trim_after(lambda: set().union(*(words for text in lines for _, words in text)))
+        for part in by_bytes((t or b"" for t in batch), TEXT_BYTES):
+            found = segments(pa.array(part, pa.large_binary()).cast(pa.large_string()))
+            each, offsets = found.values.dictionary_encode(), found.offsets
+            del found
+            used = each.dictionary.to_numpy(zero_copy_only=False).tolist()
+            ids = pa.array([known[segment] for segment in used], pa.large_binary()).take(each.indices)
+            joined = pc.binary_join(pa.ListArray.from_arrays(offsets, ids), pa.scalar(b"", ids.type))
+            out += [row[len(newline) :] for row in joined.to_pylist()]  # but for the mark of the first line
+            known.trim_after(lambda: set(used))
         return out
 
     return encode
@@ -158,7 +175,7 @@ def write_token_files(
     Null texts are encoded as empty ones. Rows without an id come first; rows that share an
     id lie side by side, ordered by their texts. An empty table writes no rows.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, TEXT_BYTES)
     end = np.asarray([end_id], "<u4").tobytes()
 
     def encode_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
